@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tickflow.functions.clock import micros
 from tickflow.functions.flow import mid
 from tickflow.operators import bars, book, gold, router
-from tickflow.session import use_utc
+from tickflow.session import materialize, use_utc
 from tickflow.spec import BarSpec, FeedSpec
 
 # The events are sparse (a few per type and hour), so bars are minutes and the
@@ -116,118 +116,46 @@ def gold_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _quote(name: str, value: Column) -> Column:
-    return F.concat(F.lit(f'"{name}":"'), value, F.lit('"'))
-
-
-def _iso() -> Column:
-    return F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-
-
-def _trade_text() -> Column:
-    """The trade message of an event; some are malformed or of another kind."""
-    m = F.col("event_id") % 100
-    kind = F.when(F.col("event_id") % 50 == 0, "last_match").otherwise("match")
-    time = F.when(m == 97, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).otherwise(_iso())
-    rest = F.concat_ws(
-        ",",
-        F.concat(F.lit('"trade_id":'), _trade_id().cast("string")),
-        _quote("price", F.col("value").cast("string")),
-        _quote("size", _size().cast("string")),
-        _quote("side", _side()),
-        _quote("time", time),
-    )
-    product = _quote("product_id", F.col("product_id"))
-
-    def obj(*parts: Column) -> Column:
-        return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
-
-    whole = obj(_quote("type", kind), product, rest)
-    return (
-        F.when(m == 7, F.substring(whole, 1, 40))
-        .when(m == 17, obj(_quote("type", kind), rest))
-        .when(m == 27, obj(_quote("type", kind), _quote("product_id", F.lit("")), rest))
-        .when(m == 37, obj(_quote("type", F.lit("ticker")), product, rest))
-        .when(
-            m.between(47, 49),
-            obj(
-                _quote("type", F.lit("heartbeat")),
-                product,
-                F.concat(
-                    F.lit('"last_trade_id":'),
-                    (F.col("event_id") + F.col("k") % 3).cast("string"),
-                ),
-            ),
-        )
-        .when(
-            m == 57,
-            obj(
-                _quote("type", F.lit("error")),
-                _quote("message", F.lit("slow")),
-                _quote("reason", F.col("product_id")),
-            ),
-        )
-        .when(m == 58, obj(_quote("type", F.lit("error"))))
-        .when(m == 67, F.concat(F.lit("["), F.col("event_id").cast("string"), F.lit("]")))
-        .when(m == 77, obj(_quote("type", F.lit("subscriptions"))))
-        .when(m == 87, obj(product, rest))
-        .otherwise(whole)
-    )
-
+_ISO = """date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")"""
+
+# The trade message of an event; some are malformed or of another kind.
+_TRADE_TEXT = """
+CASE
+  WHEN m = 7 THEN substring(whole, 1, 40)
+  WHEN m = 17 THEN concat('{', kind, ',', rest, '}')
+  WHEN m = 27 THEN concat('{', kind, ',"product_id":"",', rest, '}')
+  WHEN m = 37 THEN concat('{"type":"ticker",', product, ',', rest, '}')
+  WHEN m BETWEEN 47 AND 49 THEN
+    concat('{"type":"heartbeat",', product, ',"last_trade_id":', event_id + k % 3, '}')
+  WHEN m = 57 THEN
+    concat('{"type":"error","message":"slow","reason":"', product_id, '"}')
+  WHEN m = 58 THEN '{"type":"error"}'
+  WHEN m = 67 THEN concat('[', event_id, ']')
+  WHEN m = 77 THEN '{"type":"subscriptions"}'
+  WHEN m = 87 THEN concat('{', product, ',', rest, '}')
+  ELSE whole
+END
+"""
 
-def _level(side: Column | None, price: Column, size: Column) -> Column:
-    parts = [price, size] if side is None else [side, price, size]
-    quoted = [F.concat(F.lit('"'), p, F.lit('"')) for p in parts]
-    return F.concat(F.lit("["), F.concat_ws(",", *quoted), F.lit("]"))
-
-
-def _book_text() -> Column:
-    """Ten levels per side in a snapshot, two changes in a delta."""
-    size5 = F.lit("5")
-    bids = [_level(None, F.lit(str(p)), size5) for p in range(100, 90, -1)]
-    asks = [_level(None, F.lit(str(p)), size5) for p in range(101, 111)]
-    product = _quote("product_id", F.col("product_id"))
-    snapshot = F.concat(
-        F.lit('{"type":"snapshot",'),
-        product,
-        F.lit(',"bids":['),
-        F.concat_ws(",", *bids),
-        F.lit('],"asks":['),
-        F.concat_ws(",", *asks),
-        F.lit("]}"),
-    )
-    buy = F.col("user_id") % 2 == 0
-    away = F.floor(F.col("value") / F.lit(10.0)).cast("long")
-    near = F.floor(F.col("k") / F.lit(10)).cast("long")
-    first = _level(
-        F.when(buy, "buy").otherwise("sell"),
-        F.when(buy, F.lit(100) - away).otherwise(F.lit(101) + away).cast("string"),
-        (F.col("k") % 10).cast("string"),
-    )
-    # Levels from k >= 90 lock the book at 101 or clear the lock again.
-    second = (
-        F.when(F.col("k") >= 98, _level(F.lit("buy"), F.lit("101"), F.lit("3")))
-        .when(F.col("k") >= 90, _level(F.lit("buy"), F.lit("101"), F.lit("0")))
-        .otherwise(
-            _level(
-                F.when(buy, "sell").otherwise("buy"),
-                F.when(buy, F.lit(101) + near).otherwise(F.lit(100) - near).cast("string"),
-                (F.col("user_id") % 10).cast("string"),
-            )
-        )
-    )
-    delta = F.concat(
-        F.lit('{"type":"l2update",'),
-        product,
-        F.lit(',"changes":['),
-        first,
-        F.lit(","),
-        second,
-        F.lit("],"),
-        _quote("time", _iso()),
-        F.lit("}"),
-    )
-    return F.when(F.col("is_snapshot"), snapshot).otherwise(delta)
+# Ten levels per side in a snapshot; two changes in a delta, where k >= 90
+# locks the book at 101 or clears the lock again.
+_SNAPSHOT_TEXT = (
+    "concat('{\"type\":\"snapshot\",', product, ',\"bids\":["
+    + ",".join(f'[\"{p}\",\"5\"]' for p in range(100, 90, -1))
+    + '],\"asks\":['
+    + ",".join(f'[\"{p}\",\"5\"]' for p in range(101, 111))
+    + "]}')"
+)
+_DELTA_TEXT = """
+concat(
+  '{"type":"l2update",', product, ',"changes":[["',
+  CASE WHEN buy THEN 'buy' ELSE 'sell' END, '","',
+  CASE WHEN buy THEN 100 - away ELSE 101 + away END, '","', k % 10, '"],["',
+  CASE WHEN k >= 90 OR NOT buy THEN 'buy' ELSE 'sell' END, '","',
+  CASE WHEN k >= 90 THEN 101 WHEN buy THEN 101 + k div 10 ELSE 100 - k div 10 END, '","',
+  CASE WHEN k >= 98 THEN 3 WHEN k >= 90 THEN 0 ELSE user_id % 10 END,
+  '"]],"time":"', iso, '"}')
+"""
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,20 +166,39 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = e.join(opens, "event_id", "left").withColumn(
         "is_snapshot", F.coalesce("is_snapshot", F.lit(False))
     )
-    stale = ~F.col("is_snapshot") & (F.col("user_id") % 31 == 0)
-    both = F.array(
-        F.struct(
-            _trade_text().alias("value"),
-            (F.col("event_id") * 2).alias("arrival_seq"),
-            F.col("epoch").alias("conn_epoch"),
-        ),
-        F.struct(
-            _book_text().alias("value"),
-            (F.col("event_id") * 2 + 1).alias("arrival_seq"),
-            (F.col("epoch") - F.when(stale, 1).otherwise(0)).alias("conn_epoch"),
-        ),
+    parts = marked.selectExpr(
+        "*",
+        "event_id % 100 AS m",
+        f"{_ISO} AS iso",
+        "user_id % 2 = 0 AS buy",
+        "CAST(floor(value / 10D) AS BIGINT) AS away",
+        """concat('"product_id":"', product_id, '"') AS product""",
+        """CASE WHEN event_id % 50 = 0 THEN '"type":"last_match"'
+                ELSE '"type":"match"' END AS kind""",
+    ).selectExpr(
+        "*",
+        """concat('"trade_id":', event_id - CASE WHEN k % 10 = 0 THEN 40 ELSE 0 END,
+                  ',"price":"', value, '","size":"', CAST(k + 1 AS DOUBLE) / 10D,
+                  '","side":"', CASE WHEN buy THEN 'buy' ELSE 'sell' END, '","time":"',
+                  CASE WHEN m = 97 THEN concat(substring(iso, 1, 19), 'Z') ELSE iso END,
+                  '"') AS rest""",
+    )
+    texts = parts.selectExpr(
+        "*", "concat('{', kind, ',', product, ',', rest, '}') AS whole"
+    ).selectExpr(
+        "event_id",
+        "iso",
+        "epoch",
+        "CASE WHEN NOT is_snapshot AND user_id % 31 = 0 THEN epoch - 1 ELSE epoch END AS held",
+        f"{_TRADE_TEXT} AS trade_text",
+        f"CASE WHEN is_snapshot THEN {_SNAPSHOT_TEXT} ELSE {_DELTA_TEXT} END AS book_text",
+    )
+    return texts.selectExpr(
+        """inline(array(
+             struct(trade_text AS value, event_id * 2 AS arrival_seq, epoch AS conn_epoch),
+             struct(book_text AS value, event_id * 2 + 1 AS arrival_seq, held AS conn_epoch)))""",
+        "iso AS ingest_ts",
     )
-    return marked.select(F.inline(both), _iso().alias("ingest_ts"))
 
 
 def routed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,5 +213,10 @@ def book_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return router.book_messages(routed(spark, sf_dir))
 
 
+def landed_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Book messages parsed once and written, as the feed landing job does."""
+    return materialize(book_messages(spark, sf_dir), "book-messages")
+
+
 def book_tops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return book.book_tops(book_messages(spark, sf_dir), FEED)
+    return book.book_tops(landed_books(spark, sf_dir), FEED)

@@ -60,11 +60,10 @@ def book_bars(tops: DataFrame, spec: BarSpec = BarSpec()) -> DataFrame:
 
 def newest_bars(bars: DataFrame, arrival: str = "arrival_seq") -> DataFrame:
     """One bar per (product, bar_ts) from an at-least-once topic: the last wins."""
-    rest = [c for c in bars.columns if c not in ("product_id", "bar_ts")]
-    return (
-        bars.groupBy("product_id", "bar_ts")
-        .agg(F.max_by(F.struct(*rest), F.col(arrival)).alias("b"))
-        .select("product_id", "bar_ts", "b.*")
+    rest = [c for c in bars.columns if c not in ("product_id", "bar_ts", arrival)]
+    # Column by column: primitive buffers keep this a hash aggregate.
+    return bars.groupBy("product_id", "bar_ts").agg(
+        *[F.max_by(c, arrival).alias(c) for c in rest]
     )
 
 

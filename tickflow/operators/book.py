@@ -72,7 +72,7 @@ class Replay:
             self.bids.clear()
             self.asks.clear()
         for bid, p, q in zip(is_bid, price, size):
-            if p is None or q is None:
+            if p != p or q != q:  # no number
                 continue
             side = self.bids if bid else self.asks
             if q == 0 and not is_snapshot:
@@ -128,34 +128,65 @@ def segments(messages: DataFrame, spec: FeedSpec = FeedSpec()) -> DataFrame:
     ).drop("_snap")
 
 
-def opening_books(placed: DataFrame) -> DataFrame:
-    """The book as it stands at the start of each later chunk, as level arrays.
+def chunk_index(messages: DataFrame, spec: FeedSpec = FeedSpec()) -> DataFrame:
+    """One row per (product, chunk): what a replay of the chunk must know.
 
-    One row per (book_product, book_chunk): for every price level of the running segment
-    the last size set in an earlier chunk, unless that was a removal.
+    Only narrow columns are read. ``no`` numbers a product's chunks densely;
+    ``seg_*`` and ``epoch_*`` describe the book before and after the chunk;
+    ``reach`` is the last chunk in which the book left behind is still open.
     """
-    by_product = W.partitionBy("product_id").orderBy("chunk")
-    # Dense chunk numbers per product: only chunks that hold messages count.
-    chunks = (
-        placed.groupBy("product_id", "chunk")
-        .agg(F.min("segment").alias("first_seg"), F.max("segment").alias("last_seg"))
-        .withColumn("no", F.row_number().over(by_product).cast("long"))
-        .withColumn("prev_seg", F.lag("last_seg").over(by_product))
+    snap = F.col("is_snapshot")
+    at = F.when(snap, F.col("arrival_seq"))
+    found = (
+        arrival_chunk(messages, spec.chunk_rows)
+        .groupBy("product_id", "chunk")
+        .agg(
+            F.count_if(snap).alias("snaps"),
+            F.max(at).alias("last_snap"),
+            F.max_by("conn_epoch", at).alias("own_epoch"),
+        )
+    )
+    order = W.partitionBy("product_id").orderBy("chunk")
+    past = order.rowsBetween(W.unboundedPreceding, -1)
+    reset = F.when(F.col("snaps") > 0, F.struct("own_epoch"))
+    numbered = found.withColumns(
+        {
+            "no": F.row_number().over(order).cast("long"),
+            "seg_before": F.coalesce(F.sum("snaps").over(past), F.lit(0)),
+            "epoch_before": F.last(reset, ignorenulls=True).over(past)["own_epoch"],
+        }
+    )
+    open_in = W.partitionBy("product_id", "seg_before")
+    return (
+        numbered.withColumns(
+            {
+                "seg_after": F.col("seg_before") + F.col("snaps"),
+                "epoch_after": F.when(F.col("snaps") > 0, F.col("own_epoch")).otherwise(
+                    F.col("epoch_before")
+                ),
+                "_reach": F.max("no").over(open_in),
+            }
+        )
+        .withColumn("reach", F.lead("_reach").over(order))
+        .drop("snaps", "own_epoch", "_reach")
     )
-    # A segment that is open at a chunk's start reaches at least that chunk.
-    reach = chunks.where("prev_seg IS NOT NULL").groupBy(
-        "product_id", F.col("prev_seg").alias("segment")
-    ).agg(F.max("no").alias("reach"))
-    carried = chunks.join(
-        reach.withColumnRenamed("segment", "last_seg"), ["product_id", "last_seg"]
-    ).where(F.col("no") < F.col("reach"))
-
-    levels = (
-        placed.where(~F.col("stale"))
+
+
+def last_levels(messages: DataFrame, spec: FeedSpec = FeedSpec()) -> DataFrame:
+    """The last change of every price level per chunk and connection epoch.
+
+    Levels combine map-side; the messages themselves are not shuffled here.
+    NULL stands for a removed level. One number orders changes by message and
+    place in it, so value and order are primitives and hash aggregation works.
+    """
+    left = F.when((F.col("level.size") != 0) | F.col("is_snapshot"), F.col("level.size"))
+    order = F.col("arrival_seq") * F.lit(1 << 20) + F.col("pos")
+    return (
+        arrival_chunk(messages, spec.chunk_rows)
         .select(
             "product_id",
             "chunk",
-            "segment",
+            "conn_epoch",
             "arrival_seq",
             "is_snapshot",
             F.posexplode(F.arrays_zip("is_bid", "price", "size")).alias("pos", "level"),
@@ -164,50 +195,61 @@ def opening_books(placed: DataFrame) -> DataFrame:
         .groupBy(
             "product_id",
             "chunk",
-            "segment",
+            "conn_epoch",
             F.col("level.is_bid").alias("is_bid"),
             F.col("level.price").alias("price"),
         )
-        .agg(
-            F.max_by(
-                F.struct(
-                    F.col("level.size").alias("size"),
-                    ((F.col("level.size") == 0) & ~F.col("is_snapshot")).alias("removed"),
-                ),
-                F.struct("arrival_seq", "pos"),
-            ).alias("last")
-        )
+        .agg(F.max_by(left, order).alias("size"), F.max("arrival_seq").alias("set_at"))
+    )
+
+
+def opening_books(
+    messages: DataFrame, index: DataFrame, spec: FeedSpec = FeedSpec()
+) -> DataFrame:
+    """One row per (book_product, book_chunk): the book when the chunk starts.
+
+    A level counts if it was set in the running segment: after the last
+    snapshot of its chunk and under that book's epoch. It then holds for the
+    following chunks until it changes again or the segment ends.
+    """
+    carried = index.where("reach IS NOT NULL").select(
+        "product_id", "chunk", "no", "reach", "last_snap", "epoch_after", "seg_after"
     )
-    open_levels = levels.join(
-        carried.select("product_id", "chunk", F.col("last_seg").alias("segment"), "no", "reach"),
-        ["product_id", "chunk", "segment"],
+    kept = last_levels(messages, spec).join(carried, ["product_id", "chunk"]).where(
+        F.col("conn_epoch").eqNullSafe(F.col("epoch_after"))
+        & (F.col("last_snap").isNull() | (F.col("set_at") >= F.col("last_snap")))
     )
-    by_level = W.partitionBy("product_id", "segment", "is_bid", "price").orderBy("no")
+    by_level = W.partitionBy("product_id", "seg_after", "is_bid", "price").orderBy("no")
     lasting = (
-        open_levels.withColumn(
-            "until", F.coalesce(F.lead("no").over(by_level), F.col("reach"))
-        )
-        .where(~F.col("last.removed"))
+        kept.withColumn("until", F.coalesce(F.lead("no").over(by_level), F.col("reach")))
+        .where(F.col("size").isNotNull())
         .select(
             "product_id",
             "is_bid",
             "price",
-            F.col("last.size").alias("size"),
+            "size",
             F.explode(F.sequence(F.col("no") + 1, F.col("until"))).alias("no"),
         )
     )
     books = lasting.groupBy("product_id", "no").agg(
         F.collect_list(F.struct("is_bid", "price", "size")).alias("levels")
     )
-    return books.join(chunks.select("product_id", "no", "chunk"), ["product_id", "no"]).select(
+    return index.join(books, ["product_id", "no"], "left").select(
         F.col("product_id").alias("book_product"),
         F.col("chunk").alias("book_chunk"),
+        F.col("seg_before").alias("segment"),
+        F.col("epoch_before").alias("epoch"),
         F.col("levels.is_bid").alias("is_bid"),
         F.col("levels.price").alias("price"),
         F.col("levels.size").alias("size"),
     )
 
 
+def _plain(column: pa.Array) -> list:
+    """Python values of a flat column, through NumPy (much faster than boxing)."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def _replayer(depth: int):
     """Chunk replay: (messages of a chunk, its opening book) -> tops."""
     out_schema = pa.schema(
@@ -229,23 +271,43 @@ def _replayer(depth: int):
         ]
     )
 
+    def flat(lists: pa.ListArray) -> tuple[list, list]:
+        """Offsets and values of a list column; a missing number becomes NaN."""
+        return lists.offsets.to_numpy().tolist(), _plain(lists.values)
+
     def run(key, messages: pa.Table, opening: pa.Table) -> pa.Table:
         book = Replay(depth)
-        for row in opening.to_pylist():
-            book.apply(False, row["is_bid"], row["price"], row["size"])
-        messages = messages.sort_by("arrival_seq")
+        start = opening.to_pylist()[0]
+        segment, book_epoch = start["segment"], start["epoch"]
+        book.apply(False, start["is_bid"] or (), start["price"] or (), start["size"] or ())
         product = key[0].as_py()
         columns = [[] for _ in out_schema]
         before = None
         snapshot_here = False
-        plain = ("arrival_seq", "segment", "ts_ms", "book_epoch", "is_snapshot")
-        arrays = ("is_bid", "price", "size")
-        for batch in messages.to_batches(max_chunksize=8192):
-            data = [batch.column(c).to_pylist() for c in (*plain, *arrays)]
-            for seq, seg, ts_ms, epoch, snap, is_bid, price, size in zip(*data):
-                book.apply(snap, is_bid, price, size)
+        ordered = messages.sort_by("arrival_seq").combine_chunks()
+        for batch in ordered.to_batches():
+            at, prices = flat(batch.column("price"))
+            at_size, sizes = flat(batch.column("size"))
+            at_side, sides = flat(batch.column("is_bid"))
+            rows = zip(
+                batch.column("arrival_seq").to_numpy().tolist(),
+                batch.column("ts_ms").to_pylist(),
+                batch.column("conn_epoch").to_pylist(),
+                _plain(batch.column("is_snapshot")),
+            )
+            for i, (seq, ts_ms, epoch, snap) in enumerate(rows):
                 if snap:
+                    segment += 1
+                    book_epoch = epoch
                     before, snapshot_here = None, True
+                elif epoch != book_epoch:
+                    continue
+                book.apply(
+                    snap,
+                    sides[at_side[i] : at_side[i + 1]],
+                    prices[at[i] : at[i + 1]],
+                    sizes[at_size[i] : at_size[i + 1]],
+                )
                 top = book.top()
                 if top is None:
                     continue
@@ -258,10 +320,10 @@ def _replayer(depth: int):
                 row = (
                     product,
                     seq,
-                    seg,
+                    segment,
                     ts_ms,
                     *top,
-                    -1 if epoch is None else epoch,
+                    -1 if book_epoch is None else book_epoch,
                     flow,
                     opens,
                     False,
@@ -276,24 +338,28 @@ def _replayer(depth: int):
 
 
 def replay(messages: DataFrame, spec: FeedSpec = FeedSpec()) -> DataFrame:
-    """Tops of book per applied message; ``ofi_delta`` is NULL on chunk openers."""
-    placed = segments(messages, spec)
-    # The co-group reuses the (product, chunk) partitioning of the segment pass.
-    fresh = placed.where(~F.col("stale")).select(
+    """Tops of book per applied message; ``ofi_delta`` is NULL on chunk openers.
+
+    Messages are shuffled once, by chunk. The chunk index is written first: it
+    is tiny, used twice, and its real size then decides how it is joined.
+    """
+    index = materialize(chunk_index(messages, spec), "book-chunks")
+    chunks = arrival_chunk(messages, spec.chunk_rows).select(
         "product_id",
         "chunk",
         "arrival_seq",
-        "segment",
         iso_millis("time").alias("ts_ms"),
-        "book_epoch",
+        "conn_epoch",
         "is_snapshot",
         "is_bid",
         "price",
         "size",
     )
     return (
-        fresh.groupBy("product_id", "chunk")
-        .cogroup(opening_books(placed).groupBy("book_product", "book_chunk"))
+        chunks.groupBy("product_id", "chunk")
+        .cogroup(
+            opening_books(messages, index, spec).groupBy("book_product", "book_chunk")
+        )
         .applyInArrow(_replayer(spec.depth_levels), schemas.BOOK_TOP)
     )
 

@@ -33,9 +33,10 @@ class Carried:
 def previous(col: str, out: str, order: str) -> Carried:
     """Value of ``col`` in the row before this one (NULL values are values)."""
     boxed = F.struct(F.col(col).alias("v"))
+    # Boxed after aggregating: struct buffers would force a sort-based aggregate.
     return Carried(
         out,
-        F.max_by(boxed, F.col(order)),
+        F.struct(F.max_by(F.col(col), F.col(order)).alias("v")),
         lambda name, w: F.lag(name).over(w),
         lambda w: F.lag(boxed).over(w),
         lambda local, carried: F.coalesce(local, carried)["v"],
@@ -71,7 +72,10 @@ def running_last(col: str, when: Column, out: str, order: str) -> Carried:
     boxed = F.when(when, F.struct(F.col(col).alias("v")))
     return Carried(
         out,
-        F.max_by(boxed, F.when(when, F.col(order))),
+        F.when(
+            F.max(F.when(when, F.lit(1))).isNotNull(),
+            F.struct(F.max_by(F.col(col), F.when(when, F.col(order))).alias("v")),
+        ),
         lambda name, w: F.last(name, ignorenulls=True).over(
             w.rowsBetween(W.unboundedPreceding, -1)
         ),

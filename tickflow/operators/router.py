@@ -40,7 +40,7 @@ def _is_object() -> Column:
     return (
         F.col("value").isNotNull()
         & F.col(f"msg.{schemas.CORRUPT}").isNull()
-        & F.rtrim(F.translate("value", "\n\r\t", "   ")).endswith("}")
+        & F.rtrim("value", F.lit(" \n\r\t")).endswith("}")
     )
 
 
@@ -98,7 +98,7 @@ def oversize_letters(routed: DataFrame, spec: FeedSpec = FeedSpec()) -> DataFram
     """Messages over the size limit: a truncated copy goes to the dead letters."""
     size = F.octet_length("value")
     kept = F.decode(
-        F.substring(F.encode("value", F.lit("UTF-8")), 1, spec.truncated_bytes), F.lit("UTF-8")
+        F.substring(F.encode("value", "UTF-8"), 1, spec.truncated_bytes), "UTF-8"
     )
     return routed.where(
         F.col("route").isin("trades", "book") & (size > spec.max_message_bytes)

@@ -18,6 +18,7 @@ def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.driver.memory", "12g")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
