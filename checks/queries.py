@@ -205,7 +205,7 @@ def _(spark, d):
 @register(
     "oversize_dlq",
     query(
-        """SELECT arrival_seq,
+        """SELECT arrival_seq, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS ingest_ts,
                   'message too large (' || strlen(value_text) || ' bytes) for book' AS error,
                   substr(value_text, 1, 64) || '...' AS raw
            FROM snapshot_text WHERE strlen(value_text) > 260""",
@@ -729,13 +729,14 @@ _MOMENT_SQL = ", ".join(
     [f"sum({c}) AS s_{c}" for c in _HAR]
     + [f"sum({a} * {b}) AS s_{a}_{b}" for i, a in enumerate(_HAR) for b in _HAR[i:]]
 )
+_HAR_INPUTS = ", ".join(f"coalesce({c}, 0) AS {c}" for c in schemas.HAR_FEATURES)
 
 
 @register(
     "har_moments",
     table(
-        f"(SELECT count(*) AS n, {_MOMENT_SQL} FROM train WHERE rv_1m IS NOT NULL "
-        "AND rv_15m IS NOT NULL AND rv_60m IS NOT NULL)",
+        f"(SELECT count(*) AS n, {_MOMENT_SQL} FROM "
+        f"(SELECT label_rv_5m, {_HAR_INPUTS} FROM train))",
         "n",
         " ".join(_MOMENTS),
         "train",

@@ -75,10 +75,17 @@ def with_persistence(rows: DataFrame) -> DataFrame:
     return rows.withColumn("persistence", F.col("rv_5m"))
 
 
+def har_inputs(rows: DataFrame) -> DataFrame:
+    """Lags for least squares: a window without any return did not move (0)."""
+    return rows.withColumns(
+        {c: F.coalesce(F.col(c), F.lit(0.0)) for c in schemas.HAR_FEATURES}
+    )
+
+
 def har_moments(rows: DataFrame) -> DataFrame:
     """Cross products of (1, lags, label): all that least squares needs."""
     names = [*schemas.HAR_FEATURES, schemas.LABEL]
-    usable = rows.dropna(subset=names)
+    usable = har_inputs(rows).dropna(subset=[schemas.LABEL])
     sums = [F.count(F.lit(1)).alias("n")]
     sums += [F.sum(c).alias(f"s_{c}") for c in names]
     sums += [
@@ -95,7 +102,7 @@ def _assemble(columns: Sequence[str], out: str) -> VectorAssembler:
 
 def fit_har(rows: DataFrame) -> PipelineModel:
     """Least squares of the label on lagged volatilities, solved in closed form."""
-    usable = rows.dropna(subset=[*schemas.HAR_FEATURES, schemas.LABEL])
+    usable = har_inputs(rows).dropna(subset=[schemas.LABEL])
     line = LinearRegression(
         featuresCol="har_vector",
         labelCol=schemas.LABEL,
@@ -164,10 +171,11 @@ def fit_trees(rows: DataFrame, spec: TreeSpec = TreeSpec()) -> PipelineModel:
 
 def forecast(rows: DataFrame, har: PipelineModel, trees: PipelineModel) -> DataFrame:
     """Test rows with one column per model."""
-    scored = har.transform(with_persistence(rows)).drop("har_vector")
-    keep = [*rows.columns, "persistence", "har"]
-    boosted = trees.transform(tree_inputs(scored.select(*KEYS, *schemas.FEATURES)))
-    return scored.select(*keep).join(boosted.select(*KEYS, "trees"), list(KEYS))
+    # The original columns ride along, so both models see their own inputs.
+    kept = with_persistence(rows).withColumn("row", F.struct("*"))
+    lined = har.transform(har_inputs(kept)).select("row.*", "har")
+    kept = lined.withColumn("row", F.struct("*"))
+    return trees.transform(tree_inputs(kept)).select("row.*", "trees")
 
 
 def evaluate(scored: DataFrame, models: Sequence[str], label: str = schemas.LABEL) -> DataFrame:

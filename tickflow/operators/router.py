@@ -94,20 +94,25 @@ def dead_letters(routed: DataFrame) -> DataFrame:
     )
 
 
-def oversize_letters(routed: DataFrame, spec: FeedSpec = FeedSpec()) -> DataFrame:
-    """Messages over the size limit: a truncated copy goes to the dead letters."""
-    size = F.octet_length("value")
-    kept = F.decode(
-        F.substring(F.encode("value", "UTF-8"), 1, spec.truncated_bytes), "UTF-8"
+def oversize_letter(spec: FeedSpec = FeedSpec()) -> Column:
+    """(error, raw) of a message over the limit: the size, and a truncated copy."""
+    size = F.octet_length("value").cast("string")
+    head = F.decode(F.substring(F.encode("value", "UTF-8"), 1, spec.truncated_bytes), "UTF-8")
+    return F.struct(
+        F.concat(F.lit("message too large ("), size, F.lit(" bytes) for "), "route").alias(
+            "error"
+        ),
+        F.concat(head, F.lit("...")).alias("raw"),
     )
-    return routed.where(
-        F.col("route").isin("trades", "book") & (size > spec.max_message_bytes)
-    ).select(
-        "arrival_seq",
-        F.concat(
-            F.lit("message too large ("), size.cast("string"), F.lit(" bytes) for "), "route"
-        ).alias("error"),
-        F.concat(kept, F.lit("...")).alias("raw"),
+
+
+def oversize_letters(routed: DataFrame, spec: FeedSpec = FeedSpec()) -> DataFrame:
+    """Messages over the size limit, as dead letters."""
+    big = F.octet_length("value") > spec.max_message_bytes
+    return (
+        routed.where(F.col("route").isin("trades", "book") & big)
+        .withColumn("letter", oversize_letter(spec))
+        .select("arrival_seq", "ingest_ts", "letter.*")
     )
 
 

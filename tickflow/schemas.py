@@ -143,3 +143,8 @@ PREDICTION = _struct(
     ("features", _S),
     ("created_at", _TS),
 )
+
+
+def with_day(schema: T.StructType, name: str) -> T.StructType:
+    """A copy of ``schema`` with a day partition column."""
+    return T.StructType([*schema.fields, T.StructField(name, T.DateType(), True)])

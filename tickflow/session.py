@@ -52,7 +52,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write once, read many: cuts lineage behind an expensive step.
 
     A columnar table in the shared folder survives lost executors and lets each
@@ -60,5 +60,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("errorifexists").parquet(path)
+    writer = df.write.mode("errorifexists")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickflow import schemas
+
 
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType, day_column: str | None = None
@@ -15,7 +17,7 @@ def read_table(
     """A table of files with a declared schema; its day partition stays visible."""
     if day_column is None:
         return spark.read.schema(schema).parquet(path)
-    return spark.read.schema(schema.add(day_column, T.DateType())).parquet(path)
+    return spark.read.schema(schemas.with_day(schema, day_column)).parquet(path)
 
 
 def since(df: DataFrame, ts_column: str, day_column: str, start: datetime) -> DataFrame:
