@@ -273,7 +273,8 @@ def _replayer(depth: int):
 
     def flat(lists: pa.ListArray) -> tuple[list, list]:
         """Offsets and values of a list column; a missing number becomes NaN."""
-        return lists.offsets.to_numpy().tolist(), _plain(lists.values)
+        at = lists.offsets.to_numpy()
+        return (at - at[0]).tolist(), _plain(lists.flatten())
 
     def run(key, messages: pa.Table, opening: pa.Table) -> pa.Table:
         book = Replay(depth)
@@ -284,8 +285,9 @@ def _replayer(depth: int):
         columns = [[] for _ in out_schema]
         before = None
         snapshot_here = False
-        ordered = messages.sort_by("arrival_seq").combine_chunks()
-        for batch in ordered.to_batches():
+        ordered = messages.sort_by("arrival_seq")
+        # Batch by batch: only Arrow buffers hold the whole chunk.
+        for batch in ordered.to_batches(max_chunksize=8192):
             at, prices = flat(batch.column("price"))
             at_size, sizes = flat(batch.column("size"))
             at_side, sides = flat(batch.column("is_bid"))

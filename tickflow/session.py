@@ -64,4 +64,11 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
+    _delete_on_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Scratch tables go when the driver ends, on whatever file system they are."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)

@@ -68,5 +68,5 @@ class FeedSpec:
     history_ttl_seconds: int = 7200
 
     # Arrival numbers per chunk. Arrival numbers are unique, so this bounds the
-    # rows that any one ordered task or book fold ever holds.
-    chunk_rows: int = 1 << 20
+    # rows that any one ordered task or book replay ever holds.
+    chunk_rows: int = 1 << 17
