@@ -5,8 +5,8 @@ task. Here the order is cut into chunks; every chunk is processed on its own
 and receives what it must know about the past from a one-row-per-chunk summary.
 The chunk column has to be non-decreasing in the order column.
 
-The summary join and the window share the (key, chunk) partitioning, so the
-bulk of the rows is shuffled once.
+What a chunk must know enters its window as one extra first row, so the bulk of
+the rows is shuffled and sorted once and joined with nothing.
 """
 
 from __future__ import annotations
@@ -19,6 +19,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+CARRY = "_carry"
+
+
 @dataclass(frozen=True)
 class Carried:
     """One output column: how to summarise a chunk, carry it, and finish it."""
@@ -32,7 +35,7 @@ class Carried:
 
 def previous(col: str, out: str, order: str) -> Carried:
     """Value of ``col`` in the row before this one (NULL values are values)."""
-    boxed = F.struct(F.col(col).alias("v"))
+    boxed = F.when(~F.col(CARRY), F.struct(F.col(col).alias("v")))
     # Boxed after aggregating: struct buffers would force a sort-based aggregate.
     return Carried(
         out,
@@ -69,7 +72,7 @@ def running_sum(col: str, out: str) -> Carried:
 
 def running_last(col: str, when: Column, out: str, order: str) -> Carried:
     """``col`` of the latest row, this one included, for which ``when`` holds."""
-    boxed = F.when(when, F.struct(F.col(col).alias("v")))
+    boxed = F.when(when & ~F.col(CARRY), F.struct(F.col(col).alias("v")))
     return Carried(
         out,
         F.when(
@@ -94,18 +97,24 @@ def over_chunks(
     )
     past = W.partitionBy(key).orderBy(chunk)
     carried = chunks.select(
-        key, chunk, *[c.carry(p, past).alias(p) for c, p in zip(columns, parts, strict=True)]
+        key,
+        chunk,
+        F.lit(True).alias(CARRY),
+        *[c.carry(p, past).alias(p) for c, p in zip(columns, parts, strict=True)],
     )
-    here = W.partitionBy(key, chunk).orderBy(order)
+    every = df.withColumn(CARRY, F.lit(False)).unionByName(carried, allowMissingColumns=True)
+    # The carry row has no order value: NULL sorts first.
+    here = W.partitionBy(key, chunk).orderBy(F.col(order).asc_nulls_first())
+    so_far = here.rowsBetween(W.unboundedPreceding, 0)
     return (
-        df.join(carried, [key, chunk])
-        .withColumns(
+        every.withColumns(
             {
-                c.out: c.finish(c.local(here), F.col(p))
+                c.out: c.finish(c.local(here), F.first(p).over(so_far))
                 for c, p in zip(columns, parts, strict=True)
             }
         )
-        .drop(*parts)
+        .where(~F.col(CARRY))
+        .drop(CARRY, *parts)
     )
 
 
