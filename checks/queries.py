@@ -179,6 +179,22 @@ def _(spark, d):
     return router.counters(V.routed(spark, d))
 
 
+@register(
+    "feed_counters",
+    query(
+        """SELECT route AS kind, count(*) AS n FROM (SELECT route FROM texts
+           UNION ALL SELECT 'book' FROM e) WHERE route <> 'control' GROUP BY 1
+           UNION ALL SELECT 'trade_gaps', CAST(sum(missed) AS BIGINT) FROM running_gaps
+           UNION ALL SELECT 'reconnects', greatest(count(*) - 1, 0) FROM texts
+             WHERE route = 'control'""",
+        "texts",
+        "running_gaps",
+    ),
+)
+def _(spark, d):
+    return monitor.feed_counters(V.routed(spark, d), _running(spark, d))
+
+
 @register(
     "dlq_records",
     query(
@@ -297,9 +313,7 @@ def _(spark, d):
 
 
 def _running(spark, d):
-    return gaps.running_gaps(
-        V.feed_trades(spark, d), router.heartbeats(V.routed(spark, d)), FEED
-    )
+    return gaps.running_gaps(*V.landed_trades(spark, d), FEED)
 
 
 @register(
@@ -377,7 +391,7 @@ SELECT t.*, coalesce(g.gaps, 0) AS gaps, coalesce(g.missed, 0) AS missed FROM
 
 @register("gap_report", query(_GAP_REPORT, "feed_trades", "sorted_gaps"))
 def _(spark, d):
-    return gaps.gap_report(V.feed_trades(spark, d), FEED)
+    return gaps.gap_report(V.landed_trades(spark, d)[0], FEED)
 
 
 @register(
@@ -617,15 +631,17 @@ def _(spark, d):
         """SELECT min(bar_count_5m) AS min_bar_count, min(label_bar_count) AS min_label_bar_count,
                   round(min(rv_5m), 6) AS min_rv_5m,
                   round(min(spread_max_5m - spread_mean_5m), 6) + CAST(0 AS DOUBLE)
-                    AS min_spread_slack
+                    AS min_spread_slack,
+                  min(bar_count_5m) >= 8 AND min(label_bar_count) >= 8 AND min(rv_5m) >= 0
+                    AND min(spread_max_5m - spread_mean_5m) >= 0 AS passed
            FROM gold""",
         "gold",
     ),
 )
 def _(spark, d):
     return shape(
-        quality.gold_ranges(V.gold_rows(spark, d)),
-        "min_bar_count min_label_bar_count",
+        quality.gold_ranges(V.gold_rows(spark, d), BARS),
+        "min_bar_count min_label_bar_count passed",
         "min_rv_5m min_spread_slack",
     )
 

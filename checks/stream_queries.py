@@ -9,20 +9,16 @@ from checks.queries import _BB, _TB, register, shape
 from checks.sql import table
 from checks.views import BARS, FEED
 from tickflow import schemas
-from tickflow.session import materialize, scratch_path
+from tickflow.session import scratch_path, write_scratch
 from tickflow.sources.topics import FileTopic
 from tickflow.streaming import bars as stream_bars
 from tickflow.streaming import online
+from tickflow.streaming import scoring as stream_scoring
 
 # Only windows that ended before the final watermark have been emitted.
 _CLOSED = "bar_ts + INTERVAL 1 MINUTE <= (SELECT max({clock}) FROM {rows}) - INTERVAL 30 SECOND"
 
 
-def landed(df, name: str) -> str:
-    """The folder of a written copy of ``df``."""
-    return materialize(df, name).inputFiles()[0].rsplit("/", 1)[0]
-
-
 def drain(stream, name: str, schema):
     """Run a stream over all available input and read back its table."""
     spark = stream.sparkSession
@@ -51,7 +47,7 @@ _LIVE = "(SELECT ts FROM slots WHERE route = 'trades' AND type = 'match' AND m <
     table(f"{_FEED_BARS} WHERE {_CLOSED.format(clock='ts', rows=_LIVE)}", *_TB, "slots"),
 )
 def _(spark, d):
-    raw = FileTopic(landed(V.feed(spark, d), "feed")).stream(spark)
+    raw = FileTopic(write_scratch(V.feed(spark, d), "feed")).stream(spark)
     closed = stream_bars.trade_bars(raw, BARS, FEED)
     return shape(drain(closed, "trade-bars", schemas.TRADE_BAR), *_TB)
 
@@ -72,7 +68,7 @@ _TOP_BARS = """
 )
 def _(spark, d):
     stream_bars.use_state_store(spark)
-    raw = FileTopic(landed(V.feed(spark, d), "feed")).stream(spark)
+    raw = FileTopic(write_scratch(V.feed(spark, d), "feed")).stream(spark)
     closed = stream_bars.book_bars(raw, BARS, FEED)
     return shape(drain(closed, "book-bars", schemas.BOOK_BAR), *_BB)
 
@@ -80,7 +76,7 @@ def _(spark, d):
 def bar_stream(spark, df, name: str):
     """A stream over a written copy of a bar table."""
     zoned = df.withColumn("bar_ts", F.col("bar_ts").cast("timestamp"))
-    return spark.readStream.schema(zoned.schema).parquet(landed(zoned, name))
+    return spark.readStream.schema(zoned.schema).parquet(write_scratch(zoned, name))
 
 
 # The online path asks for a point whenever a book bar arrives, once both
@@ -128,3 +124,53 @@ def _(spark, d):
     return shape(
         rows.withColumn("as_of_ts", F.col("as_of_ts").cast("timestamp_ntz")), *_ONLINE_COLUMNS
     )
+
+
+def _feature_stream(spark, d, copies: int = 1):
+    """Gold rows as a live feature stream, each delivered ``copies`` times."""
+    rows = V.gold_rows(spark, d).withColumn("as_of_ts", F.col("as_of_ts").cast("timestamp"))
+    rows = rows.drop("label_ts", "built_at")
+    many = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("copy")
+    return spark.readStream.schema(rows.schema).parquet(write_scratch(many, "features"))
+
+
+def _forecast():
+    return (F.col("rv_5m") + F.col("rv_60m")) / F.lit(2.0)
+
+
+def _unzoned(df):
+    stamps = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp"]
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in stamps})
+
+
+_PRED = ("product_id as_of_ts label_ts model_version", "pred_rv pred_persistence")
+
+
+@register("stream_predictions", table("preds", *_PRED, "preds"))
+def _(spark, d):
+    # At-least-once delivery: every row comes twice and is scored once.
+    stream_bars.use_state_store(spark)
+    live = stream_scoring.score(
+        _feature_stream(spark, d, copies=2), _forecast(), F.lit("mean-v1"), BARS
+    )
+    return shape(_unzoned(drain(live, "predictions", live.schema)), *_PRED)
+
+
+@register(
+    "stream_labels",
+    table("labeled WHERE label_rv IS NOT NULL", "product_id as_of_ts", "pred_rv label_rv", "labeled"),
+)
+def _(spark, d):
+    stream_bars.use_state_store(spark)
+    scored = V.gold_rows(spark, d).withColumns(
+        {
+            "as_of_ts": F.col("as_of_ts").cast("timestamp"),
+            "pred_rv": _forecast(),
+            "pred_persistence": F.col("rv_5m"),
+        }
+    ).where(F.col("bar_count_5m") >= BARS.serve_coverage)
+    scored = scored.select("product_id", "as_of_ts", "pred_rv", "pred_persistence")
+    stored = spark.readStream.schema(scored.schema).parquet(write_scratch(scored, "predictions"))
+    live = stream_scoring.labels(stored, _feature_stream(spark, d), BARS)
+    rows = _unzoned(drain(live, "labels", live.schema))
+    return shape(rows, "product_id as_of_ts", "pred_rv label_rv")

@@ -195,12 +195,38 @@ def _run(spark, d) -> training.Run:
     return training.train(V.gold_rows(spark, d), _registry(spark), BARS, TREES)
 
 
-@register("har_predictions")
-def _(spark, d):
+def _har(spark, d):
     rows = modelling.prepare(V.gold_rows(spark, d), BARS)
     fit, test, _ = modelling.time_split(rows, BARS)
     scored = modelling.fit_har(fit).transform(modelling.har_inputs(test))
-    return shape(scored, "product_id as_of_ts", "har label_rv_5m")
+    return modelling.with_persistence(scored)
+
+
+@register(
+    "har_predictions",
+    table(
+        "(SELECT product_id, as_of_ts, har, y AS label_rv_5m FROM har WHERE test)",
+        "product_id as_of_ts",
+        "har label_rv_5m",
+        "har",
+    ),
+)
+def _(spark, d):
+    return shape(_har(spark, d), "product_id as_of_ts", "har label_rv_5m")
+
+
+_HAR_METRICS = " UNION ALL ".join(
+    f"SELECT '{m}' AS model, product_id, count(*) AS n, avg(abs(y - {m})) AS mae, "
+    f"sqrt(avg((y - {m}) * (y - {m}))) AS rmse FROM har WHERE test "
+    "GROUP BY GROUPING SETS ((), (product_id))"
+    for m in ("persistence", "har")
+)
+
+
+@register("har_eval", table(f"({_HAR_METRICS})", "model product_id n", "mae rmse", "har"))
+def _(spark, d):
+    metrics = modelling.evaluate(_har(spark, d), ["persistence", "har"])
+    return shape(metrics, "model product_id n", "mae rmse")
 
 
 @register("gbt_scores")

@@ -213,6 +213,13 @@ def book_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return router.book_messages(routed(spark, sf_dir))
 
 
+def landed_trades(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Trades and heartbeats, parsed once and written."""
+    rows = routed(spark, sf_dir).where(F.col("route").isin("trades", "heartbeat"))
+    table = materialize(rows.drop("value"), "trade-messages", partition_by="route")
+    return router.trades(table), router.heartbeats(table)
+
+
 def landed_books(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Book messages parsed once and written, as the feed landing job does."""
     return materialize(book_messages(spark, sf_dir), "book-messages")

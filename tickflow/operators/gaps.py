@@ -24,14 +24,20 @@ def running_gaps(
     A heartbeat counts only once a trade has been seen; then it also raises the
     maximum. Late ids never lower it. Rows without an integer id are ignored.
     """
-    marks = trade_rows.select(
+    trades = trade_rows.where("trade_id IS NOT NULL").select(
         "product_id",
         "arrival_seq",
         F.col("trade_id").alias("id"),
         F.lit(1).alias("is_trade"),
         (F.col("type") == "last_match").alias("across_reconnect"),
-    ).unionByName(
-        heartbeat_rows.select(
+    )
+    # Only heartbeats, about one a second, meet the per-product first trade.
+    first = trades.groupBy("product_id").agg(F.min("arrival_seq").alias("first_trade"))
+    beats = (
+        heartbeat_rows.where("last_trade_id IS NOT NULL")
+        .join(first, "product_id")
+        .where(F.col("arrival_seq") > F.col("first_trade"))
+        .select(
             "product_id",
             "arrival_seq",
             F.col("last_trade_id").alias("id"),
@@ -39,18 +45,8 @@ def running_gaps(
             F.lit(False).alias("across_reconnect"),
         )
     )
-    marks = arrival_chunk(
-        marks.where(F.col("id").isNotNull() & F.col("product_id").isNotNull()), spec.chunk_rows
-    )
-    seen = over_chunks(
-        marks,
-        "product_id",
-        "arrival_seq",
-        "chunk",
-        [running_max("is_trade", "seen", inclusive=True)],
-    )
     tracked = over_chunks(
-        seen.where(F.col("seen") == 1),
+        arrival_chunk(trades.unionByName(beats), spec.chunk_rows),
         "product_id",
         "arrival_seq",
         "chunk",

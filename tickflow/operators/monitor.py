@@ -28,6 +28,22 @@ def message_rate(routed: DataFrame, clock: str, per: str = "1 minute") -> DataFr
     )
 
 
+def feed_counters(routed: DataFrame, running: DataFrame) -> DataFrame:
+    """(kind, n): messages per route, missed trade ids, and reconnects.
+
+    Every connection opens with one control message; the first is no reconnect.
+    """
+    routes = routed.groupBy(F.col("route").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    missed = running.agg(
+        F.lit("trade_gaps").alias("kind"), F.coalesce(F.sum("missed"), F.lit(0)).alias("n")
+    )
+    opened = F.count_if(F.col("route") == "control")
+    again = routed.agg(
+        F.lit("reconnects").alias("kind"), F.greatest(opened - 1, F.lit(0)).alias("n")
+    )
+    return routes.where("kind <> 'control'").unionByName(missed).unionByName(again)
+
+
 def latency_quantile(
     latencies: DataFrame, clock: str, value: str, q: float = 0.95, per: str = "10 minutes",
     accuracy: int = 10_000,

@@ -144,11 +144,10 @@ def hourly_counts(labeled: DataFrame, bucket: str = "1 hour") -> DataFrame:
 
 def latest_per_product(rows: DataFrame) -> DataFrame:
     """The newest row of every product, as one partial-aggregating pass."""
-    rest = [c for c in rows.columns if c != "product_id"]
-    return (
-        rows.groupBy("product_id")
-        .agg(F.max_by(F.struct(*rest), F.col("as_of_ts")).alias("r"))
-        .select("product_id", "r.*")
+    rest = [c for c in rows.columns if c not in ("product_id", "as_of_ts")]
+    # Column by column: fixed-width buffers keep this a hash aggregate.
+    return rows.groupBy("product_id").agg(
+        F.max("as_of_ts").alias("as_of_ts"), *[F.max_by(c, "as_of_ts").alias(c) for c in rest]
     )
 
 

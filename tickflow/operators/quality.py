@@ -49,14 +49,21 @@ def require_gold_quality(gold_rows: DataFrame, spec: BarSpec = BarSpec()) -> int
     return row.low_coverage
 
 
-def gold_ranges(gold_rows: DataFrame) -> DataFrame:
-    """Smallest coverage, volatility and spread slack in the table."""
+def gold_ranges(gold_rows: DataFrame, spec: BarSpec = BarSpec()) -> DataFrame:
+    """Smallest coverage, volatility and spread slack, and whether they will do."""
+    low = spec.serve_coverage
+    passed = (
+        (F.col("min_bar_count") >= low)
+        & (F.col("min_label_bar_count") >= low)
+        & (F.col("min_rv_5m") >= 0)
+        & (F.col("min_spread_slack") >= 0)
+    )
     return gold_rows.agg(
         F.min("bar_count_5m").alias("min_bar_count"),
         F.min("label_bar_count").alias("min_label_bar_count"),
         F.min("rv_5m").alias("min_rv_5m"),
         F.min(F.col("spread_max_5m") - F.col("spread_mean_5m")).alias("min_spread_slack"),
-    )
+    ).withColumn("passed", passed)
 
 
 def close(a: Column, b: Column, rel: float, floor: float) -> Column:

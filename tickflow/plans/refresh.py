@@ -99,3 +99,10 @@ def refresh(
     after = target.read(spark)
     quality.require_gold_quality(after, spec)
     return BuildReport(before, after.count() - before)
+
+
+def start_over(spark: SparkSession, *tables: VersionedTable) -> None:
+    """Empty bar tables and what is derived from them, always together: a replay
+    need not reproduce every bar at the edges of lateness."""
+    for table in tables:
+        table.reset(spark)

@@ -52,12 +52,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Write once, read many: cuts lineage behind an expensive step.
-
-    A columnar table in the shared folder survives lost executors and lets each
-    reader prune columns and push filters, which a cache or checkpoint cannot.
-    """
+def write_scratch(df: DataFrame, name: str, partition_by: str | None = None) -> str:
+    """Write ``df`` as a scratch table in the shared folder; returns its path."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     writer = df.write.mode("errorifexists")
@@ -65,7 +61,17 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     _delete_on_exit(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    """Write once, read many: cuts lineage behind an expensive step.
+
+    A columnar table in the shared folder survives lost executors and lets each
+    reader prune columns and push filters, which a cache or checkpoint cannot.
+    """
+    path = write_scratch(df, name, partition_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _delete_on_exit(spark: SparkSession, path: str) -> None:
