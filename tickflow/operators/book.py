@@ -11,6 +11,7 @@ book.
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from math import inf
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,34 +29,50 @@ TOP_COLUMNS = ("best_bid", "best_bid_qty", "best_ask", "best_ask_qty")
 
 
 class Side:
-    """Price levels of one side, best first (``sign`` -1 for bids)."""
+    """Price levels of one side, best first (``sign`` -1 for bids).
 
-    __slots__ = ("sign", "ranks", "sizes")
+    The head (best price, its size, depth of the best levels) is kept until a
+    change reaches into it; most changes are further away.
+    """
+
+    __slots__ = ("sign", "ranks", "sizes", "head", "edge")
 
     def __init__(self, sign: int):
         self.sign = sign
         self.ranks: list[float] = []
         self.sizes: dict[float, float] = {}
+        self.head: tuple[float, float, float] | None = None
+        self.edge = 0.0
 
     def put(self, price: float, size: float) -> None:
         rank = self.sign * price
         if rank not in self.sizes:
             insort(self.ranks, rank)
         self.sizes[rank] = size
+        if rank <= self.edge:
+            self.head = None
 
     def drop(self, price: float) -> None:
         rank = self.sign * price
         if self.sizes.pop(rank, None) is not None:
             del self.ranks[bisect_left(self.ranks, rank)]
+            if rank <= self.edge:
+                self.head = None
 
     def clear(self) -> None:
         self.ranks.clear()
         self.sizes.clear()
+        self.head = None
 
     def best(self, depth: int) -> tuple[float, float, float]:
         """Best price, its size, and the size of the best ``depth`` levels."""
-        head = self.ranks[:depth]
-        return self.sign * head[0], self.sizes[head[0]], sum(self.sizes[r] for r in head)
+        if self.head is None:
+            near = self.ranks[:depth]
+            sizes = self.sizes
+            total = sum([sizes[r] for r in near])
+            self.head = (self.sign * near[0], sizes[near[0]], total)
+            self.edge = near[-1] if len(near) == depth else inf
+        return self.head
 
 
 class Replay:
@@ -282,8 +299,9 @@ def _replayer(depth: int):
         segment, book_epoch = start["segment"], start["epoch"]
         book.apply(False, start["is_bid"] or (), start["price"] or (), start["size"] or ())
         product = key[0].as_py()
-        columns = [[] for _ in out_schema]
+        tops = []
         before = None
+        opened = False
         snapshot_here = False
         ordered = messages.sort_by("arrival_seq")
         # Batch by batch: only Arrow buffers hold the whole chunk.
@@ -316,24 +334,23 @@ def _replayer(depth: int):
                 now = top[:4]
                 # Without a snapshot in this chunk the first top follows one of
                 # an earlier chunk, which is filled in afterwards.
-                opens = before is None and not snapshot_here
-                flow = None if opens else (0.0 if before is None else flow_delta(before, now))
+                if before is not None:
+                    flow = flow_delta(before, now)
+                elif snapshot_here:
+                    flow = 0.0
+                else:
+                    flow, opened = None, True
                 before = now
-                row = (
-                    product,
-                    seq,
-                    segment,
-                    ts_ms,
-                    *top,
-                    -1 if book_epoch is None else book_epoch,
-                    flow,
-                    opens,
-                    False,
-                )
-                for column, value in zip(columns, row):
-                    column.append(value)
-        if before is not None:
-            columns[-1][-1] = True
+                shown = -1 if book_epoch is None else book_epoch
+                tops.append((seq, segment, ts_ms, *top, shown, flow))
+        n = len(tops)
+        columns = [
+            [product] * n,
+            *(list(zip(*tops)) or [()] * (len(out_schema) - 3)),
+            [i == 0 and opened for i in range(n)],
+            # The last top leads into a later chunk unless the book was reset.
+            [i == n - 1 and before is not None for i in range(n)],
+        ]
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, out_schema)], out_schema)
 
     return run
