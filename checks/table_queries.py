@@ -77,7 +77,7 @@ def _(spark, d):
     before = stored.read(spark).agg(F.count(F.lit(1)).alias("rows_before"))
     stored.reset(spark)
     after = stored.read(spark).agg(F.count(F.lit(1)).cast("int").alias("rows_after"))
-    return before.withColumn("_", F.lit(1)).join(after.withColumn("_", F.lit(1)), "_").drop("_")
+    return before.withColumn("rows_after", after.scalar())
 
 
 @register(

@@ -203,11 +203,8 @@ def model_skill(metrics: DataFrame, baseline: str = "persistence") -> DataFrame:
     """Overall skill of every model against the baseline."""
     overall = metrics.where(F.col("product_id").isNull())
     base = overall.where(F.col("model") == baseline).select(F.col("mae").alias("base_mae"))
-    # One row per model against one baseline row.
-    return (
-        overall.withColumn("_one", F.lit(1))
-        .join(base.withColumn("_one", F.lit(1)), "_one")
-        .select("model", "mae", "rmse", skill(F.col("mae"), F.col("base_mae")).alias("skill"))
+    return overall.select(
+        "model", "mae", "rmse", skill(F.col("mae"), base.scalar()).alias("skill")
     )
 
 
@@ -244,11 +241,8 @@ def promotion(
 ) -> DataFrame:
     """Decision row: promoted when skill passes the gate or nothing serves yet."""
     incumbent = versions.agg(champion(versions).alias("incumbent"))
-    decided = (
-        skills.where(F.col("model") == candidate)
-        .withColumn("_one", F.lit(1))
-        .join(incumbent.withColumn("_one", F.lit(1)), "_one")
-        .drop("_one")
+    decided = skills.where(F.col("model") == candidate).withColumn(
+        "incumbent", incumbent.scalar()
     )
     first = F.col("incumbent").isNull()
     passed = F.coalesce(F.col("skill") >= spec.promotion_min_skill, F.lit(False))

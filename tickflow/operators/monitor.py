@@ -84,21 +84,14 @@ def ready_points(
 ) -> DataFrame:
     """Grid points that both streams have passed by the safety margin.
 
-    The marks are two rows, so their minimum joins as one row.
+    Without both streams nothing is ready.
     """
-    marks = stream_marks(tagged).agg(
-        F.min("high_water").alias("both"), F.count(F.lit(1)).alias("streams")
-    )
-    points = (
-        book_bars.select("product_id", step_time(step_floor("bar_ts", spec.step_us), spec.step_us).alias("as_of_ts"))
-        .distinct()
-        .withColumn("_one", F.lit(1))
+    both = stream_marks(tagged).agg(
+        F.when(F.count(F.lit(1)) == 2, F.min("high_water")).alias("both")
     )
+    point = step_time(step_floor("bar_ts", spec.step_us), spec.step_us)
     return (
-        points.join(F.broadcast(marks.withColumn("_one", F.lit(1))), "_one")
-        .where(
-            (F.col("streams") == 2)
-            & (F.col("both") >= shift("as_of_ts", feed.sync_margin_seconds))
-        )
-        .select("product_id", "as_of_ts")
+        book_bars.select("product_id", point.alias("as_of_ts"))
+        .distinct()
+        .where(shift("as_of_ts", feed.sync_margin_seconds) <= both.scalar())
     )
