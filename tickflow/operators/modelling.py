@@ -55,9 +55,12 @@ def split_cut(rows: DataFrame, spec: BarSpec = BarSpec()) -> DataFrame:
 
 def time_split(
     rows: DataFrame, spec: BarSpec = BarSpec()
-) -> tuple[DataFrame, DataFrame, datetime]:
+) -> tuple[DataFrame, DataFrame, datetime | None]:
     """(train, test, cut). A row whose label window crosses the cut is in neither."""
-    cut = split_cut(rows, spec).first().cut
+    found = split_cut(rows, spec).first()
+    if found is None:
+        return rows, rows, None
+    cut = found.cut
     at = F.lit(cut).cast("timestamp_ntz")
     return rows.where(F.col("label_ts") <= at), rows.where(F.col("as_of_ts") >= at), cut
 
