@@ -2,9 +2,8 @@
 
 Each pass looks only at what the last one left open. Which lengths (then which
 lengths with prefix hashes) occur twice is handed to the next scan as a bitmap of
-fixed size, so no text is shuffled and the hint to broadcast has a proven bound. A
-slot shared by two keys only lets a row through to the next, finer pass; the last
-pass compares length, prefix hash and SHA-256 exactly.
+fixed size, so no text is shuffled. A slot shared by two keys only lets a row through
+to the next, finer pass; the last one compares length, prefix hash and SHA-256.
 """
 
 from __future__ import annotations
@@ -14,40 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickflow.llm.slots import SLOTS, bitmap, with_hit
 from tickflow.llm.text import or_empty
 from tickflow.session import materialize
 
-#: Bits of a bitmap: 2 MB, however large the corpus.
-SLOTS = 1 << 24
 
-
-def repeated_slots(keys: DataFrame, columns: Sequence[str], slots: int) -> DataFrame:
-    """A bitmap (bucket, bits) of the slots of keys that occur more than once."""
-    slot = F.pmod(F.xxhash64(*columns), F.lit(slots))
-    return (
-        keys.groupBy(*columns)
-        .count()
-        .filter("count > 1")
-        .select(slot.alias("_slot"))
-        .groupBy(F.bitmap_bucket_number("_slot").alias("_bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits"))
-    )
-
-
-def with_hit(
-    df: DataFrame, columns: Sequence[str], bitmap: DataFrame, name: str, slots: int
-) -> DataFrame:
-    """Add ``name``: whether the row's slot is set. At most ``slots / 8`` bytes are broadcast."""
-    slot = F.pmod(F.xxhash64(*columns), F.lit(slots))
-    position = F.bitmap_bit_position(slot)
-    byte = F.conv(F.hex(F.substring("_bits", position.cast("int") / 8 + 1, 1)), 16, 10)
-    hit = F.getbit(byte.cast("int"), (position % 8).cast("int")) == 1
-    return (
-        df.withColumn("_bucket", F.bitmap_bucket_number(slot))
-        .join(F.broadcast(bitmap), "_bucket", "left")
-        .withColumn(name, F.coalesce(hit, F.lit(False)))
-        .drop("_bucket", "_bits")
-    )
+def _repeated(keys: DataFrame, columns: Sequence[str], slots: int) -> DataFrame:
+    """A bitmap of the keys that occur more than once."""
+    return bitmap(keys.groupBy(*columns).count().filter("count > 1"), columns, slots)
 
 
 def exact_dedup(
@@ -74,12 +47,12 @@ def exact_dedup(
         or_empty(text_col).alias("_text"),
         *[c.alias(name) for name, c in carry.items()],
     ).withColumn("_len", F.octet_length("_text"))
-    lengths = repeated_slots(rows.select("_len"), ["_len"], slots)
+    lengths = _repeated(rows.select("_len"), ["_len"], slots)
     prefix = F.xxhash64(F.substring("_text", 1, prefix_chars))
     by_length = with_hit(rows, ["_len"], lengths, "_same_len", slots).withColumn(
         "_prefix", F.when(F.col("_same_len"), prefix)
     )
-    heads = repeated_slots(
+    heads = _repeated(
         by_length.filter("_same_len").select("_len", "_prefix"), ["_len", "_prefix"], slots
     )
     by_prefix = with_hit(by_length, ["_len", "_prefix"], heads, "_same_head", slots)
