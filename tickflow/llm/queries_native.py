@@ -6,6 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickflow.llm.exact_dedup import exact_dedup
+from tickflow.llm.licenses import (
+    ENDS,
+    LINE_ENDS,
+    known_sentences,
+    license_scan,
+    rule_sequences,
+)
+from tickflow.llm.mixing import mix_sources
 from tickflow.llm.quality import quality_rules
 from tickflow.llm.registry import query, table
 from tickflow.llm.text import or_empty
@@ -80,3 +88,54 @@ FROM m
 @query("op2_quality_rules", QUALITY_SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("removed_lines")
+
+
+def _license_sql() -> str:
+    known = ", ".join(f"('{s}', '{name}')" for s, name in known_sentences().items())
+
+    def cut(ends: str) -> str:
+        ends = ends.replace("'", "''")
+        return f"""
+          SELECT r, coalesce(string_agg('|' || name || '|', '' ORDER BY i), '') AS ids
+          FROM (SELECT r, unnest(s) AS s, unnest(range(len(s))) AS i
+                FROM (SELECT r, string_split(
+                        regexp_replace(text, '{ends}', '\\1' || chr(1), 'g'), chr(1)) AS s
+                      FROM d))
+          LEFT JOIN known ON sentence = trim(regexp_replace(
+            translate(s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^a-z0-9]+', ' ', 'g'))
+          GROUP BY r"""
+
+    def matches(ids: str) -> str:
+        rest, found = ids, []
+        for licence, names in rule_sequences():
+            sequence = "".join(f"|{n}|" for n in names)
+            found.append(f"CASE WHEN contains({rest}, '{sequence}') THEN '{licence}' END")
+            rest = f"replace({rest}, '{sequence}', '-')"
+        return ", ".join(found)
+
+    return f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+    known(sentence, name) AS (VALUES {known}),
+    a AS ({cut(ENDS)}), b AS ({cut(LINE_ENDS)}),
+    f AS (
+      SELECT doc_id, a.ids AS w, b.ids AS l, list_sort(list_distinct(list_filter(
+        [{matches("a.ids")}, {matches("b.ids")}], lambda x: x IS NOT NULL))) AS licences
+      FROM d JOIN a USING (r) JOIN b USING (r)
+    )
+    SELECT doc_id,
+           replace(trim(CASE WHEN length(l) > length(w) THEN l ELSE w END, '|'), '||', ',')
+             AS sentence_ids,
+           array_to_string(licences, ',') AS licenses, len(licences)::BIGINT AS n_licenses
+    FROM f
+    """
+
+
+@query("op3_license_scan", _license_sql())
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+@query("op10_mix_sources")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
