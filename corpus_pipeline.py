@@ -1,7 +1,78 @@
-"""The corpus pipeline and its registration as a query."""
+"""The corpus pipeline: raw documents to deduplicated, mixed and segmented ones.
+
+Each stage takes (spark, docs, sf_dir); its result is written as Parquet and read again
+as the next one's ``docs``. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tickflow.llm.exact_dedup import exact_dedup
+from tickflow.llm.mixing import mix_sources
+from tickflow.llm.near_dedup import near_duplicates
+from tickflow.llm.pieces import encode_pieces
+from tickflow.llm.quality import quality_filter
 from tickflow.llm.queries import LLM_ORACLES, LLM_QUERIES
+from tickflow.llm.queries_free import PIECE_MODEL
+from tickflow.llm.registry import query, table
+from tickflow.llm.slots import without
+from tickflow.session import materialize
+
+__all__ = ["LLM_ORACLES", "LLM_QUERIES", "ORACLE_SQL", "STAGES", "run"]
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go; the others lose their host's boilerplate lines."""
+    return quality_filter(docs)
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts one row stays, also where a row repeats its id with its text."""
+    judged = exact_dedup(docs, carry={"_row": F.struct("*")}).filter("kept")
+    single = judged.filter("group_size = 1").select("_row")
+    first = judged.filter("group_size > 1").dropDuplicates(["keep_id", "_digest"]).select("_row")
+    return single.union(first).select("_row.*")
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays."""
+    dropped = near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
+    return without(docs, materialize(dropped, "dropped"), "doc_id")
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mixture uses them; those it has no use for go."""
+    uses = mix_sources(docs).groupBy("doc_id").agg((F.max("epoch") + 1).alias("_uses"))
+    turns = F.sequence(F.lit(1), F.col("_uses"))
+    return (
+        docs.join(uses.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
+        .withColumn("_use", F.explode(turns))
+        .select(docs.columns)
+    )
+
+
+def segment(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with the ids of their pieces."""
+    return encode_pieces(docs, PIECE_MODEL, carry=tuple(docs.columns))
+
+
+STAGES = [
+    ("quality", quality),
+    ("exact_dedup", exact),
+    ("near_dedup", near),
+    ("mix", mix),
+    ("sentencepiece", segment),
+]
+
+#: Segmentation and components can't be told in SQL; tests compare with brute force.
+ORACLE_SQL = None
+
 
-__all__ = ["LLM_ORACLES", "LLM_QUERIES"]
+@query("pipeline")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -32,7 +32,9 @@ def exact_dedup(
     prefix_chars: int = 256,
     slots: int = SLOTS,
 ) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, and the ``carry`` columns.
+    """One row per input row: doc_id, keep_id, group_size, kept, _digest, and ``carry``.
+
+    ``_digest`` is the text's SHA-256 where the text was read in full, else null.
 
     Of rows with equal texts the one with the largest id stays. A null text equals the
     empty text. Null ids rank below all others; a group of null ids keeps them. Rows
@@ -65,6 +67,7 @@ def exact_dedup(
         F.col("_id").alias("keep_id"),
         F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"),
+        "_digest",
         *names,
     )
     open_rows = narrow.filter("_digest is not null")
@@ -78,6 +81,7 @@ def exact_dedup(
         "keep_id",
         "group_size",
         F.col("_id").eqNullSafe(F.col("keep_id")).alias("kept"),
+        "_digest",
         *names,
     )
     return single.unionByName(grouped)

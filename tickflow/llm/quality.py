@@ -142,6 +142,35 @@ def frequent_lines(rows: DataFrame, spec: QualitySpec) -> DataFrame:
     )
 
 
+def _judged(rows: DataFrame, spec: QualitySpec) -> DataFrame:
+    """Rows (_id, _host, _text and others) with all measures and the verdict."""
+    rows = rows.withColumn("_doc", F.xxhash64("_host", "_text"))
+    lost = frequent_lines(rows.select("_id", "_host", "_doc", "_text"), spec)
+    pct = F.lit(100).cast("long")
+    base_failed = (F.col("n_words") < spec.min_words) | (
+        pct * F.col("n_repeat_words") > spec.max_repeat_pct * F.col("n_words")
+    )
+    removed = F.coalesce("removed_words", F.lit(0).cast("long"))
+    depleted = pct * removed > spec.max_removed_pct * F.col("_line_words")
+    return (
+        base_measures(rows)
+        .drop("_text")
+        .join(lost, ["_doc", "_host"], "left")
+        .withColumn("removed_words", removed)
+        .withColumn("base_failed", base_failed)
+        .withColumn("kept", ~base_failed & ~depleted)
+    )
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str, host_col: str, *more: Column) -> DataFrame:
+    return docs.select(
+        F.col(id_col).alias("_id"),
+        or_empty(host_col).alias("_host"),
+        or_empty(text_col).alias("_text"),
+        *more,
+    )
+
+
 def quality_rules(
     docs: DataFrame,
     *,
@@ -150,43 +179,50 @@ def quality_rules(
     host_col: str = "source",
     spec: QualitySpec = QualitySpec(),
 ) -> DataFrame:
-    """One row per input row: the base measures, base_failed, kept, and what is removed.
+    """One row per input row: the base measures, base_failed, kept and removed_words.
 
     A null text has no words and fails. Null and empty hosts are one host. A document
     whose id is null holds a line only where all that hold it have none. Rows that
     repeat a text on a host share one verdict; lines without a word are no lines. An
     empty table gives an empty result; other columns of ``docs`` are not read.
-    ``removed_lines`` are keys as ``cleaned_text`` takes them, null where nothing is removed.
     """
-    rows = docs.select(
-        F.col(id_col).alias("_id"),
-        or_empty(host_col).alias("_host"),
-        or_empty(text_col).alias("_text"),
-    ).withColumn("_doc", F.xxhash64("_host", "_text"))
-    measures = base_measures(rows).drop("_text")
-    lost = frequent_lines(rows, spec)
-    pct = F.lit(100).cast("long")
-    base_failed = (F.col("n_words") < spec.min_words) | (
-        pct * F.col("n_repeat_words") > spec.max_repeat_pct * F.col("n_words")
-    )
-    removed = F.coalesce("removed_words", F.lit(0).cast("long"))
-    depleted = pct * removed > spec.max_removed_pct * F.col("_line_words")
-    return measures.join(lost, ["_doc", "_host"], "left").select(
+    return _judged(_rows(docs, id_col, text_col, host_col), spec).select(
         F.col("_id").alias("doc_id"),
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        base_failed.alias("base_failed"),
-        (~base_failed & ~depleted).alias("kept"),
-        removed.alias("removed_words"),
-        "removed_lines",
+        *("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"),
+        *("base_failed", "kept", "removed_words"),
+    )
+
+
+def quality_filter(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    host_col: str = "source",
+    spec: QualitySpec = QualitySpec(),
+) -> DataFrame:
+    """The kept rows with all their columns, and without the lines above the limit.
+
+    Defined for nulls, empty and repeated rows as ``quality_rules`` is. Texts that lose
+    no line stay as they are.
+    """
+    rows = _rows(docs, id_col, text_col, host_col, F.struct("*").alias("_row"))
+    cleaned = _cleaned(F.col(f"_row.{text_col}"), F.col("removed_lines"))
+    return (
+        _judged(rows, spec)
+        .filter("kept")
+        .select("_row", cleaned.alias("_clean"))
+        .select(
+            *[
+                (F.col("_clean") if c == text_col else F.col("_row").getField(c)).alias(c)
+                for c in docs.columns
+            ]
+        )
     )
 
 
-def cleaned_text(text: Column, removed_lines: Column) -> Column:
-    """``text`` without the lines whose key is in ``removed_lines`` (null: none)."""
+def _cleaned(text: Column, removed_lines: Column) -> Column:
+    """``text`` without the lines whose hash is in ``removed_lines`` (null: none)."""
     kept = F.filter(
         F.split(text, "\n"),
         lambda line: ~F.array_contains(removed_lines, F.xxhash64(_normal(line))),

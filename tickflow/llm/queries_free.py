@@ -3,11 +3,31 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickflow.llm.near_dedup import near_duplicates
+from tickflow.llm.pieces import decode_pieces, encode_pieces
 from tickflow.llm.registry import query, table
+from tickflow.llm.text import or_empty
+
+#: Where the SentencePiece model lies on every machine.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 @query("op8_near_duplicates")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op9_sentencepiece")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: how many pieces, a hash of their ids, whether they decode to the text."""
+    docs = table(spark, sf_dir, "documents").withColumn("original", or_empty("text"))
+    encoded = encode_pieces(docs, PIECE_MODEL, carry=("doc_id", "original"))
+    measured = encoded.withColumn("n_pieces", F.size("ids").cast("long")).withColumn(
+        "ids_hash", F.xxhash64("ids")
+    )
+    carried = ("doc_id", "original", "n_pieces", "ids_hash")
+    decoded = decode_pieces(measured, PIECE_MODEL, carry=carried)
+    same = F.col("text") == F.col("original")
+    return decoded.select("doc_id", "n_pieces", "ids_hash", same.alias("lossless"))

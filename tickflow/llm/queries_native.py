@@ -29,7 +29,7 @@ FROM d WINDOW same AS (PARTITION BY text_sha256)
 @query("op1_exact_dedup", EXACT_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return exact_dedup(docs, carry={"text_sha256": F.sha2(or_empty("text"), 256)})
+    return exact_dedup(docs, carry={"text_sha256": F.sha2(or_empty("text"), 256)}).drop("_digest")
 
 
 QUALITY_SQL = r"""
@@ -87,7 +87,7 @@ FROM m
 
 @query("op2_quality_rules", QUALITY_SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(table(spark, sf_dir, "documents")).drop("removed_lines")
+    return quality_rules(table(spark, sf_dir, "documents"))
 
 
 def _license_sql() -> str:

@@ -49,3 +49,10 @@ def only(rows: DataFrame, keys: DataFrame, key: str, slots: int = SLOTS) -> Data
     """Rows whose key is among ``keys``; most others go where they are read."""
     hit = with_hit(rows, [key], bitmap(keys, [key], slots), "_hit", slots)
     return hit.filter("_hit").drop("_hit").join(keys.select(key), key, "left_semi")
+
+
+def without(rows: DataFrame, keys: DataFrame, key: str, slots: int = SLOTS) -> DataFrame:
+    """Rows whose key is not among ``keys``; most of them without a shuffle."""
+    hit = with_hit(rows, [key], bitmap(keys, [key], slots), "_hit", slots)
+    open_ = hit.filter("_hit").join(keys.select(key), key, "left_anti")
+    return hit.filter("NOT _hit").unionByName(open_).drop("_hit").select(rows.columns)
