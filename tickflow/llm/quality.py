@@ -8,6 +8,7 @@ of one text on a host are one document: they are left to deduplication.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -35,63 +36,71 @@ def _normal(line: Column) -> Column:
     return F.trim(F.regexp_replace(ascii_lower(line), r"[\x20\x09-\x0D]+", " "))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often ``body`` names it.
+
+    A column would do, but the optimiser writes its expression into each place of a
+    pushed-down filter that names it, and so into functions called per element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _repeat_words(words_: Column) -> Column:
+    """Words inside windows of 8 words that the text has twice or more."""
+    none = F.lit(0).cast("long")
+
+    def windows(hashes: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(hashes) - WINDOW)
+        return F.transform(
+            starts, lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(WINDOW)])
+        )
+
+    def repeated(keys: Column) -> Column:
+        ordered = F.sort_array(
+            F.transform(keys, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+        )
+        return _let(ordered, lambda o: _let(starts(o), covered))
+
+    def starts(ordered: Column) -> Column:
+        """Equal windows are neighbours here; the starts of all of them, in text order."""
+        twice = F.filter(
+            ordered,
+            lambda x, k: (F.get(ordered, k - 1)["h"] == x["h"])
+            | (F.get(ordered, k + 1)["h"] == x["h"]),
+        )
+        return F.sort_array(F.transform(twice, lambda x: x["i"]))
+
+    def covered(places: Column) -> Column:
+        """A window covers words up to its end or the next one's start."""
+        gaps = F.transform(
+            places,
+            lambda s, k: F.least(
+                F.lit(WINDOW), F.coalesce(F.get(places, k + 1) - s, F.lit(WINDOW))
+            ),
+        )
+        return F.aggregate(gaps, none, lambda total, n: total + n)
+
+    def counted(hashes: Column) -> Column:
+        differ = lambda k: F.size(F.array_distinct(k)) == F.size(k)
+        some = _let(windows(hashes), lambda k: F.when(differ(k), none).otherwise(repeated(k)))
+        return F.when(F.size(hashes) < WINDOW, none).otherwise(some)
+
+    return _let(F.transform(words_, lambda w: F.xxhash64(w)), counted)
+
+
 def base_measures(rows: DataFrame) -> DataFrame:
     """Add the base columns to rows with ``_text`` (never null)."""
     text = F.col("_text")
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD))
     normal = F.array_distinct(F.transform(F.col("_lines"), _normal))
-    measured = (
-        rows.withColumn("_words", words(text))
-        .withColumn("_lines", lines)
-        .withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
-    )
-    hashes = F.col("_hashes")
-    windows = F.when(
-        F.size(hashes) >= WINDOW,
-        F.transform(
-            F.sequence(F.lit(0), F.size(hashes) - WINDOW),
-            lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(WINDOW)]),
-        ),
-    )
-    measured = measured.withColumn("_windows", windows)
-    repeated = F.size(F.array_distinct("_windows")) < F.size("_windows")
-    ordered = F.when(
-        repeated,
-        F.sort_array(
-            F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
-        ),
-    )
-    measured = measured.withColumn("_ordered", ordered)
-    # Equal windows are neighbours now; the starts of all of them, in text order.
-    starts = F.sort_array(
-        F.transform(
-            F.filter(
-                "_ordered",
-                lambda x, k: (F.get("_ordered", k - 1)["h"] == x["h"])
-                | (F.get("_ordered", k + 1)["h"] == x["h"]),
-            ),
-            lambda x: x["i"],
-        )
-    )
-    measured = measured.withColumn("_starts", starts)
-    # A repeated window covers words up to its end or the next one's start.
-    covered = F.aggregate(
-        F.transform(
-            "_starts",
-            lambda s, k: F.least(
-                F.lit(WINDOW), F.coalesce(F.get("_starts", k + 1) - s, F.lit(WINDOW))
-            ),
-        ),
-        F.lit(0).cast("long"),
-        lambda total, n: total + n,
-    )
+    measured = rows.withColumn("_words", words(text)).withColumn("_lines", lines)
     return measured.select(
         *rows.columns,
         F.size("_words").cast("long").alias("n_words"),
         F.length(without(text, SEPARATORS)).cast("long").alias("word_chars"),
         (F.length(text) - F.length(without(text, SYMBOLS))).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
+        _repeat_words(F.col("_words")).alias("n_repeat_words"),
         F.aggregate(
             F.transform(normal, _spaces), F.lit(0).cast("long"), lambda total, n: total + n
         ).alias("_line_words"),
@@ -158,7 +167,8 @@ def _judged(rows: DataFrame, spec: QualitySpec) -> DataFrame:
         .join(lost, ["_doc", "_host"], "left")
         .withColumn("removed_words", removed)
         .withColumn("base_failed", base_failed)
-        .withColumn("kept", ~base_failed & ~depleted)
+        # One term, so that a filter on it is not split and worked out before the join.
+        .withColumn("kept", F.greatest(base_failed.cast("int"), depleted.cast("int")) == 0)
     )
 
 
@@ -204,7 +214,7 @@ def quality_filter(
     """The kept rows with all their columns, and without the lines above the limit.
 
     Defined for nulls, empty and repeated rows as ``quality_rules`` is. Texts that lose
-    no line stay as they are.
+    no line stay as they are; of others, a column ``n_chars`` is counted anew.
     """
     rows = _rows(docs, id_col, text_col, host_col, F.struct("*").alias("_row"))
     cleaned = _cleaned(F.col(f"_row.{text_col}"), F.col("removed_lines"))
@@ -212,15 +222,20 @@ def quality_filter(
         _judged(rows, spec)
         .filter("kept")
         .select("_row", cleaned.alias("_clean"))
-        .select(
-            *[
-                (F.col("_clean") if c == text_col else F.col("_row").getField(c)).alias(c)
-                for c in docs.columns
-            ]
-        )
+        .select(*[_column(c, text_col).alias(c) for c in docs.columns])
     )
 
 
+def _column(name: str, text_col: str) -> Column:
+    old = F.col("_row").getField(name)
+    if name == text_col:
+        return F.col("_clean")
+    if name == "n_chars":
+        same = F.col("_row").getField(text_col).eqNullSafe(F.col("_clean"))
+        return F.when(same, old).otherwise(F.length("_clean").cast("long"))
+    return old
+
+
 def _cleaned(text: Column, removed_lines: Column) -> Column:
     """``text`` without the lines whose hash is in ``removed_lines`` (null: none)."""
     kept = F.filter(
