@@ -16,8 +16,8 @@ def join_dealt(rows: DataFrame, facts: DataFrame, key: str, how: str = "inner")
     first one determines, makes it deal out both sides for the join.
     """
     check = "_" + key + "_check"
-    left = rows.withColumn(check, F.xxhash64(key))
-    right = facts.withColumn(check, F.xxhash64(key))
+    left = rows.withColumn(check, F.hash(key) % 2)
+    right = facts.withColumn(check, F.hash(key) % 2)
     return left.join(right, [key, check], how).drop(check)
 
 
@@ -27,41 +27,32 @@ def _least_neighbour(edges: DataFrame) -> DataFrame:
     return join_dealt(edges, least, "u")
 
 
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Whether every edge ties a node with no other edge to the root of its star."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("root"))
+    ends = ends.union(edges.select("v", F.lit(0), F.lit(1)))
+    wrong = F.sum("up") + F.max("root") > 1
+    return ends.groupBy("node").agg(wrong.alias("wrong")).filter("wrong").isEmpty()
+
+
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component) for every node in a link; a component is its smallest node.
 
     Large stars tie each node's larger neighbours to its least one, small stars its
-    smaller ones; repeated until nothing changes, in rounds logarithmic in the number
+    smaller ones; repeated until only stars are left, in rounds logarithmic in the number
     of nodes. Every round is a written table, so no lineage grows and lost executors
-    cost one round. Links of a node to itself give a component of its own.
+    cost one round. Links of a node to itself count for nothing.
     """
-    edges = materialize(links.select(F.col(a).alias("u"), F.col(b).alias("v")).distinct(), "edges")
-    state = None
-    while True:
+    first = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u > v")
+    edges = materialize(first.distinct(), "edges")
+    while not _is_star_forest(edges):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (
-            _least_neighbour(both)
-            .filter("v > u")
-            .select(F.col("v").alias("u"), F.col("m").alias("v"))
-        )
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        small = _least_neighbour(down.distinct())
-        edges = materialize(
-            small.select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .union(small.select("u", F.col("m").alias("v")))
-            .filter("u <> v")
-            .distinct(),
-            "edges",
+        large = _least_neighbour(both).filter("v > u")
+        down = large.select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = _least_neighbour(down)
+        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(
+            small.select("u", F.col("m").alias("v"))
         )
-        seen = edges.agg(
-            F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-        ).first()
-        if seen == state:
-            break
-        state = seen
-    # A single read: every edge is now (node, component).
-    return (
-        edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        .union(edges.select("v", "v"))
-        .distinct()
-    )
+        edges = materialize(small.filter("u > v").distinct(), "edges")
+    own = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(own)

@@ -4,11 +4,12 @@ Texts with equal shingle sets are one class. Each class has one sketch; classes
 agree in all registers of a band share a bucket. In a bucket every member is compared
 with the bucket's smallest one, never with all others. Buckets whose members then
 belong to more than one component stay open: members outside the bucket's main
-component are compared with all the bucket's other components, some per round, until
-no bucket is open. So no pair of a bucket is left out but those already connected, and
-a bucket of n near copies costs n comparisons. A candidate pair first has its
-similarity estimated from the sketches by likelihood; pairs that could be similar are
-verified on their full shingle sets.
+component are compared with the members of its other components, unless bounds rule a
+link out: their similarities to the smallest one (Jaccard distance is a metric), how
+many shingles neither shares with any member, how many registers agree. So no link between members of a bucket is missed, except inside what is
+connected anyway, and a bucket of n near copies costs n comparisons. A candidate pair
+first has its similarity estimated from the sketches by likelihood; pairs that could
+be similar are verified on their full shingle sets.
 """
 
 from __future__ import annotations
@@ -17,20 +18,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickflow.llm.links import components, join_dealt
 from tickflow.llm.set_sketch import SketchSpec, estimated_jaccard, registers
 from tickflow.llm.shingles import mix, shingle_sets, slices, string_buffers
-from tickflow.llm.slots import only
+from tickflow.llm.slots import only, perhaps
 from tickflow.session import materialize
 
-#: Estimates are off by 0.02 on average (448 registers); pairs estimated lower than
-#: the threshold less this are not read in full.
-ESTIMATE_MARGIN = 0.2
-#: Members of an open bucket compared with all others in the first round; then doubled.
-FIRST_HUBS = 8
+#: An estimate's standard error is about 0.02 (448 registers). Similarities are taken to
+#: be within four of them; pairs that can't reach the threshold are not read in full.
+ESTIMATE_MARGIN = 0.08
+#: The same for a first look at two bits of each register.
+COARSE_MARGIN = 0.12
+#: Members of an open bucket compared with all others in its first round; then doubled.
+FIRST_HUBS = 64
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, spec: SketchSpec) -> DataFrame:
@@ -89,7 +92,7 @@ def _estimates(pairs: DataFrame, spec: SketchSpec) -> DataFrame:
             if not batch.num_rows:
                 continue
             one, two = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype="<u2").reshape(
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(
                     -1, spec.registers
                 )
                 for c in (4, 5)
@@ -111,39 +114,53 @@ class _Verifier:
     def __init__(self, docs: DataFrame, reps: DataFrame, spec: SketchSpec, percent: int) -> None:
         self.docs, self.reps, self.spec, self.percent = docs, reps, spec, percent
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """Of the pairs (a, b), those that are similar enough, as a written table."""
-        side = lambda x: self.reps.select(
+    def test(self, pairs: DataFrame) -> DataFrame:
+        """(a, b, linked, low, high) for pairs (a, b): bounds of their similarity.
+
+        A written table. Verified pairs have their similarity for both bounds.
+        """
+        ends = pairs.select(F.col("a").alias("rep")).union(pairs.select("b"))
+        near = perhaps(self.reps, ends, ["rep"])
+        side = lambda x: near.select(
             F.col("rep").alias(x),
             F.col("n_shingles").alias(f"n_{x}"),
             F.col("_registers").alias(f"reg_{x}"),
         )
-        # Sizes alone rule out many pairs before any sketch is read.
-        sized = pairs.join(side("b"), "b").join(side("a"), "a")
-        small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-        sized = sized.filter(100 * small >= self.percent * large)
+        both = pairs.join(side("b"), "b").join(side("a"), "a")
+        likely = materialize(_estimates(both, self.spec), "likely")
         floor = self.percent / 100 - ESTIMATE_MARGIN
-        close = materialize(
-            _estimates(sized, self.spec).filter(F.col("likely") >= floor).select("a", "b"), "close"
-        )
+        close = likely.filter(F.col("likely") >= floor).select("a", "b")
         needed = close.select(F.col("a").alias("_id")).union(close.select("b")).distinct()
-        sets = materialize(full_sets(only(self.docs, needed, "_id")), "sets").dropDuplicates(["_id"])
+        sets = materialize(full_sets(only(self.docs, needed, "_id")), "sets")
+        sets = sets.dropDuplicates(["_id"])
         set_a = sets.select(F.col("_id").alias("a"), F.col("_set").alias("set_a"))
         set_b = sets.select(F.col("_id").alias("b"), F.col("_set").alias("set_b"))
-        shared = F.size(F.array_intersect("set_a", "set_b")).cast("long")
-        union = F.size("set_a") + F.size("set_b") - shared
-        return materialize(
+        counted = (
             close.join(set_b, "b")
             .join(set_a, "a")
-            .filter(100 * shared >= self.percent * union)
-            .select("a", "b"),
-            "links",
+            .withColumn("_both", F.size(F.array_intersect("set_a", "set_b")).cast("long"))
+            .withColumn("_all", F.size("set_a") + F.size("set_b") - F.col("_both"))
+        )
+        exact = counted.select(
+            "a",
+            "b",
+            (100 * F.col("_both") >= self.percent * F.col("_all")).alias("linked"),
+            (F.col("_both") / F.col("_all")).alias("low"),
+            (F.col("_both") / F.col("_all")).alias("high"),
+        )
+        far = likely.filter(F.col("likely") < floor).select(
+            "a",
+            "b",
+            F.lit(False).alias("linked"),
+            (F.col("likely") - ESTIMATE_MARGIN).alias("low"),
+            (F.col("likely") + ESTIMATE_MARGIN).alias("high"),
         )
+        return materialize(exact.union(far), "tested")
 
 
 def _buckets(reps: DataFrame, spec: SketchSpec) -> DataFrame:
     """(key, rep, hub): members of buckets with at least two classes, and the least one."""
-    width = 2 * spec.rows
+    width = spec.rows
     bands = reps.select(
         "rep",
         F.explode(
@@ -154,34 +171,96 @@ def _buckets(reps: DataFrame, spec: SketchSpec) -> DataFrame:
         ).alias("key"),
     )
     hubs = bands.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("_last"))
-    hubs = hubs.filter("hub < _last").drop("_last")
-    return materialize(join_dealt(bands, hubs, "key"), "buckets")
+    hubs = materialize(hubs.filter("hub < _last").drop("_last"), "hubs")
+    return materialize(join_dealt(perhaps(bands, hubs, ["key"]), hubs, "key"), "buckets")
+
+
+def _packed(reps: DataFrame, spec: SketchSpec) -> DataFrame:
+    """(rep, packed): the low two bits of each register, 32 registers to a long."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = b"".join(batch.column(1).to_pylist())
+            low = np.frombuffer(raw, dtype=np.uint8).reshape(-1, spec.registers) & 3
+            low = np.pad(low, ((0, 0), (0, -spec.registers % 32)))
+            low = low[:, ::4] | low[:, 1::4] << 2 | low[:, 2::4] << 4 | low[:, 3::4] << 6
+            longs = np.ascontiguousarray(low).view("<i8")
+            bounds = np.arange(len(low) + 1) * longs.shape[1]
+            lists = pa.ListArray.from_arrays(pa.array(bounds, type=pa.int32()), longs.ravel())
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["rep", "packed"])
+
+    return reps.select("rep", "_registers").mapInArrow(pack, "rep long, packed array<long>")
+
+
+def _coarsely_near(one: str, two: str, similarity: float, spec: SketchSpec) -> Column:
+    """Whether two packed sketches agree as often as sets of that similarity may."""
+    differ = F.lit(0)
+    for i in range(-(-spec.registers // 32)):
+        x = F.get(one, F.lit(i)).bitwiseXOR(F.get(two, F.lit(i)))
+        some = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555))
+        differ = differ + F.bit_count(some)
+    # Of unequal registers a quarter agree in two bits.
+    return differ <= 0.75 * spec.registers * (1 - similarity + COARSE_MARGIN)
+
+
+def _shared(docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """(rep, n_shingles, shared): how many of each one's shingles others of them have too."""
+    sets = full_sets(only(docs, reps.select(F.col("rep").alias("_id")), "_id"))
+    shingles = sets.dropDuplicates(["_id"]).select(
+        F.col("_id").alias("rep"), F.explode("_set").alias("shingle")
+    )
+    counts = shingles.groupBy("shingle").agg(F.min("rep").alias("rep"), F.count("*").alias("n"))
+    # A shingle that several have counts for each of them as shared, which is all but
+    # those that one has alone.
+    alone = counts.filter("n = 1").groupBy("rep").agg(F.count("*").alias("alone"))
+    return reps.join(alone, "rep", "left").select(
+        "rep", "n_shingles", (F.col("n_shingles") - F.coalesce("alone", F.lit(0))).alias("shared")
+    )
 
 
-def _cross_pairs(members: DataFrame, n_hubs: int) -> tuple[DataFrame, DataFrame]:
+def _cross_pairs(
+    members: DataFrame, n_hubs: int, percent: int, spec: SketchSpec
+) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) of the buckets' hubs with members of other components, and the hubs.
 
     Hubs are the ``n_hubs`` members of a bucket whose components have the fewest members
-    there, so the large component of a hot bucket is never compared with itself.
+    there, so the large component of a hot bucket is never compared with itself. Pairs
+    that can't be linked are left out: by the triangle inequality, those whose distances
+    to the bucket's smallest member differ too much; those with too few shingles that are
+    not their own alone; those whose sketches differ too often. A pair comes from the
+    first bucket that it shares.
     """
+    part = F.xxhash64("key", "component").alias("part")
     counts = members.groupBy("key", "component").agg(F.count("*").alias("n"))
-    counts = counts.select(
-        F.xxhash64("key", "component").alias("part"), F.col("n"), F.col("key").alias("_k")
-    )
-    sized = join_dealt(
-        members.withColumn("part", F.xxhash64("key", "component")), counts, "part"
-    ).filter("key = _k")
+    counts = counts.select(part, "n", F.col("key").alias("_k"))
+    sized = join_dealt(members.withColumn("part", part), counts, "part").filter("key = _k")
     order = Window.partitionBy("key").orderBy("n", "rep")
+    facts = ("low", "high", "n_shingles", "shared", "packed", "keys")
     hubs = (
         sized.withColumn("_rank", F.row_number().over(order))
         .filter(F.col("_rank") <= n_hubs)
-        .select("key", F.col("rep").alias("hub"), F.col("component").alias("_other"))
+        .select(
+            *("key", "_rank"),
+            F.col("rep").alias("other"),
+            F.col("component").alias("_component"),
+            *[F.col(x).alias(f"_{x}") for x in facts],
+        )
     )
     hubs = materialize(hubs, "hubs")
+    threshold = percent / 100
+    most = F.least("shared", "_shared")
+    possible = (
+        (F.col("component") != F.col("_component"))
+        & (F.col("low") - F.col("_high") <= 1 - threshold + 1e-9)
+        & (F.col("_low") - F.col("high") <= 1 - threshold + 1e-9)
+        & (100 * most >= percent * (F.col("n_shingles") + F.col("_n_shingles") - most))
+        & _coarsely_near("packed", "_packed", threshold, spec)
+        & (F.array_min(F.array_intersect("keys", "_keys")) == F.col("key"))
+    )
     pairs = (
         members.join(hubs, "key")
-        .filter("component <> _other")
-        .select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b"))
+        .filter(possible)
+        .select(F.least("other", "rep").alias("a"), F.greatest("other", "rep").alias("b"))
         .distinct()
     )
     return pairs, hubs
@@ -189,17 +268,13 @@ def _cross_pairs(members: DataFrame, n_hubs: int) -> tuple[DataFrame, DataFrame]
 
 def _labelled(members: DataFrame, parts: DataFrame) -> DataFrame:
     """Members of buckets that still hold several components, with their components."""
-    named = join_dealt(
-        members.select("key", F.col("rep").alias("node")), parts, "node", "left"
-    ).select(
-        "key",
-        F.col("node").alias("rep"),
-        F.coalesce("component", "node").alias("component"),
-    )
+    members = members.drop("component").withColumnRenamed("rep", "node")
+    named = join_dealt(members, parts, "node", "left").withColumnRenamed("node", "rep")
+    named = named.withColumn("component", F.coalesce("component", "rep"))
     split = named.groupBy("key").agg(
-        F.min("component").alias("_low"), F.max("component").alias("_high")
+        F.min("component").alias("_least"), F.max("component").alias("_most")
     )
-    split = split.filter("_low < _high").select("key")
+    split = split.filter("_least < _most").select("key")
     return materialize(join_dealt(named, split, "key"), "open")
 
 
@@ -220,8 +295,8 @@ def near_duplicates(
     of a set that some row with an id has take its component, others none (null), and
     are kept. An empty table gives an empty result; other columns are not read.
 
-    A pair exactly at the threshold shares no bucket with a probability of
-    (1 - 0.75^7)^64, about 1 in 9,500, and less the more alike the two are.
+    A pair exactly at the threshold shares no bucket with a probability of about
+    (1 - 0.75^7)^64, 1 in 9,500, and less the more alike the two are.
     """
     narrow = materialize(sketches(docs, id_col, text_col, spec), "sketches")
     key = ["n_shingles", "_set_a", "_set_b"]
@@ -231,33 +306,44 @@ def near_duplicates(
     )
     classes = materialize(classes, "classes")
     reps = named.join(classes.withColumn("_id", F.col("rep")), ["_id", *key])
-    reps = materialize(reps.select("rep", "n_shingles", "_registers"), "reps")
-    members = _buckets(reps, spec).distinct()
-    pairs = members.filter("rep > hub").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
+    reps = reps.select("rep", "n_shingles", "_registers").dropDuplicates(["rep"])
+    reps = materialize(reps, "reps")
+    buckets = _buckets(reps, spec).filter("rep > hub")
+    pairs = buckets.select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    verifier = _Verifier(texts, reps.dropDuplicates(["rep"]), spec, percent)
-    links = verifier.links(pairs.distinct())
-    members = members.filter("rep > hub").select("key", "rep")
-    parts, n_hubs = None, FIRST_HUBS
-    while True:
-        parts = materialize(components(links, "a", "b"), "components")
-        members = _labelled(members, parts)
-        if members.isEmpty():
-            break
-        pairs, hubs = _cross_pairs(members, n_hubs)
-        found = verifier.links(pairs)
-        links = materialize(links.union(found).distinct(), "links")
-        members = members.join(
-            hubs.select("key", F.col("hub").alias("rep")), ["key", "rep"], "left_anti"
+    verifier = _Verifier(texts, reps, spec, percent)
+    tested = verifier.test(pairs)
+    links = tested.filter("linked").select("a", "b")
+    parts = materialize(components(links, "a", "b"), "components")
+    bounds = tested.select(F.col("a").alias("hub"), F.col("b").alias("rep"), "low", "high")
+    members = _labelled(buckets.join(bounds, ["hub", "rep"]), parts)
+    if not members.isEmpty():
+        facts = members.groupBy("rep").agg(F.collect_set("key").alias("keys"))  # of its bands
+        known = perhaps(reps, facts, ["rep"])
+        facts = facts.join(_packed(known, spec), "rep").join(
+            _shared(texts, facts.select("rep").join(known, "rep")), "rep"
         )
+        members = materialize(members.join(facts, "rep"), "open")
+    n_hubs = FIRST_HUBS
+    while not members.isEmpty():
+        pairs, hubs = _cross_pairs(members, n_hubs, percent, spec)
+        found = verifier.test(pairs).filter("linked").select("a", "b")
+        if not found.isEmpty():
+            links = links.union(found)
+            parts = materialize(components(links, "a", "b"), "components")
+        # Buckets with fewer hubs than they could have had are done; so are all hubs.
+        more = hubs.filter(F.col("_rank") == n_hubs).select("key")
+        if more.isEmpty():
+            break
+        done = hubs.select("key", F.col("other").alias("rep"))
+        left = members.join(more, "key", "left_semi").join(done, ["key", "rep"], "left_anti")
+        members = _labelled(left, parts)
         n_hubs *= 2
-    reach = classes.join(
-        parts.withColumnRenamed("node", "rep"), "rep", "left"
-    ).select(*key, F.coalesce("component", "rep").alias("_component"))
+    named = classes.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
+    named = named.select(*key, F.coalesce("component", "rep").alias("_component"))
     ids = narrow.select("_id", *key)
-    # The set's size joins as a value of its own, so that hot copies can be split.
     own = F.when(F.col("n_shingles") > 0, F.col("_component")).otherwise(F.col("_id"))
-    return ids.join(reach, key, "left").select(
+    return ids.join(named, key, "left").select(
         F.col("_id").alias("doc_id"),
         "n_shingles",
         own.alias("component_id"),

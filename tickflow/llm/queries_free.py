@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickflow.llm.near_dedup import near_duplicates
+from tickflow.llm.pii import BASE_KINDS, find_pii
 from tickflow.llm.pieces import decode_pieces, encode_pieces
 from tickflow.llm.registry import query, table
 from tickflow.llm.text import or_empty
@@ -31,3 +32,19 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = decode_pieces(measured, PIECE_MODEL, carry=carried)
     same = F.col("text") == F.col("original")
     return decoded.select("doc_id", "n_pieces", "ids_hash", same.alias("lossless"))
+
+
+@query("op6_personal_data")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
+    written = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+    )
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind))
+    return found.select(
+        "doc_id",
+        *[count(kind).cast("long").alias(f"n_{kind}") for kind in BASE_KINDS],
+        F.sha2(written(base), 256).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"),
+    )

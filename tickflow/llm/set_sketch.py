@@ -25,7 +25,7 @@ class SketchSpec:
     bands: int = 64
     #: Registers that two sets must agree in to become candidates.
     rows: int = 7
-    base: float = 1.02
+    base: float = 1.1
     #: Rate of a register's points per element.
     rate: float = 20.0
 
@@ -35,7 +35,7 @@ class SketchSpec:
 
 
 def registers(flat: np.ndarray, bounds: np.ndarray, spec: SketchSpec) -> np.ndarray:
-    """A row of 16-bit registers for each set; 0 everywhere for an empty one."""
+    """A row of 8-bit registers for each set; 0 everywhere for an empty one."""
     n_sets, m = len(bounds) - 1, spec.registers
     least = np.full(n_sets * m, np.inf)
     owner = np.repeat(np.arange(n_sets), np.diff(bounds))
@@ -58,7 +58,7 @@ def registers(flat: np.ndarray, bounds: np.ndarray, spec: SketchSpec) -> np.ndar
         drawn += k
     with np.errstate(divide="ignore"):
         level = np.floor(1 - np.log(least / (spec.rate * m)) / np.log(spec.base))
-    return np.clip(level, 0, 2**16 - 1).astype("<u2").reshape(n_sets, m)
+    return np.clip(level, 0, 255).astype(np.uint8).reshape(n_sets, m)
 
 
 def estimated_jaccard(

@@ -45,10 +45,17 @@ def with_hit(
     )
 
 
+def perhaps(
+    rows: DataFrame, keys: DataFrame, columns: Sequence[str], slots: int = SLOTS
+) -> DataFrame:
+    """Rows whose key may be among ``keys``; the others go where they are read."""
+    hit = with_hit(rows, columns, bitmap(keys, columns, slots), "_hit", slots)
+    return hit.filter("_hit").drop("_hit")
+
+
 def only(rows: DataFrame, keys: DataFrame, key: str, slots: int = SLOTS) -> DataFrame:
-    """Rows whose key is among ``keys``; most others go where they are read."""
-    hit = with_hit(rows, [key], bitmap(keys, [key], slots), "_hit", slots)
-    return hit.filter("_hit").drop("_hit").join(keys.select(key), key, "left_semi")
+    """Rows whose key is among ``keys``."""
+    return perhaps(rows, keys, [key], slots).join(keys.select(key), key, "left_semi")
 
 
 def without(rows: DataFrame, keys: DataFrame, key: str, slots: int = SLOTS) -> DataFrame:
