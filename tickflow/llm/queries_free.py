@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickflow.llm.language import LanguageSpec, identify, train
 from tickflow.llm.near_dedup import near_duplicates
 from tickflow.llm.pii import BASE_KINDS, find_pii
 from tickflow.llm.pieces import decode_pieces, encode_pieces
@@ -15,6 +16,21 @@ from tickflow.llm.text import or_empty
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
+def held_out() -> Column:
+    """Rows that no model learns from: a fourth, by their id. Null ids are not."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+
+
+@query("op7_language")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learned = docs.filter("doc_id is not null and text is not null and lang is not null")
+    model = train(learned.filter(~held_out()), LanguageSpec())
+    return identify(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous"
+    )
+
+
 @query("op8_near_duplicates")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
