@@ -10,7 +10,10 @@ from tickflow.llm.near_dedup import near_duplicates
 from tickflow.llm.pii import BASE_KINDS, find_pii
 from tickflow.llm.pieces import decode_pieces, encode_pieces
 from tickflow.llm.registry import query, table
+from tickflow.llm.slots import only
 from tickflow.llm.text import or_empty
+from tickflow.llm.toxicity import score_toxicity
+from tickflow.llm.toxicity import train as train_toxicity
 
 #: Where the SentencePiece model lies on every machine.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -21,6 +24,18 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
 
 
+@query("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter("toxic IN (0, 1)")
+    labels = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    learned = docs.select("doc_id", "text").filter(~held_out())
+    model = train_toxicity(only(learned, labels, "doc_id").join(labels, "doc_id"))
+    scored = score_toxicity(docs, model)
+    predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", predicted)
+
+
 @query("op7_language")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
