@@ -14,6 +14,8 @@ from tickflow.llm.slots import only
 from tickflow.llm.text import or_empty
 from tickflow.llm.toxicity import score_toxicity
 from tickflow.llm.toxicity import train as train_toxicity
+from tickflow.llm.warc import read_warc, write_warc
+from tickflow.session import scratch_path
 
 #: Where the SentencePiece model lies on every machine.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -65,6 +67,30 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_pieces", "ids_hash", same.alias("lossless"))
 
 
+WARC_SQL = """
+WITH d AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+t AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS holder, sha1(payload) AS hex FROM d),
+b AS (
+  SELECT page_id, holder, payload, string_agg(substr(
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((('0x' || substr(hex, 5 * (i // 4) + 1, 5))::BIGINT >> (5 * (3 - i % 4))) & 31)::INT,
+           1), '' ORDER BY i) AS digest
+  FROM t, range(32) r(i) GROUP BY page_id, holder, payload
+)
+SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> holder THEN holder END AS refers_to
+FROM b
+"""
+
+
+@query("op5_warc", WARC_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), path)
+    return read_warc(spark, path).drop("url", "intact")
+
+
 @query("op6_personal_data")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(table(spark, sf_dir, "documents"))
