@@ -14,11 +14,11 @@ from tickflow.plans.scoring import online_rows
 from tickflow.session import scratch_path
 from tickflow.spec import BarSpec
 
-T0 = datetime(2026, 7, 27, 12, 0, 0)
+T0 = datetime(2024, 3, 5, 9, 0, 0)
 
 
 def built():
-    return F.lit("2026-07-28 00:00:00").cast("timestamp_ntz")
+    return F.lit("2024-03-06 00:00:00").cast("timestamp_ntz")
 
 
 def at(seconds):
@@ -54,46 +54,45 @@ def row_at(spark, books, trades, ts, spec=BarSpec()):
 
 
 def test_windows_are_half_open_and_reach_back_for_the_base(spark):
-    books = [
-        book_bar(at(-300), 100.0),
-        book_bar(at(-2), 101.0),
-        book_bar(at(-1), 102.0),
-        book_bar(at(0), 103.0),
-    ]
-    r = row_at(spark, books, [], T0)
-    want = math.sqrt(sum(math.log(x) ** 2 for x in (101 / 100, 102 / 101, 103 / 102)))
-    for name in ("rv_1m", "rv_5m", "rv_15m", "rv_60m"):
-        assert math.isclose(r[name], want, rel_tol=1e-12)
-    assert (r.bar_count_5m, r.ofi_5m) == (3, 3.0)
+    mids = {-300: 80.0, -90: 84.0, -60: 82.0, -7: 83.5, 0: 81.0}
+    r = row_at(spark, [book_bar(at(s), m) for s, m in mids.items()], [], T0)
+    moves = [math.log(b / a) ** 2 for a, b in zip(list(mids.values()), list(mids.values())[1:])]
+    assert math.isclose(r.rv_1m, math.sqrt(sum(moves[2:])), rel_tol=1e-12)
+    for name in ("rv_5m", "rv_15m", "rv_60m"):
+        assert math.isclose(r[name], math.sqrt(sum(moves)), rel_tol=1e-12)
+    # The bar exactly five minutes back is outside, the one at the point inside.
+    assert (r.bar_count_5m, r.ofi_5m) == (4, 4.0)
 
 
 def test_the_future_stays_out(spark):
-    books = [book_bar(at(-1), 100.0), book_bar(at(0), 101.0), book_bar(at(1), 999.0)]
+    books = [book_bar(at(s), m) for s, m in ((-20, 64.0), (0, 48.0), (1, 7.0), (2, 21.0))]
     r = row_at(spark, books, [], T0)
-    assert math.isclose(r.rv_1m, math.log(1.01)) and r.bar_count_5m == 2
-    assert math.isclose(r.label_rv_5m, math.log(999 / 101)) and r.label_bar_count == 1
+    assert math.isclose(r.rv_1m, math.log(64 / 48)) and r.bar_count_5m == 2
+    ahead = math.hypot(math.log(48 / 7), math.log(21 / 7))
+    assert math.isclose(r.label_rv_5m, ahead) and r.label_bar_count == 2
 
 
 def test_spreads_and_depths(spark):
+    bars = [(0.25, 0.75), (0.5, 8.0), (1.5, 2.0), (0.75, 2.0)]
     books = [
-        book_bar(at(-3), 100.0, 1.0, 3.0),
-        book_bar(at(-2), 100.0, 2.0, 5.0),
-        book_bar(at(-1), 100.0, 3.0, 4.0),
+        book_bar(at(-40 + k), 50.0, mean, widest, bid=4.0 + k, ask=12.0)
+        for k, (mean, widest) in enumerate(bars)
     ]
     r = row_at(spark, books, [], T0)
-    assert (r.spread_mean_5m, r.spread_max_5m) == (2.0, 5.0)
-    assert (r.bid_depth_5m, r.ask_depth_5m) == (10.0, 5.0)
+    assert (r.spread_mean_5m, r.spread_max_5m) == (0.75, 8.0)
+    assert (r.bid_depth_5m, r.ask_depth_5m) == (5.5, 12.0)
 
 
 def test_trades_count_only_inside_the_window(spark):
     trades = [
-        trade_bar(at(-30), 2, 4.0, 1.0, 3.0),
-        trade_bar(at(-300), 9, 9.0),
-        trade_bar(at(30), 9, 9.0),
+        trade_bar(at(-299), 3, 5.0, 4.0, 1.0),
+        trade_bar(at(0), 4, 3.0, 0.0, 3.0),
+        trade_bar(at(-301), 50, 50.0),
+        trade_bar(at(1), 50, 50.0),
     ]
-    r = row_at(spark, [book_bar(at(-1), 100.0)], trades, T0)
-    assert (r.trades_5m, r.volume_5m) == (2, 4.0)
-    assert (r.maker_sell_5m - r.maker_buy_5m) / r.volume_5m == 0.5
+    r = row_at(spark, [book_bar(at(-2), 50.0)], trades, T0)
+    assert (r.trades_5m, r.volume_5m) == (7, 8.0)
+    assert (r.maker_sell_5m - r.maker_buy_5m) / r.volume_5m == 0.0
 
 
 def test_first_bar_counts_but_has_no_return(spark):

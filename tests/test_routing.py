@@ -102,10 +102,10 @@ def missed(spark, *values, rows=1 << 20):
 
 
 def test_running_gaps(spark):
-    assert missed(spark, match(10), match(13)) == {1: 2}
-    assert missed(spark, match(10), match(11), match(12)) == {}
-    assert missed(spark, match(10), match(500, "B"), match(11)) == {}
-    assert missed(spark, match(10), heartbeat(12), match(13)) == {1: 2}
+    assert missed(spark, match(71), match(72), match(73), match(74)) == {}
+    assert missed(spark, match(71), match(80), match(81), match(90)) == {1: 8, 3: 8}
+    assert missed(spark, match(71), match(9, "B"), match(72), match(10, "B")) == {}
+    assert missed(spark, match(71), heartbeat(75), match(76)) == {1: 4}
 
 
 def test_running_gaps_across_chunks(spark):

@@ -17,7 +17,7 @@ from tickflow.spec import BarSpec, FeedSpec
 from tickflow.streaming import bars as stream_bars
 from tickflow.streaming import online
 
-T0 = datetime(2026, 7, 27, 12, 0, 0)
+T0 = datetime(2024, 3, 5, 9, 0, 0)
 
 
 def iso(seconds):
