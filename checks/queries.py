@@ -381,8 +381,7 @@ def _(spark, d):
 _GAP_REPORT = """
 SELECT t.*, coalesce(g.gaps, 0) AS gaps, coalesce(g.missed, 0) AS missed FROM
   (SELECT product_id, count(*) AS trades, min(trade_id) AS first_id, max(trade_id) AS last_id,
-          string_agg(DISTINCT CAST(conn_epoch AS VARCHAR), ',' ORDER BY CAST(conn_epoch AS VARCHAR))
-            AS epochs
+          array_to_string(list_sort(list(DISTINCT conn_epoch)), ',') AS epochs
    FROM feed_trades WHERE type = 'match' GROUP BY 1) t
   LEFT JOIN (SELECT product_id, count(*) AS gaps, CAST(sum(missed) AS BIGINT) AS missed
              FROM sorted_gaps GROUP BY 1) g ON g.product_id = t.product_id

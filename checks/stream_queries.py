@@ -119,6 +119,7 @@ def _(spark, d):
         bar_stream(spark, V.trade_bars(spark, d), "trade-bars"),
         BARS,
         FEED,
+        delay="0 seconds",  # the views deliver their bars in order
     )
     rows = drain(live, "online", online.OnlineFeatures.output)
     return shape(

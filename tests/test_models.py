@@ -140,10 +140,14 @@ def test_scoring_is_idempotent_and_skips_low_coverage(spark, run):
     )
     target = scoring.prediction_table(scratch_path(spark, "t-preds"))
     target.publish(spark.createDataFrame([], schemas.PREDICTION))
-    for _ in range(2):
-        records = scoring.score_new(spark, features, outcome.trees, "5", target, F.lit(T0).cast("timestamp_ntz"))
+    now = F.lit(T0).cast("timestamp_ntz")
+    twice = features.unionByName(features)
+    sent = [
+        scoring.score_new(spark, rows, outcome.trees, "5", target, now).count()
+        for rows in (twice, features)
+    ]
     stored = target.read(spark)
-    assert stored.count() == 200 and records.count() == 200
+    assert stored.count() == 200 and sent == [200, 0]
     row = stored.orderBy("as_of_ts").first()
     assert row.product_id == "B-USD" and row.model_version == "5"
     assert row.label_ts - row.as_of_ts == timedelta(minutes=5)
@@ -156,7 +160,7 @@ def test_labels_and_accuracy(spark):
         rows, "product_id string, as_of_ts timestamp_ntz, rv_5m double"
     ).withColumn("bar_count_5m", F.lit(300))
     preds = predictions.prediction_rows(features, F.col("rv_5m") + 4, F.lit("v"))
-    labeled = predictions.label_join(preds, features)
+    labeled = predictions.label_join(preds, features.unionByName(features))
     found = {r.as_of_ts.minute: r.label_rv for r in labeled.collect()}
     assert found[3] == 8.0 and found[14] == 19.0 and found[15] is None
     now = F.lit(T0 + timedelta(minutes=19)).cast("timestamp_ntz")
@@ -166,3 +170,27 @@ def test_labels_and_accuracy(spark):
     series = predictions.rolling_accuracy(labeled, 3, BarSpec(chunk_steps=65)).count()
     assert series == 15
     assert predictions.latest_per_product(preds).first().as_of_ts == T0 + timedelta(minutes=19)
+
+
+def test_rolling_windows_longer_than_a_chunk(spark):
+    rows = [("A", T0 + timedelta(minutes=m), float(m * m % 97), 0.0, 1.0) for m in range(400)]
+    labeled = spark.createDataFrame(
+        rows, "product_id string, as_of_ts timestamp_ntz, pred_rv double, label_rv double, "
+        "pred_persistence double"
+    )
+    got = predictions.rolling_accuracy(labeled, 300, BarSpec(chunk_steps=70)).collect()
+    errors = [r[2] for r in rows]
+    for r in got:
+        m = int((r.as_of_ts - T0).total_seconds()) // 60
+        own = errors[max(m - 299, 0) : m + 1]
+        assert math.isclose(r.model_mae, sum(own) / len(own))
+    assert len(got) == 400
+
+
+def test_first_write_wins_inside_a_batch(spark):
+    rows = spark.createDataFrame(
+        [("A", T0, 1.0), ("A", T0, 2.0), ("B", T0, 3.0)],
+        "product_id string, as_of_ts timestamp_ntz, pred_rv double",
+    )
+    got = predictions.only_new(rows, rows.where("product_id = 'B'")).collect()
+    assert [(r.product_id, r.pred_rv) for r in got] == [("A", 1.0)]

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from tickflow import schemas
 from tickflow.operators import gaps, monitor, quality, router
 from tickflow.spec import FeedSpec
@@ -29,6 +30,12 @@ def routes(spark, *values):
     return [(r.route, r.error) for r in rows]
 
 
+@pytest.mark.parametrize("rest", [' {"type": "match"}', "}", " junk}", ', {"type": "match"}', "]"])
+def test_nothing_may_follow_an_object(spark, rest):
+    whole = '{"type": "match", "product_id": "A"}'
+    assert [r for r, _ in routes(spark, whole, whole + rest)] == ["trades", "dlq"]
+
+
 def test_routes_and_reasons(spark):
     invalid = ("dlq", "invalid json: not a JSON object")
     assert routes(

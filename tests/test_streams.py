@@ -1,6 +1,7 @@
 """Streams equal batch; restarts, late rows, extra fields, repeated batches."""
 
 import json
+import math
 import os
 import time
 from datetime import datetime, timedelta
@@ -198,3 +199,56 @@ def test_online_features_need_both_streams_and_come_in_order(spark, restart):
     want = math.sqrt(sum(math.log(b / a) ** 2 for a, b in zip(mids, mids[1:])))
     assert math.isclose(r.rv_60m, want, rel_tol=1e-12)
     assert math.isclose(r.depth_imb_5m, 1 / 3)
+
+
+def test_a_product_behind_the_others_loses_no_bars(spark):
+    """Product B's bars come five minutes after A's; windows reach back over 90 minutes."""
+    spec = BarSpec(horizons=(1, 5, 15, 90))
+    feed = FeedSpec(watermark="6 minutes")
+    paths = {n: scratch_path(spark, f"t-lag-{n}") for n in ("book", "trade", "out", "log")}
+    book_type = ", ".join(
+        f"{f.name} {'timestamp' if f.name == 'bar_ts' else f.dataType.simpleString()}"
+        for f in schemas.BOOK_BAR.fields
+    )
+    trade_type = ", ".join(
+        f"{f.name} {'timestamp' if f.name == 'bar_ts' else f.dataType.simpleString()}"
+        for f in schemas.TRADE_BAR.fields
+    )
+
+    def mid(s):
+        return 50.0 + (s * s // 30) % 7
+
+    def deliver(product, lo, hi):
+        at = [T0 + timedelta(seconds=s) for s in range(lo, hi, 30)]
+        mids = [mid(s) for s in range(lo, hi, 30)]
+        book = [(product, t, m, m, m, 1.0, 1.0, 2.0, 1.0, 1.0, 1, 1) for t, m in zip(at, mids)]
+        trade = [(product, t, 1, 1.0, 1.0, 0.0, 1.0, 1.0, 1.0) for t in at]
+        for name, rows, kind in (("book", book, book_type), ("trade", trade, trade_type)):
+            frame = spark.createDataFrame(rows, kind).coalesce(1)
+            frame.write.mode("append").parquet(paths[name])
+
+    ends = [0, 3000, 6000, 9000]
+    for lo, hi in zip(ends, ends[1:]):
+        deliver("A", lo, hi)
+        deliver("B", max(lo - 300, 0), hi - 300)
+        streams = [
+            spark.readStream.schema(k).parquet(paths[n])
+            for n, k in (("book", book_type), ("trade", trade_type))
+        ]
+        run(online.online_features(*streams, spec, feed), paths["out"], paths["log"])
+    found = {}
+    for r in spark.read.parquet(paths["out"]).collect():
+        found.setdefault(r.product_id, {})[r.as_of_ts] = r
+    assert set(found["A"]) == set(found["B"]) and len(found["A"]) > 130
+    longest = schemas.FEATURES[3]
+    for minute in (30, 89, 120, 135):
+        at = T0 + timedelta(minutes=minute)
+        lo = max(minute * 60 - 90 * 60, -1)
+        mids = [mid(s) for s in range(0, minute * 60 + 1, 30)]
+        moves = [
+            math.log(b / a) ** 2
+            for s, a, b in zip(range(30, minute * 60 + 1, 30), mids, mids[1:])
+            if s > lo
+        ]
+        for product in ("A", "B"):
+            assert math.isclose(found[product][at][longest], math.sqrt(sum(moves)))

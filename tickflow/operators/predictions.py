@@ -46,8 +46,14 @@ def score(
 
 
 def only_new(rows: DataFrame, existing: DataFrame) -> DataFrame:
-    """Rows whose key is not in the target yet: the first write wins."""
-    return rows.join(existing.select(*KEYS), KEYS, "left_anti")
+    """Rows whose key is not in the target yet, one for each key: the first write wins.
+
+    Of rows with one key, which arrive together, the least one counts as the first.
+    """
+    rest = [c for c in rows.columns if c not in KEYS]
+    first = rows.groupBy(*KEYS).agg(F.min(F.struct(*rest)).alias("_row"))
+    one = first.select(*KEYS, "_row.*").select(*rows.columns)
+    return one.join(existing.select(*KEYS), KEYS, "left_anti")
 
 
 def label_join(
@@ -55,13 +61,12 @@ def label_join(
 ) -> DataFrame:
     """Realised volatility of a prediction at T is rv_5m of the row at T + label.
 
-    Labels come from every feature row, also from poorly covered ones.
+    Labels come from every feature row, also from poorly covered ones. A row that was
+    delivered twice labels once.
     """
-    labels = features.select(
-        "product_id",
-        shift("as_of_ts", -spec.label_seconds).alias("as_of_ts"),
-        F.col("rv_5m").alias("label_rv"),
-    )
+    labels = features.groupBy(
+        "product_id", shift("as_of_ts", -spec.label_seconds).alias("as_of_ts")
+    ).agg(F.min("rv_5m").alias("label_rv"))
     return predictions.join(labels, KEYS, "left")
 
 
@@ -99,13 +104,13 @@ def rolling_accuracy(
 ) -> DataFrame:
     """The same errors as a series: at every prediction over its last ``steps``.
 
-    Rows near a chunk border are copied into the next chunk, so a long history
-    of one product is spread over tasks.
+    Rows are copied into every later chunk that their window reaches, so a long
+    history of one product is spread over tasks.
     """
     step = step_ceil("as_of_ts", spec.step_us)
     rows = labeled.where(F.col("label_rv").isNotNull()).withColumn("step", step)
     home = chunk_of(F.col("step"), spec)
-    reach = F.array_distinct(F.array(home, chunk_of(F.col("step") + steps - 1, spec)))
+    reach = F.sequence(home, chunk_of(F.col("step") + steps - 1, spec))
     spread = rows.withColumn("home", home).withColumn("chunk", F.explode(reach))
     w = W.partitionBy("product_id", "chunk").orderBy("step").rangeBetween(-(steps - 1), 0)
     model = F.abs(F.col("pred_rv") - F.col("label_rv"))

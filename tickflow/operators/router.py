@@ -36,11 +36,15 @@ def parse(raw: DataFrame) -> DataFrame:
 
 
 def _is_object() -> Column:
-    """An object and nothing after it; the parser itself stops at the last brace."""
-    return (
-        F.col("value").isNotNull()
-        & F.col(f"msg.{schemas.CORRUPT}").isNull()
-        & F.rtrim("value", F.lit(" \n\r\t")).endswith("}")
+    """An object and nothing after it.
+
+    The parser itself stops at the first object's end; in an array before a last null it
+    sees whatever follows, and the null tells that it got to the end.
+    """
+    listed = F.concat(F.lit("["), "value", F.lit(",null]"))
+    listed = F.from_json(listed, "array<struct<type: string>>")
+    return F.col(f"msg.{schemas.CORRUPT}").isNull() & F.coalesce(
+        (F.size(listed) == 2) & F.get(listed, F.lit(0)).isNotNull(), F.lit(False)
     )
 
 

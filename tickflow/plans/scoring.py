@@ -11,6 +11,7 @@ from tickflow.functions.clock import step_ceil, step_time
 from tickflow.functions.flow import imbalance
 from tickflow.operators import bars, gold, monitor, predictions
 from tickflow.sinks import topics
+from tickflow.session import materialize
 from tickflow.sinks.tables import VersionedTable
 from tickflow.spec import BarSpec, FeedSpec
 
@@ -72,12 +73,13 @@ def score_new(
     created_at,
     spec: BarSpec = BarSpec(),
 ) -> DataFrame:
-    """Score rows that have no prediction yet, append them, return the records.
+    """Score rows that have no prediction yet, append them, return their records.
 
     Running it again with the same features adds nothing.
     """
     rows = predictions.score(features, model, version, spec).withColumn(
         "created_at", created_at
     )
-    target.append(predictions.only_new(rows, target.read(spark)))
-    return topics.keyed(rows.drop("features", "created_at"), "predictions")
+    new = materialize(predictions.only_new(rows, target.read(spark)), "predictions")
+    target.append(new)
+    return topics.keyed(new.drop("features", "created_at"), "predictions")

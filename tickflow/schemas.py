@@ -1,4 +1,7 @@
-"""Declared schemas. Nothing is inferred from data."""
+"""Declared schemas. Nothing is inferred from data.
+
+Field names and their order are fixed values of the feed and table contracts.
+"""
 
 from __future__ import annotations
 

@@ -37,10 +37,13 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as named by the cluster.
 
-    Only a session that names none (a local test) gets a folder made for it.
+    Only a local session that names none (a test) gets a folder made for it; on a cluster
+    each executor would write to a disk of its own.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named and not context.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not named:
         named = tempfile.mkdtemp(prefix="tickflow-")
     if context.getCheckpointDir() is None:

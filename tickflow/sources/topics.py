@@ -19,11 +19,11 @@ EARLIEST = "earliest"
 
 @dataclass(frozen=True)
 class KafkaTopic:
-    """A Kafka topic; ``per_trigger`` bounds how far one batch may race ahead."""
+    """A Kafka topic; ``per_trigger`` bounds the messages of one batch, a replay's too."""
 
     servers: str
     topic: str
-    per_trigger: int | None = None
+    per_trigger: int | None = 1_000_000
     options: dict[str, str] = field(default_factory=dict)
 
     def _options(self) -> dict[str, str]:
@@ -48,7 +48,7 @@ class KafkaTopic:
 
 
 def records(kafka: DataFrame) -> DataFrame:
-    """Kafka records in the raw message shape; the envelope rides in headers."""
+    """Kafka records in the raw message shape; the envelope rides in the value."""
     text = F.col("value").cast("string")
     return kafka.select(
         text.alias("value"),

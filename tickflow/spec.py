@@ -64,7 +64,6 @@ class FeedSpec:
     depth_levels: int = 5
     watermark: str = "30 seconds"
     sync_margin_seconds: int = 2
-    buffer_steps: int = 62
     history_ttl_seconds: int = 7200
 
     # Arrival numbers per chunk. Arrival numbers are unique, so this bounds the

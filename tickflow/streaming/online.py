@@ -115,7 +115,8 @@ class OnlineFeatures(StatefulProcessor):
             return
         self.done.update((point,))
         # Always relative to the emitted point: one stream may be far ahead.
-        cutoff = point - self.feed.buffer_steps * self.spec.step_seconds * 1000
+        # The next window, and a step to spare.
+        cutoff = point - (self.spec.history + 2) * self.spec.step_seconds * 1000
         book.prune(cutoff, keep=1)
         trade.prune(cutoff)
         row = (key[0], pd.Timestamp(point, unit="ms"), *found)
@@ -171,13 +172,18 @@ def online_features(
     trade_bars: DataFrame,
     spec: BarSpec = BarSpec(),
     feed: FeedSpec = FeedSpec(),
-    delay: str = "0 seconds",
+    delay: str | None = None,
 ) -> DataFrame:
     """Feature rows from two streams of bars (bar_ts as TIMESTAMP).
 
+    ``delay`` is how far a product's bars may lie behind the newest ones of any product
+    (``feed.watermark`` if not given); Spark drops bars that are later than that, and
+    points come out that much later.
+
     Set ``spark.sql.streaming.multipleWatermarkPolicy`` to ``min`` (the
     default): a point is due only when both streams are past it.
     """
+    delay = delay or feed.watermark
     tagged = bars.tagged_bars(
         book_bars.withWatermark("bar_ts", delay), trade_bars.withWatermark("bar_ts", delay)
     )
