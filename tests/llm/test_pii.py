@@ -1,0 +1,50 @@
+import random
+import re
+import sys
+
+from tickflow.llm.pii import BASE_KINDS, find_pii, luhn, spans_of
+
+BASE = [
+    r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    r"[0-9]([\x20-]?[0-9])+",
+    r"\+[0-9][\x20().0-9-]+[0-9]",
+]
+
+
+def base(text):
+    sys.set_int_max_str_digits(0)
+    for kind, pattern in enumerate(BASE):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            if (
+                (kind == 1 and max(map(int, m[0].split("."))) > 255)
+                or (kind == 2 and not (12 <= len(digits) <= 19 and luhn(digits)))
+                or (kind == 3 and not 9 <= len(digits) <= 15)
+            ):
+                continue
+            yield kind, m.start(), m.end()
+
+
+def test_base_spans_equal_their_patterns(documents):
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("a1@..+- (9)5é0", k=rng.randint(0, 60))) for _ in range(5000)]
+    texts += ["9" * 5000 + ".1.1.1", "4111 1111 1111 1111 a@b.c@d.e x@y@z.co.uk.", "1.2.3.4.5.6.7.8"]
+    texts += [r.text for r in documents.select("text").collect()]
+    for text in texts:
+        own = [s for s in spans_of(text) if s[0] < len(BASE_KINDS)]
+        assert own == sorted(base(text), key=lambda s: (s[1], s[0])), text[:200]
+
+
+def test_added_spans():
+    cut = lambda t: [(k, t[a:b]) for k, a, b in spans_of(t) if k >= 4]
+    assert cut("IBAN: DE89 3704 0044 0532 0130 00 and on") == [(5, "DE89 3704 0044 0532 0130 00")]
+    assert cut("IBAN: DE88 3704 0044 0532 0130 00") == []
+    assert cut("ssn 123-45-6789; Account number: 12345678.") == [(5, "123-45-6789"), (5, "12345678")]
+    assert cut("https://bob:pw@host.example.com/x, see") == [(4, "https://bob:pw@host.example.com/x")]
+    assert cut("https://host.example.com/x a client account is open") == []
+
+
+def test_edges(edge, empty):
+    assert find_pii(edge).count() == edge.count()
+    assert find_pii(empty).count() == 0
