@@ -23,6 +23,11 @@ from tickflow.session import materialize
 __all__ = ["LLM_ORACLES", "LLM_QUERIES", "ORACLE_SQL", "STAGES", "run"]
 
 
+def _whole(docs: DataFrame) -> DataFrame:
+    """Each row as one value next to its id, so that no column's name can clash."""
+    return docs.select("doc_id", F.struct("*").alias("_row"))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; the others lose their host's boilerplate lines."""
     return quality_filter(docs)
@@ -39,17 +44,18 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays."""
     dropped = near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
-    return without(docs, materialize(dropped, "dropped"), "doc_id")
+    return without(_whole(docs), materialize(dropped, "dropped"), "doc_id").select("_row.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixture uses them; those it has no use for go."""
     uses = mix_sources(docs).groupBy("doc_id").agg((F.max("epoch") + 1).alias("_uses"))
-    turns = F.sequence(F.lit(1), F.col("_uses"))
+    uses = uses.withColumnRenamed("doc_id", "_id")
     return (
-        docs.join(uses.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
-        .withColumn("_use", F.explode(turns))
-        .select(docs.columns)
+        _whole(docs)
+        .join(uses, F.col("doc_id").eqNullSafe(F.col("_id")))
+        .select("_row", F.explode(F.sequence(F.lit(1), F.col("_uses"))))
+        .select("_row.*")
     )
 
 
