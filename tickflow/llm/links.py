@@ -36,15 +36,16 @@ def _is_star_forest(edges: DataFrame) -> bool:
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
-    """(node, component) for every node in a link; a component is its smallest node.
+    """(node, component) of distinct links: nodes with their component's smallest node.
 
-    Large stars tie each node's larger neighbours to its least one, small stars its
-    smaller ones; repeated until only stars are left, in rounds logarithmic in the number
-    of nodes. Every round is a written table, so no lineage grows and lost executors
-    cost one round. Links of a node to itself count for nothing.
+    The smallest nodes themselves are left out. Large stars tie each node's larger
+    neighbours to its least one, small stars its smaller ones; repeated until only stars
+    are left, in rounds logarithmic in the number of nodes. Every round is a written
+    table, so no lineage grows and lost executors cost one round. Links of a node to
+    itself count for nothing.
     """
-    first = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u > v")
-    edges = materialize(first.distinct(), "edges")
+    first = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+    edges = first.filter("u > v")
     while not _is_star_forest(edges):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _least_neighbour(both).filter("v > u")
@@ -54,5 +55,4 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
             small.select("u", F.col("m").alias("v"))
         )
         edges = materialize(small.filter("u > v").distinct(), "edges")
-    own = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(own)
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

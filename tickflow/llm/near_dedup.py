@@ -5,8 +5,7 @@ agree in all registers of a band share a bucket. In a bucket every member is com
 with the bucket's smallest one, never with all others. Buckets whose members then
 belong to more than one component stay open: members outside the bucket's main
 component are compared with the members of its other components, unless bounds rule a
-link out: their similarities to the smallest one (Jaccard distance is a metric), how
-many shingles neither shares with any member, how many registers agree. So no link between members of a bucket is missed, except inside what is
+link out: how many of their shingles others have too, how many registers agree. So no link between members of a bucket is missed, except inside what is
 connected anyway, and a bucket of n near copies costs n comparisons. A candidate pair
 first has its similarity estimated from the sketches by likelihood; pairs that could
 be similar are verified on their full shingle sets.
@@ -31,9 +30,9 @@ from tickflow.session import materialize
 #: be within four of them; pairs that can't reach the threshold are not read in full.
 ESTIMATE_MARGIN = 0.08
 #: The same for a first look at two bits of each register.
-COARSE_MARGIN = 0.12
+COARSE_MARGIN = 0.1
 #: Members of an open bucket compared with all others in its first round; then doubled.
-FIRST_HUBS = 64
+FIRST_HUBS = 256
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, spec: SketchSpec) -> DataFrame:
@@ -114,11 +113,8 @@ class _Verifier:
     def __init__(self, docs: DataFrame, reps: DataFrame, spec: SketchSpec, percent: int) -> None:
         self.docs, self.reps, self.spec, self.percent = docs, reps, spec, percent
 
-    def test(self, pairs: DataFrame) -> DataFrame:
-        """(a, b, linked, low, high) for pairs (a, b): bounds of their similarity.
-
-        A written table. Verified pairs have their similarity for both bounds.
-        """
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """Of distinct pairs (a, b), those that are similar enough, as a written table."""
         ends = pairs.select(F.col("a").alias("rep")).union(pairs.select("b"))
         near = perhaps(self.reps, ends, ["rep"])
         side = lambda x: near.select(
@@ -126,36 +122,23 @@ class _Verifier:
             F.col("n_shingles").alias(f"n_{x}"),
             F.col("_registers").alias(f"reg_{x}"),
         )
-        both = pairs.join(side("b"), "b").join(side("a"), "a")
-        likely = materialize(_estimates(both, self.spec), "likely")
+        likely = _estimates(pairs.join(side("b"), "b").join(side("a"), "a"), self.spec)
         floor = self.percent / 100 - ESTIMATE_MARGIN
-        close = likely.filter(F.col("likely") >= floor).select("a", "b")
+        close = materialize(likely.filter(F.col("likely") >= floor).select("a", "b"), "close")
         needed = close.select(F.col("a").alias("_id")).union(close.select("b")).distinct()
-        sets = materialize(full_sets(only(self.docs, needed, "_id")), "sets")
-        sets = sets.dropDuplicates(["_id"])
+        sets = materialize(_sets_of(self.docs, needed), "sets")
         set_a = sets.select(F.col("_id").alias("a"), F.col("_set").alias("set_a"))
         set_b = sets.select(F.col("_id").alias("b"), F.col("_set").alias("set_b"))
-        counted = (
-            close.join(set_b, "b")
-            .join(set_a, "a")
-            .withColumn("_both", F.size(F.array_intersect("set_a", "set_b")).cast("long"))
-            .withColumn("_all", F.size("set_a") + F.size("set_b") - F.col("_both"))
-        )
-        exact = counted.select(
-            "a",
-            "b",
-            (100 * F.col("_both") >= self.percent * F.col("_all")).alias("linked"),
-            (F.col("_both") / F.col("_all")).alias("low"),
-            (F.col("_both") / F.col("_all")).alias("high"),
-        )
-        far = likely.filter(F.col("likely") < floor).select(
-            "a",
-            "b",
-            F.lit(False).alias("linked"),
-            (F.col("likely") - ESTIMATE_MARGIN).alias("low"),
-            (F.col("likely") + ESTIMATE_MARGIN).alias("high"),
-        )
-        return materialize(exact.union(far), "tested")
+        both = F.size(F.array_intersect("set_a", "set_b")).cast("long")
+        either = F.size("set_a") + F.size("set_b") - both
+        verified = close.join(set_b, "b").join(set_a, "a")
+        verified = verified.filter(100 * both >= self.percent * either)
+        return materialize(verified.select("a", "b"), "links")
+
+
+def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The full sets of the given ids, one row each."""
+    return full_sets(only(docs, ids, "_id").dropDuplicates(["_id"]))
 
 
 def _buckets(reps: DataFrame, spec: SketchSpec) -> DataFrame:
@@ -205,17 +188,12 @@ def _coarsely_near(one: str, two: str, similarity: float, spec: SketchSpec) -> C
 
 def _shared(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """(rep, n_shingles, shared): how many of each one's shingles others of them have too."""
-    sets = full_sets(only(docs, reps.select(F.col("rep").alias("_id")), "_id"))
-    shingles = sets.dropDuplicates(["_id"]).select(
-        F.col("_id").alias("rep"), F.explode("_set").alias("shingle")
-    )
+    sets = _sets_of(docs, reps.select(F.col("rep").alias("_id")))
+    shingles = sets.select(F.col("_id").alias("rep"), F.explode("_set").alias("shingle"))
     counts = shingles.groupBy("shingle").agg(F.min("rep").alias("rep"), F.count("*").alias("n"))
-    # A shingle that several have counts for each of them as shared, which is all but
-    # those that one has alone.
     alone = counts.filter("n = 1").groupBy("rep").agg(F.count("*").alias("alone"))
-    return reps.join(alone, "rep", "left").select(
-        "rep", "n_shingles", (F.col("n_shingles") - F.coalesce("alone", F.lit(0))).alias("shared")
-    )
+    shared = F.col("n_shingles") - F.coalesce("alone", F.lit(0))
+    return reps.join(alone, "rep", "left").select("rep", "n_shingles", shared.alias("shared"))
 
 
 def _cross_pairs(
@@ -225,17 +203,16 @@ def _cross_pairs(
 
     Hubs are the ``n_hubs`` members of a bucket whose components have the fewest members
     there, so the large component of a hot bucket is never compared with itself. Pairs
-    that can't be linked are left out: by the triangle inequality, those whose distances
-    to the bucket's smallest member differ too much; those with too few shingles that are
-    not their own alone; those whose sketches differ too often. A pair comes from the
-    first bucket that it shares.
+    that can't be linked are left out: those with too few shingles that are not their own
+    alone, and those whose sketches differ too often. A pair comes from the first bucket
+    that it shares.
     """
     part = F.xxhash64("key", "component").alias("part")
     counts = members.groupBy("key", "component").agg(F.count("*").alias("n"))
     counts = counts.select(part, "n", F.col("key").alias("_k"))
     sized = join_dealt(members.withColumn("part", part), counts, "part").filter("key = _k")
     order = Window.partitionBy("key").orderBy("n", "rep")
-    facts = ("low", "high", "n_shingles", "shared", "packed", "keys")
+    facts = ("n_shingles", "shared", "packed", "keys")
     hubs = (
         sized.withColumn("_rank", F.row_number().over(order))
         .filter(F.col("_rank") <= n_hubs)
@@ -247,14 +224,11 @@ def _cross_pairs(
         )
     )
     hubs = materialize(hubs, "hubs")
-    threshold = percent / 100
     most = F.least("shared", "_shared")
     possible = (
         (F.col("component") != F.col("_component"))
-        & (F.col("low") - F.col("_high") <= 1 - threshold + 1e-9)
-        & (F.col("_low") - F.col("high") <= 1 - threshold + 1e-9)
         & (100 * most >= percent * (F.col("n_shingles") + F.col("_n_shingles") - most))
-        & _coarsely_near("packed", "_packed", threshold, spec)
+        & _coarsely_near("packed", "_packed", percent / 100, spec)
         & (F.array_min(F.array_intersect("keys", "_keys")) == F.col("key"))
     )
     pairs = (
@@ -312,11 +286,9 @@ def near_duplicates(
     pairs = buckets.select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     verifier = _Verifier(texts, reps, spec, percent)
-    tested = verifier.test(pairs)
-    links = tested.filter("linked").select("a", "b")
-    parts = materialize(components(links, "a", "b"), "components")
-    bounds = tested.select(F.col("a").alias("hub"), F.col("b").alias("rep"), "low", "high")
-    members = _labelled(buckets.join(bounds, ["hub", "rep"]), parts)
+    links = verifier.links(pairs)
+    parts = components(links, "a", "b")
+    members = _labelled(buckets.select("key", "rep"), parts)
     if not members.isEmpty():
         facts = members.groupBy("rep").agg(F.collect_set("key").alias("keys"))  # of its bands
         known = perhaps(reps, facts, ["rep"])
@@ -327,10 +299,10 @@ def near_duplicates(
     n_hubs = FIRST_HUBS
     while not members.isEmpty():
         pairs, hubs = _cross_pairs(members, n_hubs, percent, spec)
-        found = verifier.test(pairs).filter("linked").select("a", "b")
+        found = verifier.links(pairs)
         if not found.isEmpty():
             links = links.union(found)
-            parts = materialize(components(links, "a", "b"), "components")
+            parts = components(links, "a", "b")
         # Buckets with fewer hubs than they could have had are done; so are all hubs.
         more = hubs.filter(F.col("_rank") == n_hubs).select("key")
         if more.isEmpty():
