@@ -2,7 +2,7 @@
 
 Texts with equal shingle sets are one class. Each class has one sketch; classes that
 agree in all registers of a band share a bucket. In a bucket every member is compared
-with the bucket's smallest one, never with all others. Buckets whose members then
+with one, its hub, never with all others. Buckets whose members then
 belong to more than one component stay open: members outside the bucket's main
 component are compared with the members of its other components, unless bounds rule a
 link out: how many of their shingles others have too, how many registers agree. So no link between members of a bucket is missed, except inside what is
@@ -142,7 +142,11 @@ def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _buckets(reps: DataFrame, spec: SketchSpec) -> DataFrame:
-    """(key, rep, hub): members of buckets with at least two classes, and the least one."""
+    """(key, rep, hub): members of buckets with at least two classes, and their hub.
+
+    The hub is the member that is in most buckets, the least of several: of a group of
+    near copies that is the one nearest to all others, and the same in most buckets.
+    """
     width = spec.rows
     bands = reps.select(
         "rep",
@@ -153,9 +157,16 @@ def _buckets(reps: DataFrame, spec: SketchSpec) -> DataFrame:
             )
         ).alias("key"),
     )
-    hubs = bands.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("_last"))
-    hubs = materialize(hubs.filter("hub < _last").drop("_last"), "hubs")
-    return materialize(join_dealt(perhaps(bands, hubs, ["key"]), hubs, "key"), "buckets")
+    shared = bands.groupBy("key").agg(F.min("rep").alias("_least"), F.max("rep").alias("_most"))
+    shared = materialize(shared.filter("_least < _most").select("key"), "shared")
+    members = materialize(join_dealt(perhaps(bands, shared, ["key"]), shared, "key"), "members")
+    often = members.groupBy("rep").agg(F.count("*").alias("often"))
+    ranked = join_dealt(members, often, "rep").withColumn(
+        "_place", F.struct(-F.col("often"), "rep")
+    )
+    hubs = ranked.groupBy("key").agg(F.min("_place").alias("_place"))
+    hubs = hubs.select("key", F.col("_place.rep").alias("hub"))
+    return materialize(join_dealt(members, hubs, "key"), "buckets")
 
 
 def _packed(reps: DataFrame, spec: SketchSpec) -> DataFrame:
@@ -282,11 +293,11 @@ def near_duplicates(
     reps = named.join(classes.withColumn("_id", F.col("rep")), ["_id", *key])
     reps = reps.select("rep", "n_shingles", "_registers").dropDuplicates(["rep"])
     reps = materialize(reps, "reps")
-    buckets = _buckets(reps, spec).filter("rep > hub")
-    pairs = buckets.select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+    buckets = _buckets(reps, spec).filter("rep <> hub")
+    pairs = buckets.select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b"))
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     verifier = _Verifier(texts, reps, spec, percent)
-    links = verifier.links(pairs)
+    links = verifier.links(pairs.distinct())
     parts = components(links, "a", "b")
     members = _labelled(buckets.select("key", "rep"), parts)
     if not members.isEmpty():
