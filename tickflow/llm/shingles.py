@@ -130,11 +130,13 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return flat, np.concatenate([[0], np.cumsum(counts)])
 
 
-def slices(offsets: np.ndarray, most: int = 4 * SPAN_BYTES) -> Iterator[tuple[int, int]]:
-    """Runs of rows of about ``most`` bytes; a longer text is a run of its own."""
+def slices(
+    offsets: np.ndarray, most: int = 2 * SPAN_BYTES, texts: int = 2048
+) -> Iterator[tuple[int, int]]:
+    """Runs of rows of at most ``most`` bytes and ``texts`` rows; longer texts run alone."""
     at = 0
     while at < len(offsets) - 1:
         end = int(np.searchsorted(offsets, offsets[at] + most, side="right")) - 1
-        end = max(end, at + 1)
+        end = max(min(end, at + texts), at + 1)
         yield at, end
         at = end
