@@ -6,7 +6,7 @@ as the next one's ``docs``. All but the last return the columns of documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickflow.llm.exact_dedup import exact_dedup
@@ -60,8 +60,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def segment(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the ids of their pieces."""
-    return encode_pieces(docs, PIECE_MODEL, carry=tuple(docs.columns))
+    """Documents with the ids of their pieces, other ones for each use of a document."""
+    uses = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
+    copy = F.row_number().over(uses)
+    return encode_pieces(docs, PIECE_MODEL, copy=copy, carry=tuple(docs.columns))
 
 
 STAGES = [

@@ -2,7 +2,8 @@ import numpy as np
 import sentencepiece
 from pyspark.sql import functions as F
 
-from tickflow.llm.pieces import PieceModel, decode_pieces, encode_pieces
+import corpus_pipeline
+from tickflow.llm.pieces import UNIT, PieceModel, decode_pieces, encode_pieces
 from tickflow.llm.queries_free import PIECE_MODEL
 
 TEXTS = ["", "  ", "a\nb c", "  lead", "tail  ", "\0a", "\r\n x", "日本🎉\t é", "x" * 500, " \n \n"]
@@ -46,6 +47,40 @@ def test_only_kept_merges_are_made():
             assert len(ids(raw)) >= len(ids(plain.segment([unit], np.zeros(1))[0]))
 
 
+def test_kept_words_are_segmented_by_their_own_coins():
+    """Going on from kept states gives what each occurrence's coins give on their own."""
+    words = [" international", " unbelievable", " a", "\n", " antidisestablishment", " 日本é"]
+    texts = [("".join(words) * 40)[1:], "x" * 500, *TEXTS]
+    cut = [UNIT.findall(" " + text) if text else [] for text in texts]
+    flat, counts = sum(cut, []), np.array([len(units) for units in cut])
+    for dropout in (0.1, 0.6, 1.0):
+        model = PieceModel(PIECE_MODEL, 5, dropout)
+        for places in (list(range(len(texts))), [3 * i + 9 for i in range(len(texts))]):
+            direct = b"".join(model.segment(flat, model._coins(counts, places, None)))
+            assert b"".join(model.encode(texts, places)) == direct
+            assert b"".join(model.encode(texts, places)) == direct
+
+
+def test_each_occurrence_has_coins_of_its_own(spark):
+    word = "antidisestablishment"
+    model = PieceModel(PIECE_MODEL, 1, 0.1)
+    assert len(set(model.encode([word] * 400, list(range(400))))) > 8
+    assert len(set(model.encode([word] * 400, [7] * 400, list(range(400))))) > 8
+    lines = model.encode(["\n".join([word] * 400)], [7])[0].split(model.encode(["\n"], [0])[0][4:])
+    assert len(set(lines)) > 8
+    alike = spark.createDataFrame([(4 * i, "some words of a text " * 9) for i in range(20)], "doc_id long, text string")
+    assert encode_pieces(alike, PIECE_MODEL).distinct().count() == 20
+
+
+def test_copies_of_a_document_differ(spark):
+    rows = [(i % 4, f"document {i % 4} " + "that is used in several epochs " * 9) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = corpus_pipeline.segment(spark, docs, "").select("doc_id", "ids")
+    assert found.distinct().count() == 12
+    again = corpus_pipeline.segment(spark, docs.repartition(5), "").select("doc_id", "ids")
+    assert found.exceptAll(again).count() == 0
+
+
 def test_frames(edge, empty):
     encoded = encode_pieces(edge.withColumnRenamed("ids", "old"), PIECE_MODEL, carry=("doc_id", "text"))
     carried = encoded.withColumnRenamed("text", "original")

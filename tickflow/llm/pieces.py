@@ -2,23 +2,32 @@
 
 A text is segmented as a SentencePiece BPE model does it: of a word's agenda of
 adjacent pairs, the one whose merged piece scores highest merges first, the leftmost
-of equals. With dropout, each candidate merge is skipped or not by a hash keyed with
-the seed, so one seed always gives the same segmentation and different seeds give
-different ones, all of them of the model's merges. No piece spans the start of a
-word, so words are segmented on their own, the new ones of a batch all at once, and
-kept for later.
+of equals. With dropout, each candidate merge is skipped or not by a coin: a hash keyed
+with the seed, the document, its copy, the word's place in the text and what would be
+merged. One seed always gives the same segmentation; other seeds, documents, copies and
+places give other ones, all of them of the model's merges.
+
+No piece spans the start of a word, so words are segmented on their own. A skipped merge
+changes the outcome only if it would have been the next one. So the merges of a word
+without skips are worked out once and kept; each occurrence tosses its coins along them,
+and at the first skip goes on with the merges the word has without that one, which are
+kept as well. Every pattern of skips has a segmentation of its own. What is met for the
+first time is segmented by its coins directly and kept only when it comes again.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickflow.llm.shingles import mix
@@ -26,23 +35,49 @@ from tickflow.llm.shingles import mix
 SPACE = "\u2581"
 #: A word with the spaces before it, a line feed, or spaces at the end.
 UNIT = re.compile(r" *[^ \n]+| +|\n")
-#: Words kept per variant and task; beyond that, those not used since go.
-KEPT = 1 << 17
+#: Merges of words kept per task; beyond that, all go and are worked out anew.
+KEPT = 1 << 20
+#: Longer words hardly repeat; each occurrence is segmented by its own coins.
+LONG = 20
 #: Characters of text that are segmented, and handed on, together.
-BATCH_CHARS = 1 << 21
+BATCH_CHARS = 1 << 20
 _NORMAL, _BYTE = 1, 6
 _NEVER = np.int32(2**31 - 1)
 _U = np.uint64
+_STEP = _U(0x9E3779B97F4A7C15)
+
+
+class _Grown:
+    """An array that more is put at the end of."""
+
+    def __init__(self, dtype) -> None:
+        self.room, self.n = np.empty(1 << 12, dtype=dtype), 0
+
+    def __getitem__(self, at):
+        return self.room[: self.n][at]
+
+    def extend(self, values: np.ndarray) -> None:
+        end = self.n + len(values)
+        if end > len(self.room):
+            room = np.empty(max(end, 2 * len(self.room)), dtype=self.room.dtype)
+            room[: self.n] = self.room[: self.n]
+            self.room = room
+        self.room[self.n : end] = values
+        self.n = end
+
+
+def _ragged(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... of each, count of them, one after the other."""
+    return np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum())
 
 
 class PieceModel:
     """A SentencePiece BPE model with byte fallback, read from its file.
 
-    ``variants``: into so many classes words fall by their document and place, each
-    with merges dropped of its own.
+    ``epoch`` is a part of the coins' key, next to the seed.
     """
 
-    def __init__(self, path: str, seed: int, dropout: float, variants: int) -> None:
+    def __init__(self, path: str, seed: int, dropout: float, epoch: int = 0) -> None:
         from sentencepiece import sentencepiece_model_pb2
 
         model = sentencepiece_model_pb2.ModelProto()
@@ -66,11 +101,24 @@ class PieceModel:
             self.bytes.append(raw)
         self.pieces = len(self.bytes)
         self._index(scored)
-        self.key = mix(np.array([seed % 2**64], dtype=_U))[0]
+        self.key = mix(
+            mix(np.array([seed % 2**64], dtype=_U)) + np.array([epoch % 2**64], dtype=_U) * _STEP
+        )[0]
         self.limit = _U(round(dropout * 2**53))
-        self.variants = variants if dropout else 1
-        self.kept: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-        self.older = [{} for _ in range(self.variants)]
+        self._forget()
+
+    def _forget(self) -> None:
+        """No words are kept: a state is a word and the merges it has skipped so far."""
+        self.roots: dict[str, int] = {}
+        self.skips: list[tuple[str, tuple[int, ...]]] = []
+        #: Where the merges and ids of a state begin; one entry more than states.
+        self.merge_at, self.id_at = _Grown(np.int64), _Grown(np.int64)
+        self.merge_at.extend([0])
+        self.id_at.extend([0])
+        #: Per merge: its span, the hash of that, and the state that skips it; -1 where no
+        #: occurrence did so far, -2 where one did.
+        self.spans, self.hashes, self.child = _Grown(np.int64), _Grown(_U), _Grown(np.int64)
+        self.ids = _Grown(np.int32)
 
     def _index(self, scored: dict[str, tuple[int, float]]) -> None:
         """Symbols by code point, and what each pair of symbols merges to, by rank."""
@@ -94,41 +142,64 @@ class PieceModel:
         self.pairs = np.array([p[0] for p in pairs] + [2**62], dtype=np.int64)
         self.ranks = np.array([p[1] for p in pairs] + [_NEVER], dtype=np.int32)
         self.merged = np.array([p[2] for p in pairs] + [-1], dtype=np.int64)
-
-    def _candidates(self, left, right, coin, start, middle, end):
-        """Rank and merged symbol of adjacent symbols; no rank where skipped by the coin."""
+        # A piece is last if no merge with it comes before or with its own: then all its
+        # merges in a word can be made at once.
+        own = np.full(max(symbols.values()) + 1, -1)
+        for i, score in scored.values():
+            own[i] = place[-score]
+        self.last = np.bincount(own + 1, minlength=len(order) + 1)[own + 1] == 1
+        for part in (self.pairs[:-1] >> 32, self.pairs[:-1] & (2**32 - 1)):
+            self.last[part[self.ranks[:-1] <= own[part]]] = False
+
+    def _candidates(self, left, right):
+        """Rank and merged symbol of adjacent symbols."""
         key = np.where((left < 0) | (right < 0), -1, left << 32 | right)
         at = np.searchsorted(self.pairs, key)
         rank = np.where(self.pairs[at] == key, self.ranks[at], _NEVER)
-        if self.limit:
-            some = np.flatnonzero(rank != _NEVER)
-            span = (start[some] << 42) + (middle[some] << 21) + end[some]
-            toss = mix(coin[some] ^ mix(span.astype(_U) + self.key))
-            rank[some[(toss >> _U(11)) < self.limit]] = _NEVER
         return rank, self.merged[at]
 
-    def segment(self, units: list[str], variants: np.ndarray) -> list[bytes]:
-        """Ids (32 bits each) of units, each in the variant given for it.
+    def _hashed(self, span: np.ndarray) -> np.ndarray:
+        return mix(span.astype(_U) + self.key)
+
+    def _skipped(self, coins: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        return (mix(coins ^ hashes) >> _U(11)) < self.limit
+
+    def segment(self, units: list[str], coins: np.ndarray) -> list[bytes]:
+        """Ids (32 bits each) of units, each with the coins given for it."""
+        coins = coins.astype(_U)
+
+        def skipped(word: np.ndarray, span: np.ndarray) -> np.ndarray:
+            return self._skipped(coins[word], self._hashed(span))
 
-        All units' agendas are worked off together, one merge of each in a round.
+        return self._merge(units, skipped if self.limit else None)[0]
+
+    def _merge(self, units: list[str], skipped) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Ids of units, and the merges made: word and span, in order.
+
+        ``skipped`` tells of words and spans which are not to be merged. All units'
+        agendas are worked off together, the merges of one piece of each in a round.
         """
         lengths = np.fromiter(map(len, units), dtype=np.int64, count=len(units))
         first = np.cumsum(lengths) - lengths
         codes = np.frombuffer("".join(units).encode("utf-32-le"), dtype=np.uint32)
         word = np.repeat(np.arange(len(units)), lengths)
         start = np.arange(len(codes)) - first[word]
-        sums = np.add.reduceat(mix((codes.astype(_U) << _U(32)) + start.astype(_U)), first)
-        coins = mix(sums + variants.astype(_U) * _U(0x9E3779B97F4A7C15))
-        symbol, done = self.chars[codes], []
+        symbol, done, merges = self.chars[codes], [], []
 
-        def ranked(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            """Of the pairs of the symbols at ``at`` with their right neighbours."""
+        def spanned(at: np.ndarray) -> np.ndarray:
+            """Start, middle and end of the pairs of the symbols at ``at``, as one number."""
             after = np.minimum(at + 2, len(word) - 1)
             last = (at + 2 >= len(word)) | (word[after] != word[at])
             end = np.where(last, lengths[word[at]], start[after])
-            return self._candidates(
-                symbol[at], symbol[at + 1], coins[word[at]], start[at], start[at + 1], end
-            )
+            return (start[at] << 42) + (start[at + 1] << 21) + end
+
+        def ranked(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Of the pairs of the symbols at ``at`` with their right neighbours."""
+            rank, result = self._candidates(symbol[at], symbol[at + 1])
+            if skipped:
+                some = np.flatnonzero(rank != _NEVER)
+                rank[some[skipped(word[at[some]], spanned(at[some]))]] = _NEVER
+            return rank, result
 
         rank = np.full(len(symbol), _NEVER, dtype=np.int32)
         result = np.full(len(symbol), -1, dtype=np.int64)
@@ -143,7 +214,13 @@ class PieceModel:
             if not open_.all():
                 done.append((word[~open_], start[~open_], symbol[~open_]))
             hits = np.flatnonzero((rank == top) & open_)
-            hits = hits[np.concatenate([[True], word[hits[1:]] != word[hits[:-1]]])] if len(hits) else hits
+            if len(hits):
+                # The leftmost one, or every one that no earlier one takes a symbol from.
+                each = np.arange(len(hits))
+                run = np.maximum.accumulate(np.where(np.diff(hits, prepend=-2) > 1, each, 0))
+                free = self.last[result[hits]] & ((each - run) % 2 == 0)
+                hits = hits[free | (np.diff(word[hits], prepend=-1) > 0)]
+            merges.append((word[hits], spanned(hits)))
             symbol[hits] = result[hits]
             stay = open_
             stay[hits + 1] = False
@@ -162,7 +239,10 @@ class PieceModel:
                     rank[at], result[at] = ranked(at)
         word, start, symbol = (np.concatenate(x) for x in zip(*done, strict=True))
         order = np.lexsort((start, word))
-        return self._spelled(units, word[order], start[order], symbol[order])
+        ids = self._spelled(units, word[order], start[order], symbol[order])
+        owner, span = (np.concatenate(x) for x in zip(*merges, strict=True))
+        order = np.argsort(owner, kind="stable")
+        return ids, owner[order], span[order]
 
     def _spelled(self, units, word, start, symbol) -> list[bytes]:
         """Ids as bytes per unit; symbols that are no piece are spelled byte by byte."""
@@ -180,34 +260,112 @@ class PieceModel:
             out[i] = np.array(ids, dtype="<i4").tobytes()
         return out
 
-    def encode(self, texts: list[str], places: list[int]) -> list[bytes]:
-        """Ids (32 bits each) of texts; a place, its document's number, picks variants."""
-        n, kept, older = self.variants, self.kept, self.older
+    def _keep(self, states: list[tuple[str, tuple[int, ...]]]) -> np.ndarray:
+        """Work out new states: words with the spans of the merges they skip."""
+        # Kept words are short, so that a word's number and a span fit in one.
+        def packed(word: np.ndarray, span: np.ndarray) -> np.ndarray:
+            return (word << 15) + (span >> 42 << 10) + ((span >> 21 & 31) << 5) + (span & 31)
+
+        counts = np.array([len(skips) for _, skips in states])
+        gone = np.fromiter(chain.from_iterable(skips for _, skips in states), dtype=np.int64)
+        gone = np.append(np.sort(packed(np.repeat(np.arange(len(states)), counts), gone)), 2**62)
+
+        def skipped(word: np.ndarray, span: np.ndarray) -> np.ndarray:
+            key = packed(word, span)
+            return gone[np.searchsorted(gone, key)] == key
+
+        units = [unit for unit, _ in states]
+        ids, owner, span = self._merge(units, skipped if len(gone) > 1 else None)
+        new = len(self.skips) + np.arange(len(states))
+        self.skips.extend(states)
+        ends = np.cumsum(np.bincount(owner, minlength=len(states)))
+        self.merge_at.extend(self.merge_at[-1] + ends)
+        self.id_at.extend(self.ids.n + np.cumsum([len(x) // 4 for x in ids]))
+        self.spans.extend(span)
+        self.hashes.extend(self._hashed(span))
+        self.child.extend(np.full(len(span), -1))
+        self.ids.extend(np.frombuffer(b"".join(ids), dtype="<i4"))
+        return new
+
+    def _walk(self, state: np.ndarray, coins: np.ndarray) -> np.ndarray:
+        """The states occurrences end in, or -1: coins are tossed along the merges."""
+        state = state.copy()
+        left, begin = np.arange(len(state)), self.merge_at[state]
+        while len(left):
+            count = self.merge_at[state[left] + 1] - begin
+            at = _ragged(begin, count)
+            owner = np.repeat(np.arange(len(left)), count)
+            hit = np.flatnonzero(self._skipped(coins[left][owner], self.hashes[at]))
+            hit = hit[np.diff(owner[hit], prepend=-1) > 0]
+            at, left = at[hit], left[owner[hit]]
+            new, times = np.unique(at[self.child[at] < 0], return_counts=True)
+            again = (times > 1) | (self.child[new] == -2)
+            self.child.room[new[~again]] = -2
+            new = new[again]
+            if len(new):
+                parents = np.searchsorted(self.merge_at[:], new, side="right") - 1
+                pairs = zip(parents.tolist(), self.spans[new].tolist(), strict=True)
+                more = [(self.skips[p][0], (*self.skips[p][1], span)) for p, span in pairs]
+                # The child has the same merges up to the skipped one.
+                self.child.room[new] = self._keep(more)
+            go = self.child[at] >= 0
+            state[left[~go]] = -1
+            at, left = at[go], left[go]
+            place = at - self.merge_at[state[left]]
+            state[left] = self.child[at]
+            begin = self.merge_at[state[left]] + place
+        return state
+
+    def _coins(self, counts: np.ndarray, places: list[int], copies: list[int] | None) -> np.ndarray:
+        """Keys of the words' coins, by the texts' numbers of words, numbers and copies."""
+        document = mix(np.array(places, dtype=np.int64).astype(_U) + self.key)
+        if copies is not None:
+            document = mix(document + np.array(copies, dtype=np.int64).astype(_U) * _STEP)
+        nth = _ragged(np.ones(len(counts), dtype=np.int64), counts).astype(_U)
+        return mix(np.repeat(document, counts) + nth * _STEP)
+
+    def encode(
+        self, texts: list[str], places: list[int], copies: list[int] | None = None
+    ) -> list[bytes]:
+        """Ids (32 bits each) of texts; coins go by the document's number and copy."""
+        if max(self.spans.n, len(self.roots)) > KEPT:
+            self._forget()
         cut = [UNIT.findall(" " + text) if text else [] for text in texts]
-        wanted = [set() for _ in range(n)]
-        for units, place in zip(cut, places, strict=True):
-            for k in range(n):
-                wanted[(place + k) % n].update(units[k::n])
-        new, variants = [], []
-        for v in range(n):
-            if len(kept[v]) > KEPT:
-                older[v], kept[v] = kept[v], {}
-            missing = wanted[v].difference(kept[v])
-            again = missing.intersection(older[v])
-            kept[v].update((u, older[v][u]) for u in again)
-            missing -= again
-            new.extend(missing)
-            variants.extend([v] * len(missing))
+        flat = list(chain.from_iterable(cut))
+        if not flat:
+            return [b""] * len(texts)
+        counts = np.array([len(units) for units in cut])
+        coins = self._coins(counts, places, copies)
+        new, long = [], []
+        for unit, times in Counter(flat).items():
+            if self.roots.get(unit, -1) < 0:
+                if len(unit) <= LONG and (times > 1 or unit in self.roots):
+                    new.append((unit, ()))
+                else:
+                    self.roots[unit] = -1
+                    if len(unit) > LONG:
+                        long.append(unit)
         if new:
-            for v, unit, ids in zip(variants, new, self.segment(new, np.array(variants)), strict=True):
-                kept[v][unit] = ids
-        out = []
-        for units, place in zip(cut, places, strict=True):
-            parts = [b""] * len(units)
-            for k in range(n):
-                parts[k::n] = map(kept[(place + k) % n].__getitem__, units[k::n])
-            out.append(b"".join(parts))
-        return out
+            self.roots.update(zip((u for u, _ in new), self._keep(new).tolist(), strict=True))
+        root = np.fromiter(map(self.roots.__getitem__, flat), dtype=np.int64, count=len(flat))
+        for unit in long:
+            del self.roots[unit]
+        begin, end = np.empty(len(flat), dtype=np.int64), np.empty(len(flat), dtype=np.int64)
+        if self.limit:
+            known = np.flatnonzero(root >= 0)
+            root[known] = self._walk(root[known], coins[known])
+        known, own = np.flatnonzero(root >= 0), np.flatnonzero(root < 0)
+        begin[known], end[known] = self.id_at[root[known]], self.id_at[root[known] + 1]
+        kept = self.ids.n
+        if len(own):
+            ids = self.segment([flat[i] for i in own.tolist()], coins[own])
+            end[own] = kept + np.cumsum([len(x) // 4 for x in ids])
+            begin[own] = np.append(kept, end[own][:-1])
+            self.ids.extend(np.frombuffer(b"".join(ids), dtype="<i4"))
+        raw = self.ids[_ragged(begin, end - begin)].astype("<i4").tobytes()
+        self.ids.n = kept
+        ends = np.append(0, np.cumsum(end - begin))[np.append(0, np.cumsum(counts))] * 4
+        return [raw[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; of an invalid byte sequence, replacement characters."""
@@ -233,8 +391,8 @@ def runs(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
 
 
 @lru_cache(maxsize=2)
-def piece_model(path: str, seed: int, dropout: float, variants: int) -> PieceModel:
-    return PieceModel(path, seed, dropout, variants)
+def piece_model(path: str, seed: int, dropout: float) -> PieceModel:
+    return PieceModel(path, seed, dropout)
 
 
 def encode_pieces(
@@ -245,31 +403,35 @@ def encode_pieces(
     text_col: str = "text",
     seed: int = 11,
     dropout: float = 0.1,
-    variants: int = 4,
+    copy: Column | None = None,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per input row: the carried columns, then ``ids`` (array of int).
 
     Null and empty texts have no ids. Rows that repeat an id and a text have the same
-    ids; a null id counts as 0. An empty table gives an empty result. The model file must
+    ids unless ``copy``, a whole number such as the epoch, tells them apart; for a null id
+    stands a hash of the text. An empty table gives an empty result. The model file must
     be at ``model_path`` wherever tasks run. ``carry`` names columns of ``docs`` to keep;
     others are not read.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = piece_model(model_path, seed, dropout, variants)
+        model = piece_model(model_path, seed, dropout)
         for batch in batches:
             for part in runs(batch, 1):
                 texts = [t or "" for t in part.column(1).to_pylist()]
-                numbers = [n or 0 for n in part.column(0).to_pylist()]
-                found = model.encode(texts, numbers)
+                numbers = [
+                    zlib.crc32(t.encode()) if n is None else n
+                    for n, t in zip(part.column(0).to_pylist(), texts, strict=True)
+                ]
+                found = model.encode(texts, numbers, part.column(2).to_pylist())
                 bounds = np.cumsum([0, *(len(ids) // 4 for ids in found)])
                 lists = pa.ListArray.from_arrays(
                     pa.array(bounds, type=pa.int32()),
                     pa.array(np.frombuffer(b"".join(found), dtype="<i4")),
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[2:], lists], names=[*carry, "ids"]
+                    [*part.columns[3:], lists], names=[*carry, "ids"]
                 )
 
     types = dict(docs.dtypes)
@@ -277,6 +439,7 @@ def encode_pieces(
     inner = docs.select(
         F.col(id_col).cast("long").alias("_number"),
         F.col(text_col).alias("_text"),
+        (F.lit(0) if copy is None else copy).cast("long").alias("_copy"),
         *[F.col(c).alias(f"_{i}") for i, c in enumerate(carry)],
     )
     return inner.mapInArrow(encode, ", ".join([*names, "ids array<int>"]))
@@ -291,7 +454,7 @@ def decode_pieces(
     """
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = piece_model(model_path, 0, 0.0, 1)
+        model = piece_model(model_path, 0, 0.0)
         for batch in batches:
             for part in runs(batch, 0):
                 texts = [model.decode(ids or []) for ids in part.column(0).to_pylist()]
