@@ -61,6 +61,14 @@ def test_made_up_passages(spark, edge, empty):
     assert score_toxicity(empty, model).count() == 0
 
 
+def test_every_significant_word_is_in_the_model(spark):
+    """More of them than any round bound: 30,000 words that are only in toxic texts."""
+    words = ["".join(chr(97 + i // 26**k % 26) for k in range(4)) for i in range(30_000)]
+    rows = [(" ".join(words), 1), (" ".join(f"q{w}" for w in words), 0)] * 60
+    model = train(spark.createDataFrame(rows, "text string, toxic int"))
+    assert model.scores.keys() >= set(words)
+
+
 def test_nothing_to_learn_from(spark, empty, edge):
     for rows in ([], [("only clean", 0)], [("only toxic", 1)]):
         model = train(spark.createDataFrame(rows, "text string, toxic int"))

@@ -32,8 +32,6 @@ class ToxicSpec:
     prior: float = 0.1
     #: Log-odds this many standard errors from 0 are significant.
     least_z: float = 4.0
-    #: Words of the model at most, the most significant ones.
-    words: int = 20_000
     #: What every word costs.
     toll: float = 0.05
     #: A segment that chance brings this often per document or less is significant.
@@ -45,7 +43,7 @@ class ToxicSpec:
 
 @dataclass(frozen=True)
 class ToxicModel:
-    """Word scores, extreme-value parameters and the logistic curve; bounded by ``words``."""
+    """Word scores, extreme-value parameters and the logistic curve."""
 
     scores: dict[str, float]
     scale: float
@@ -140,8 +138,7 @@ def _log_odds(counts: DataFrame, spec: ToxicSpec) -> tuple[dict[str, float], np.
     best = (
         counts.select("word", "clean", delta.alias("delta"), (delta / error).alias("z"))
         .filter(F.abs("z") >= spec.least_z)
-        .orderBy(F.abs("z").desc(), "word")
-        .limit(spec.words)
+        .orderBy("word")
         .collect()
     )
     often = np.array([(row.clean + 0.5) / (clean + 1) for row in best])
@@ -180,7 +177,8 @@ def _fit_curve(evidence: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> tu
 def train(labelled: DataFrame, spec: ToxicSpec = ToxicSpec()) -> ToxicModel:
     """A model from rows (text, toxic) with toxic 0 or 1, all of them.
 
-    The driver gets the model's words (``spec.words`` at most) and binned evidence.
+    The driver gets binned evidence and the model's words: all significant ones, whose
+    number grows with the rows, though slower than the vocabulary.
     """
     labelled = materialize(labelled.select("text", "toxic"), "labelled")
     scores, often, rest = _log_odds(materialize(_word_counts(labelled), "words"), spec)
