@@ -183,8 +183,8 @@ def _(spark, d):
 
 # --- fitted models ---------------------------------------------------------
 
-# A small ensemble: every boosting round is a distributed job of its own.
-TREES = TreeSpec(trees=10)
+# The operator's own ensemble; every boosting round is a distributed job of its own.
+TREES = TreeSpec()
 
 
 def _registry(spark):

@@ -8,6 +8,8 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import compare, oracle_connection
+from checks.table_queries import TREES
+from tickflow.operators.modelling import TreeSpec
 
 SMALL, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 NEEDS_ROWS = {
@@ -33,6 +35,10 @@ def test_contract():
     assert set(oracles) <= set(queries) and len(queries) > 80
 
 
+def test_registered_models_fit_all_trees():
+    assert TREES == TreeSpec()
+
+
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
 
