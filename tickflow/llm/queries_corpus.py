@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tickflow.llm.conversation_trie import numbered_turns, prefix_trie, with_family_heads
+from tickflow.llm.phrases import collocations
 from tickflow.llm.registry import query, table
 from tickflow.session import materialize
 
@@ -48,3 +49,48 @@ FROM nodes n JOIN below b ON b.path = n.path LEFT JOIN nodes p ON n.d > 0 AND p.
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = materialize(numbered_turns(table(spark, sf_dir, "conversations")), "turns")
     return prefix_trie(*with_family_heads(turns, FAMILY, HEADS))
+
+
+PHRASE_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces
+), runs AS (
+  SELECT lang, len, unnest(list_transform(range(1, greatest(len(ws) - len + 2, 1)),
+                             lambda i: array_to_string(ws[i:i + len - 1], ' '))) AS phrase
+  FROM w, (VALUES (1), (2), (3), (4)) AS sizes(len)
+), f AS (
+  SELECT lang, phrase, any_value(len) AS len, count(*) AS f FROM runs GROUP BY lang, phrase
+), n AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM f WHERE len = 1 GROUP BY lang
+), c AS (
+  SELECT lang, phrase, len, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE len > 1 AND f >= 30
+), inside AS (
+  SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(a) AS most
+  FROM c, range(2, 4) sizes(m), range(1, 4) places(i)
+  WHERE m < len AND i + m - 1 <= len GROUP BY ALL
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, l.f AS l, r.f AS r,
+         ((2000000::HUGEINT * c.a) // (l.f::HUGEINT + r.f))::BIGINT AS score
+  FROM c, range(1, 4) cut(k), f l, f r
+  WHERE k < c.len AND l.lang = c.lang AND r.lang = c.lang
+    AND l.phrase = array_to_string(ws[:k], ' ') AND r.phrase = array_to_string(ws[k + 1:], ' ')
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ranked AS (
+  SELECT s.lang, s.phrase, s.a, s.l, s.r, s.score,
+         row_number() OVER (PARTITION BY s.lang ORDER BY s.score DESC, s.a DESC, s.phrase) AS rank
+  FROM lowest s LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase
+  WHERE i.most IS NULL OR 100::HUGEINT * i.most < 80::HUGEINT * s.a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op13_phrase_collocations", PHRASE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))

@@ -78,7 +78,7 @@ def _word_hashes(raw: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return mix(hashes + (ends - starts).astype(_U) * _U(_STEP)), starts
 
 
-def _span_end(raw: np.ndarray, offsets: np.ndarray, at: int) -> int:
+def span_end(raw: np.ndarray, offsets: np.ndarray, at: int) -> int:
     """The first separator or text start from ``SPAN_BYTES`` after ``at`` on."""
     end = at + SPAN_BYTES
     while end < len(raw):
@@ -94,7 +94,7 @@ def batch_words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     """Word hashes of all texts in a row, and where each text's words begin and end."""
     hashes, starts, at = [np.zeros(0, dtype=_U)], [np.zeros(0, dtype=np.int64)], 0
     while at < len(raw):
-        end = _span_end(raw, offsets, at)
+        end = span_end(raw, offsets, at)
         cuts = offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, end)] - at
         found, begun = _word_hashes(raw[at:end], cuts)
         hashes.append(found)
