@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 
 from tickflow.llm import phrases
-from tickflow.llm.phrases import Bloom, PhraseSpec, collocations
+from tickflow.llm.bloom import Bloom
+from tickflow.llm.phrases import PhraseSpec, collocations
 
 SMALL = PhraseSpec(support=4, shards=3, top=40)
 SCHEMA = "doc_id long, text string, lang string, phrase string, n long, key long, shard int, rank long"

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickflow.llm.conversation_trie import numbered_turns, prefix_trie, with_family_heads
+from tickflow.llm.passages import without_repeats
 from tickflow.llm.phrases import collocations
 from tickflow.llm.registry import query, table
 from tickflow.session import materialize
@@ -94,3 +96,10 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHE
 @query("op13_phrase_collocations", PHRASE_SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op12_repeated_passages")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeats(table(spark, sf_dir, "documents"))
+    kept = F.sha2("kept_bytes", 256).alias("kept_sha256")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", kept)
