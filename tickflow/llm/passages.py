@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickflow.llm.bloom import Bloom
-from tickflow.llm.shingles import mix, slices, string_buffers
+from tickflow.llm.rolling import PrefixHashes
+from tickflow.llm.shingles import slices, string_buffers
 from tickflow.llm.slots import bitmap, with_hit
 from tickflow.llm.suffix_runs import front_code, front_decode, merge_runs
 from tickflow.llm.text import or_empty
@@ -43,8 +44,6 @@ SPAN = 1 << 20
 RUN_BYTES, RUN_SUFFIXES = 1 << 24, 1 << 16
 MEASURES = ("n_bytes", "n_removed", "n_spans", "kept_bytes")
 _PLACES = _U((1 << 24) - 1)
-_MULTIPLIER = 0xD1342543DE82EF95
-_LETTER = mix((np.arange(256, dtype=_U) + _U(1)) * _U(0x9E3779B97F4A7C15))
 
 
 @dataclass(frozen=True)
@@ -66,31 +65,6 @@ class PassageSpec:
         return self.length - self.gram + 1
 
 
-class _Hashes:
-    """Hashes of strings of a span of bytes, by prefix sums."""
-
-    _up = _down = np.zeros(0, dtype=_U)
-
-    def __init__(self, raw: np.ndarray) -> None:
-        if len(raw) + 1 > len(_Hashes._up):
-            n = max(len(raw) + 1, SPAN + 4096)
-            inverse = pow(_MULTIPLIER, -1, 1 << 64)
-            _Hashes._up, _Hashes._down = (
-                np.cumprod(np.concatenate([[_U(1)], np.full(n - 1, b, dtype=_U)]), dtype=_U)
-                for b in (_MULTIPLIER, inverse)
-            )
-        self.sums = np.zeros(len(raw) + 1, dtype=_U)
-        np.cumsum(_LETTER[raw] * _Hashes._up[: len(raw)], dtype=_U, out=self.sums[1:])
-
-    def all(self, n: int) -> np.ndarray:
-        """Of the n bytes from each place on."""
-        places = len(self.sums) - n
-        return mix((self.sums[n:] - self.sums[:places]) * _Hashes._down[:places])
-
-    def at(self, places: np.ndarray, n: int) -> np.ndarray:
-        return mix((self.sums[places + n] - self.sums[places]) * _Hashes._down[places])
-
-
 def _least(values: np.ndarray, width: int) -> np.ndarray:
     """The least of each ``width`` values in a row."""
     n = len(values) - width + 1
@@ -119,11 +93,11 @@ class Suffixes:
 
 def anchored(
     raw: np.ndarray, offsets: np.ndarray, spec: PassageSpec
-) -> Iterator[tuple[Suffixes, _Hashes, int]]:
+) -> Iterator[tuple[Suffixes, PrefixHashes, int]]:
     """Per span of some texts its anchors, its hashes and where it begins."""
     for at in range(0, len(raw) - spec.length + 1, SPAN):
         part = raw[at : at + SPAN + spec.length - 1]
-        hashes = _Hashes(part)
+        hashes = PrefixHashes(part)
         grams = hashes.all(spec.gram)
         places = np.arange(len(grams), dtype=_U)
         best = (_least((grams & ~_PLACES) | places, spec.reach) & _PLACES).astype(np.int64)
@@ -142,7 +116,7 @@ def anchored(
         yield Suffixes(text, anchor + at, anchor - last, anchor - begin, grams[anchor]), hashes, at
 
 
-def _parts(found: Suffixes, hashes: _Hashes, at: int, spec: PassageSpec) -> Suffixes:
+def _parts(found: Suffixes, hashes: PrefixHashes, at: int, spec: PassageSpec) -> Suffixes:
     """The suffixes cut into parts of ``width`` windows, with the hashes of their cores."""
     first, last = found.low // spec.width, found.high // spec.width
     count = last - first + 1

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickflow.llm.bloom import Bloom
+from tickflow.llm.rolling import LETTERS, PrefixHashes
 from tickflow.llm.shingles import mix, slices, span_end, string_buffers
 from tickflow.llm.text import or_empty
 from tickflow.session import materialize
@@ -34,15 +35,18 @@ _FOLDED = np.where((_BYTES >= ord("A")) & (_BYTES <= ord("Z")), _BYTES + 32, _BY
 #: Characters that end a piece: punctuation, line feed, VT, FF, CR.
 _IS_BREAK = np.isin(_BYTES, np.frombuffer(b".,;:!?\n\x0b\x0c\r", dtype=np.uint8))
 _IS_WORD = ~(_IS_BREAK | np.isin(_BYTES, np.frombuffer(b" \t", dtype=np.uint8)))
+_LETTERS = LETTERS[_FOLDED]
+#: Bits of a key for the shard.
+_SHARD, _KEY = _U(15), ~_U(15)
 #: Bytes of text that are counted together before anything is shuffled.
-BLOCK_BYTES = 1 << 24
+BLOCK_BYTES = 1 << 23
 
 
 @dataclass(frozen=True)
 class PhraseSpec:
     longest: int = 4
     support: int = 30
-    #: Shards that are mined on their own.
+    #: Shards that are mined on their own, 16 at most.
     shards: int = 4
     #: A candidate inside a longer one with this share (percent) of its count is dropped.
     covered_pct: int = 80
@@ -52,85 +56,105 @@ class PhraseSpec:
 
 
 class Block:
-    """The words of some texts: codes into a dictionary, and the pieces they stand in."""
+    """The words of some texts: their hashes, and the pieces they stand in."""
 
     def __init__(self, raw: np.ndarray, offsets: np.ndarray) -> None:
-        chunks, starts, pieces, at, breaks = [], [], [], 0, 0
+        self.chunks, hashes, starts, pieces, at, breaks = [], [], [], [], 0, 0
         while at < len(raw):
             end = span_end(raw, offsets, at)
             part = raw[at:end]
-            body, broken = _IS_WORD[part], np.cumsum(_IS_BREAK[part])
-            cuts = offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, end)] - at
-            first, last = body.copy(), body.copy()
-            first[1:] &= ~body[:-1]
-            last[:-1] &= ~body[1:]
-            first[cuts] = body[cuts]
-            last[cuts[cuts > 0] - 1] = body[cuts[cuts > 0] - 1]
-            begin = np.flatnonzero(first)
-            sizes = np.flatnonzero(last) + 1 - begin
-            ends = np.concatenate([[0], np.cumsum(sizes)])
-            buffers = [None, pa.py_buffer(ends), pa.py_buffer(_FOLDED[part[body]])]
-            chunks.append(pa.LargeStringArray.from_buffers(len(begin), buffers[1], buffers[2]))
+            body = _IS_WORD[part]
+            edges = np.flatnonzero(body[1:] != body[:-1]) + 1
+            inner = offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, end)] - at
+            inner = inner[inner > 0]
+            # Where a text begins inside a run of letters, one word ends and one begins.
+            inner = np.unique(inner[body[inner] & body[inner - 1]])
+            outer = [np.zeros(int(body[0]), np.int64), np.full(int(body[-1]), len(part))]
+            edges = np.concatenate([outer[0], edges, outer[1]])
+            if len(inner):
+                edges = np.sort(np.concatenate([edges, inner, inner]))
+            begin, stop = edges[::2], edges[1::2]
+            broken = np.cumsum(_IS_BREAK[part], dtype=np.int32)
+            hashes.append(PrefixHashes(part, _LETTERS).between(begin, stop))
+            self.chunks.append((part, body, stop - begin))
             starts.append(begin + at)
-            pieces.append(broken[begin] + breaks)
-            breaks += int(broken[-1]) if len(broken) else 0
+            pieces.append(broken[begin] + np.int32(breaks))
+            breaks += int(broken[-1])
             at = end
-        self.words, self.codes = pa.array([], pa.large_string()), np.zeros(0, dtype=np.int64)
-        if chunks:
-            words = pa.chunked_array(chunks).dictionary_encode().combine_chunks()
-            self.words, self.codes = words.dictionary, np.asarray(words.indices, dtype=np.int64)
-        empty = [np.zeros(0, dtype=np.int64)]
-        self.text = np.searchsorted(offsets, np.concatenate(starts or empty), side="right") - 1
+        self.word = np.concatenate([np.zeros(0, dtype=_U), *hashes])
+        begin = np.concatenate([np.zeros(0, dtype=np.int64), *starts])
+        self.text = (np.searchsorted(offsets, begin, side="right") - 1).astype(np.int32)
         # Both parts never fall from word to word, so their sum tells pieces apart.
-        self.piece = np.concatenate(pieces or empty) + self.text
+        self.piece = np.concatenate([np.zeros(0, dtype=np.int32), *pieces]) + self.text
+
+    def dictionary(self) -> tuple[pa.Array, np.ndarray]:
+        """The distinct words, and each word's place among them."""
+        strings = [
+            pa.LargeStringArray.from_buffers(
+                len(sizes),
+                pa.py_buffer(np.concatenate([[0], np.cumsum(sizes)])),
+                pa.py_buffer(_FOLDED[part[body]]),
+            )
+            for part, body, sizes in self.chunks
+        ]
+        if not strings:
+            return pa.array([], pa.large_string()), np.zeros(0, dtype=np.int64)
+        words = pa.chunked_array(strings).dictionary_encode().combine_chunks()
+        return words.dictionary, np.asarray(words.indices, dtype=np.int64)
 
-    def hashes(self) -> np.ndarray:
-        """A hash per word of the dictionary."""
-        own = [xxhash.xxh3_64_intdigest(w.encode()) for w in self.words.to_pylist()]
-        return np.array(own, dtype=_U)
+    def starts(self, n: int) -> np.ndarray:
+        """Where n words in a row stand in one piece."""
+        if len(self.piece) < n:
+            return np.zeros(0, dtype=np.int64)
+        return np.flatnonzero(self.piece[n - 1 :] == self.piece[: len(self.piece) - n + 1])
 
 
-class _Counter:
-    """Keys and counts of the phrases of a block."""
+class _Langs:
+    """Languages of a block's texts: names, and per text its place among them."""
 
-    def __init__(self, block: Block, langs: pa.Array) -> None:
-        self.block = block
-        langs = langs.dictionary_encode()
-        own = [xxhash.xxh3_64_intdigest(x.encode(), seed=1) for x in langs.dictionary.to_pylist()]
-        by_text = np.array(own, dtype=_U)[np.asarray(langs.indices, dtype=np.int64)]
-        self.lang = by_text[block.text]
-        self.word = block.hashes()[block.codes]
+    def __init__(self, column: pa.Array) -> None:
+        coded = column.dictionary_encode()
+        self.names, self.of = coded.dictionary, np.asarray(coded.indices, dtype=np.int64)
+        own = [xxhash.xxh3_64_intdigest(x.encode(), seed=1) for x in self.names.to_pylist()]
+        self.hash = np.array(own, dtype=_U)
 
-    def keys(self, at: np.ndarray, n: int) -> np.ndarray:
-        """Of the n words from each of ``at`` on, in their language."""
-        key = mix(self.lang[at] + _U(n))
-        for k in range(n):
-            key = mix(key * _PLACE + self.word[at + k])
-        return key
 
-    def starts(self, n: int) -> np.ndarray:
-        """Where n words in a row stand in one piece."""
-        piece = self.block.piece
-        if len(piece) < n:
-            return np.zeros(0, dtype=np.int64)
-        return np.flatnonzero(piece[n - 1 :] == piece[: len(piece) - n + 1])
+def _keys(words: np.ndarray, lang: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Keys of the n words from each of ``at`` on; ``lang`` has their languages' hashes.
+
+    The lowest bits are free for a shard.
+    """
+    key = lang + _U(n)
+    for k in range(n):
+        key = (key ^ (key >> _U(29))) * _PLACE + words[at + k]
+    return mix(key) & _KEY
 
 
-def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[Block, int, int]]:
+def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[Block, _Langs, int, int]]:
     raw, offsets = string_buffers(batch.column(0))
     for a, b in slices(offsets, BLOCK_BYTES, 1 << 30):
         part = offsets[a : b + 1]
-        yield Block(raw[part[0] : part[-1]], part - part[0]), a, b
+        block = Block(raw[part[0] : part[-1]], part - part[0])
+        yield block, _Langs(batch.column(1).slice(a, b - a)), a, b
+
+
+def _runs(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of a sorted array, and their numbers."""
+    new = np.ones(len(ordered), dtype=bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    at = np.flatnonzero(new)
+    return ordered[at], np.diff(np.append(at, len(ordered)))
 
 
-def _grouped(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of rows that are equal in all columns: one row's place, their number; all rows' group."""
-    group = columns[0]
-    for more in columns[1:]:
-        _, group = np.unique(group, return_inverse=True)
-        group = group * (int(more.max()) + 1) + more if len(more) else group
-    _, first, group, counts = np.unique(group, return_index=True, return_inverse=True, return_counts=True)
-    return first, counts, group
+def _grouped(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """A row's place and the number of rows, for rows that are equal in all columns."""
+    group = np.zeros(len(columns[0]), dtype=np.int64)
+    for column in columns:
+        group = group * (int(column.max(initial=0)) + 1) + column
+        _, first, group, counts = np.unique(
+            group, return_index=True, return_inverse=True, return_counts=True
+        )
+    return first, counts
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -138,16 +162,18 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, a, b in _blocks(batch):
-                langs = batch.column(1).slice(a, b - a)
-                names = langs.dictionary_encode()
-                by_word = np.asarray(names.indices, dtype=np.int64)[block.text]
-                first, counts, _ = _grouped(block.codes, by_word)
-                keys = _Counter(block, langs).keys(first, 1)
+            for block, langs, _, _ in _blocks(batch):
+                words, codes = block.dictionary()
+                n = len(langs.names)
+                pairs, counts = _runs(np.sort(codes * n + langs.of[block.text]))
+                code, lang = pairs // max(n, 1), pairs % max(n, 1)
+                raw, bounds = string_buffers(words)
+                hashes = PrefixHashes(raw).between(bounds[:-1], bounds[1:])
+                keys = _keys(hashes, langs.hash[lang], code, 1)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        names.dictionary.take(pa.array(by_word[first])),
-                        block.words.take(pa.array(block.codes[first])).cast(pa.string()),
+                        langs.names.take(pa.array(lang)),
+                        words.take(pa.array(code)).cast(pa.string()),
                         pa.array(keys.view(np.int64)),
                         pa.array(counts),
                     ],
@@ -159,61 +185,46 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def _frequent(texts: DataFrame, sizes: tuple[int, ...], words: Bloom, pairs: Bloom | None) -> DataFrame:
-    """(key, shard): phrases of the given sizes with the local support of a shard.
+    """(key): phrases of the given sizes with the local support of a shard, whose number
+    is in the key's lowest bits.
 
     ``texts``: _text, _lang, shard, need. Pairs are of frequent words; longer phrases of
-    pairs that are frequent in the shard.
+    pairs that are frequent in the shard. Counts are summed as parts of the need.
     """
 
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, a, b in _blocks(batch):
-                counter = _Counter(block, batch.column(1).slice(a, b - a))
-                shard = batch.column(2).slice(a, b - a).to_numpy().astype(_U)[block.text]
-                need = batch.column(3).slice(a, b - a).to_numpy()[block.text]
-                common = words.holds(counter.keys(np.arange(len(block.codes)), 1))
-                two = counter.starts(2)
+            for block, langs, a, b in _blocks(batch):
+                shards, needs = (batch.column(i).slice(a, b - a).to_numpy() for i in (2, 3))
+                lang = langs.hash[langs.of][block.text]
+                shard = shards.astype(_U)[block.text]
+                common = words.holds(_keys(block.word, lang, np.arange(len(block.word)), 1))
+                two = block.starts(2)
                 two = two[common[two] & common[two + 1]]
                 if pairs:
-                    two = two[pairs.holds(in_shard(counter.keys(two, 2), shard[two]))]
-                linked = np.zeros(len(block.codes) + max(sizes), dtype=bool)
+                    two = two[pairs.holds(_keys(block.word, lang[two], two, 2) | shard[two])]
+                linked = np.zeros(len(block.word) + max(sizes), dtype=bool)
                 linked[two] = True
                 for n in sizes:
-                    at = counter.starts(n)
+                    at = two
                     for k in range(n - 1):
                         at = at[linked[at + k]]
-                    keys = counter.keys(at, n)
-                    _, first, counts = np.unique(in_shard(keys, shard[at]), return_index=True, return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(keys[first].view(np.int64)),
-                            pa.array(shard[at[first]].astype(np.int32)),
-                            pa.array(need[at[first]]),
-                            pa.array(counts),
-                        ],
-                        names=["key", "shard", "need", "n"],
-                    )
-
-    parts = texts.select("_text", "_lang", "shard", "need").mapInArrow(
-        mine, "key long, shard int, need long, n long"
-    )
-    sums = parts.groupBy("key", "shard").agg(F.sum("n").alias("n"), F.max("need").alias("need"))
-    return sums.filter("n >= need").select("key", "shard")
-
-
-def in_shard(keys: np.ndarray, shard: np.ndarray) -> np.ndarray:
-    """Keys that also tell shards apart."""
-    return mix(keys + (shard + _U(1)) * _PLACE)
-
-
-def _in_shard(frequent: DataFrame) -> DataFrame:
-    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, shard = (batch.column(c).to_numpy() for c in (0, 1))
-            keys = in_shard(keys.astype(np.int64).view(_U), shard.astype(_U))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], names=["key"])
-
-    return frequent.mapInArrow(told, "key long")
+                    at = at[block.piece[at + n - 1] == block.piece[at]]
+                    keys = _keys(block.word, lang[at], at, n) | shard[at]
+                    for i in range(len(langs.names)):
+                        own = keys if len(langs.names) == 1 else keys[langs.of[block.text[at]] == i]
+                        key, counts = _runs(np.sort(own))
+                        need = np.ones(int(_SHARD) + 1)
+                        mine_ = langs.of == i
+                        need[shards[mine_]] = needs[mine_]
+                        share = counts / need[(key & _SHARD).astype(np.int64)]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(key.view(np.int64)), pa.array(share)], names=["key", "share"]
+                        )
+
+    parts = texts.select("_text", "_lang", "shard", "need").mapInArrow(mine, "key long, share double")
+    # Sums of quotients may fall short of one by their rounding.
+    return parts.groupBy("key").agg(F.sum("share").alias("share")).filter("share > 1 - 1e-6").select("key")
 
 
 def _counted(texts: DataFrame, candidates: Bloom, longest: int) -> DataFrame:
@@ -221,19 +232,17 @@ def _counted(texts: DataFrame, candidates: Bloom, longest: int) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, a, b in _blocks(batch):
-                langs = batch.column(1).slice(a, b - a)
-                counter, names = _Counter(block, langs), langs.dictionary_encode()
-                by_word = np.asarray(names.indices, dtype=np.int64)[block.text]
+            for block, langs, _, _ in _blocks(batch):
+                (words, codes), of = block.dictionary(), langs.of[block.text]
                 for n in range(2, longest + 1):
-                    at = counter.starts(n)
-                    at = at[candidates.holds(counter.keys(at, n))]
-                    first, counts, _ = _grouped(by_word[at], *[block.codes[at + k] for k in range(n)])
+                    at = block.starts(n)
+                    at = at[candidates.holds(_keys(block.word, langs.hash[of[at]], at, n))]
+                    first, counts = _grouped([of[at], *[codes[at + k] for k in range(n)]])
                     at = at[first]
-                    parts = [block.words.take(pa.array(block.codes[at + k])) for k in range(n)]
+                    parts = [words.take(pa.array(codes[at + k])) for k in range(n)]
                     joined = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
                     yield pa.RecordBatch.from_arrays(
-                        [names.dictionary.take(pa.array(by_word[at])), joined.cast(pa.string()), pa.array(counts)],
+                        [langs.names.take(pa.array(of[at])), joined.cast(pa.string()), pa.array(counts)],
                         names=["lang", "phrase", "n"],
                     )
 
@@ -320,10 +329,9 @@ def collocations(
     shares = shares.withColumn("whole", whole).select("_lang", "shard", F.greatest(need, F.lit(1)).alias("need"))
     dealt = texts.join(materialize(shares, "shares"), ["_lang", "shard"])
     pairs = materialize(_frequent(dealt, (2,), frequent_words, None), "pairs")
-    pair_filter = Bloom(materialize(_in_shard(pairs), "pair_keys"))
-    sizes = tuple(range(3, spec.longest + 1))
-    longer = _frequent(dealt, sizes, frequent_words, pair_filter)
-    mined = materialize(pairs.union(longer).select("key").distinct(), "mined")
+    longer = _frequent(dealt, tuple(range(3, spec.longest + 1)), frequent_words, Bloom(pairs))
+    in_any = F.col("key").bitwiseAND(F.lit(~int(_SHARD))).alias("key")
+    mined = materialize(pairs.union(longer).select(in_any).distinct(), "mined")
     counted = materialize(
         _counted(texts, Bloom(mined), spec.longest).filter(F.col("f") >= spec.support), "counted"
     )
