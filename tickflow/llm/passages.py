@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tickflow.llm.bloom import Bloom
 from tickflow.llm.rolling import PrefixHashes
-from tickflow.llm.shingles import slices, string_buffers
+from tickflow.llm.shingles import mix, slices, string_buffers
 from tickflow.llm.slots import bitmap, with_hit
 from tickflow.llm.suffix_runs import front_code, front_decode, merge_runs
 from tickflow.llm.text import or_empty
@@ -41,7 +41,7 @@ _U = np.uint64
 #: Window starts that are worked on together.
 SPAN = 1 << 20
 #: Bytes of text that are sorted into one run; suffixes of a run.
-RUN_BYTES, RUN_SUFFIXES = 1 << 24, 1 << 16
+RUN_BYTES, RUN_SUFFIXES = 1 << 23, 1 << 15
 MEASURES = ("n_bytes", "n_removed", "n_spans", "kept_bytes")
 _PLACES = _U((1 << 24) - 1)
 
@@ -57,7 +57,7 @@ class PassageSpec:
     #: Suffixes with one gram beyond which it is frequent.
     frequent: int = 256
     #: Suffixes that a range holds on average.
-    per_range: int = 20_000
+    per_range: int = 10_000
 
     @property
     def reach(self) -> int:
@@ -113,7 +113,9 @@ def anchored(
         whole = begin + at + spec.length <= offsets[text + 1]
         begin, last, text = begin[whole], last[whole], text[whole]
         anchor = best[begin]
-        yield Suffixes(text, anchor + at, anchor - last, anchor - begin, grams[anchor]), hashes, at
+        # Mixed anew: the least hashes of windows are small.
+        prefix = mix(grams[anchor])
+        yield Suffixes(text, anchor + at, anchor - last, anchor - begin, prefix), hashes, at
 
 
 def _parts(found: Suffixes, hashes: PrefixHashes, at: int, spec: PassageSpec) -> Suffixes:
