@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickflow.llm.batches import gathered, small_batches
 from tickflow.llm.bloom import Bloom
 from tickflow.llm.rolling import LETTERS, PrefixHashes
 from tickflow.llm.shingles import mix, slices, span_end, string_buffers
@@ -39,7 +40,7 @@ _LETTERS = LETTERS[_FOLDED]
 #: Bits of a key for the shard.
 _SHARD, _KEY = _U(15), ~_U(15)
 #: Bytes of text that are counted together before anything is shuffled.
-BLOCK_BYTES = 1 << 23
+BLOCK_BYTES = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -161,7 +162,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
     """(lang, phrase, key, f) of single words, for rows (_text, _lang)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in gathered(batches, BLOCK_BYTES):
             for block, langs, _, _ in _blocks(batch):
                 words, codes = block.dictionary()
                 n = len(langs.names)
@@ -193,7 +194,7 @@ def _frequent(texts: DataFrame, sizes: tuple[int, ...], words: Bloom, pairs: Blo
     """
 
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in gathered(batches, BLOCK_BYTES):
             for block, langs, a, b in _blocks(batch):
                 shards, needs = (batch.column(i).slice(a, b - a).to_numpy() for i in (2, 3))
                 lang = langs.hash[langs.of][block.text]
@@ -231,7 +232,7 @@ def _counted(texts: DataFrame, candidates: Bloom, longest: int) -> DataFrame:
     """(lang, phrase, f) of phrases that may be candidates, over all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in gathered(batches, BLOCK_BYTES):
             for block, langs, _, _ in _blocks(batch):
                 (words, codes), of = block.dictionary(), langs.of[block.text]
                 for n in range(2, longest + 1):
@@ -318,23 +319,24 @@ def collocations(
         F.coalesce(F.col(lang_col), F.lit("und")).alias("_lang"),
         F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(spec.shards)).cast("int").alias("shard"),
     )
-    words = materialize(word_counts(texts), "words")
-    frequent_words = Bloom(materialize(words.filter(F.col("f") >= spec.support).select("key"), "common"))
-    # A shard's share of its language by characters; shares sum up to one.
-    shares = texts.groupBy("_lang", "shard").agg(F.sum(F.length("_text").cast("long")).alias("chars"))
-    whole = F.sum("chars").over(Window.partitionBy("_lang"))
-    need = F.expr(
-        f"cast(({spec.support} * cast(chars as decimal(20,0)) + whole - 1) div greatest(whole, 1) as long)"
-    )
-    shares = shares.withColumn("whole", whole).select("_lang", "shard", F.greatest(need, F.lit(1)).alias("need"))
-    dealt = texts.join(materialize(shares, "shares"), ["_lang", "shard"])
-    pairs = materialize(_frequent(dealt, (2,), frequent_words, None), "pairs")
-    longer = _frequent(dealt, tuple(range(3, spec.longest + 1)), frequent_words, Bloom(pairs))
-    in_any = F.col("key").bitwiseAND(F.lit(~int(_SHARD))).alias("key")
-    mined = materialize(pairs.union(longer).select(in_any).distinct(), "mined")
-    counted = materialize(
-        _counted(texts, Bloom(mined), spec.longest).filter(F.col("f") >= spec.support), "counted"
-    )
+    with small_batches(docs.sparkSession):
+        words = materialize(word_counts(texts), "words")
+        frequent_words = Bloom(materialize(words.filter(F.col("f") >= spec.support).select("key"), "common"))
+        # A shard's share of its language by characters; shares sum up to one.
+        shares = texts.groupBy("_lang", "shard").agg(F.sum(F.length("_text").cast("long")).alias("chars"))
+        whole = F.sum("chars").over(Window.partitionBy("_lang"))
+        need = F.expr(
+            f"cast(({spec.support} * cast(chars as decimal(20,0)) + whole - 1) div greatest(whole, 1) as long)"
+        )
+        shares = shares.withColumn("whole", whole).select("_lang", "shard", F.greatest(need, F.lit(1)).alias("need"))
+        dealt = texts.join(materialize(shares, "shares"), ["_lang", "shard"])
+        pairs = materialize(_frequent(dealt, (2,), frequent_words, None), "pairs")
+        longer = _frequent(dealt, tuple(range(3, spec.longest + 1)), frequent_words, Bloom(pairs))
+        in_any = F.col("key").bitwiseAND(F.lit(~int(_SHARD))).alias("key")
+        mined = materialize(pairs.union(longer).select(in_any).distinct(), "mined")
+        counted = materialize(
+            _counted(texts, Bloom(mined), spec.longest).filter(F.col("f") >= spec.support), "counted"
+        )
     candidates = counted.withColumnRenamed("f", "a")
     counts = counted.unionByName(words.filter(F.col("f") >= spec.support).drop("key"))
     scored = _scored(_not_covered(candidates, spec.covered_pct), counts, spec.scale)
