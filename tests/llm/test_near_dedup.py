@@ -70,11 +70,11 @@ def test_documents(spark, documents):
     assert found(near_duplicates(documents)) == expected(rows)
 
 
-@pytest.mark.parametrize("first_hubs", [4, 256])
-def test_groups_of_all_distances(spark, monkeypatch, first_hubs):
+@pytest.mark.parametrize("large", [2, 8, 1000])
+def test_groups_of_all_distances(spark, monkeypatch, large):
     """Groups whose members are linked, nearly linked, or linked only over others."""
-    monkeypatch.setattr(near_dedup, "FIRST_HUBS", first_hubs)
-    rng = random.Random(first_hubs)
+    monkeypatch.setattr(near_dedup, "LARGE", large)
+    rng = random.Random(large)
     texts = [t for most in (1, 3, 6) for t in variants(60, 120, rng, most)]
     chain = [f"c{k}" for k in range(200)]
     texts += [" ".join(chain[k : k + 100]) for k in range(0, 100, 8)]
@@ -85,6 +85,44 @@ def test_groups_of_all_distances(spark, monkeypatch, first_hubs):
     assert found(near_duplicates(docs)) == expected(rows)
 
 
+def ring(n):
+    """Texts of which all pairs have a similarity just below the threshold; each shares
+    its own words with its neighbours alone."""
+    base = " ".join(f"c{i}" for i in range(150))
+    own = [" ".join(f"o{i}x{k}" for k in range(16)) for i in range(n)]
+    return [(i, f"{base} {own[i]} {own[(i + 1) % n]}") for i in range(n)]
+
+
+def test_pairs_of_equidistant_texts_grow_with_the_group(spark, monkeypatch):
+    """Unlinked texts at one distance: candidates grow with their number, not its square."""
+    counts = []
+    links = near_dedup._Verifier.links
+
+    def counted(self, pairs):
+        counts[-1] += pairs.count()
+        return links(self, pairs)
+
+    monkeypatch.setattr(near_dedup._Verifier, "links", counted)
+    for n in (24, 48, 96):
+        rows = ring(n)
+        sets = [shingles(t) for _, t in rows]
+        far = [len(sets[0] & s) / len(sets[0] | s) for s in sets[2:-1]]
+        assert 0.6 < min(far) and max(far) < 0.75
+        counts.append(0)
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        assert found(near_duplicates(docs)) == expected(rows)
+    assert counts[2] < 2.6 * counts[1] and counts[2] < 14 * 96
+
+
+def test_ids_that_stand_on_several_texts(spark):
+    """Each text is a node; a near copy of the second text of an id is linked to it."""
+    one, two = (" ".join(f"{x}{k}" for k in range(60)) for x in "pq")
+    rows = [(5, one), (5, two), (7, two + " more"), (3, one + " tail"), (9, "x y z"), (5, one)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id, r.component_id) for r in near_duplicates(docs).collect())
+    assert got == [(3, 3), (5, 3), (5, 3), (5, 5), (7, 5), (9, 9)]
+
+
 def test_edges(spark, edge, empty):
     rows = edge.select("doc_id", "text").collect()
     got = near_duplicates(edge).collect()

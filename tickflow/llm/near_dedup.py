@@ -2,13 +2,14 @@
 
 Texts with equal shingle sets are one class. Each class has one sketch; classes that
 agree in all registers of a band share a bucket. In a bucket every member is compared
-with one, its hub, never with all others. Buckets whose members then
-belong to more than one component stay open: members outside the bucket's main
-component are compared with the members of its other components, unless bounds rule a
-link out: how many of their shingles others have too, how many registers agree. So no link between members of a bucket is missed, except inside what is
-connected anyway, and a bucket of n near copies costs n comparisons. A candidate pair
-first has its similarity estimated from the sketches by likelihood; pairs that could
-be similar are verified on their full shingle sets.
+with one, its hub, never with all others, so a bucket of n near copies costs n
+comparisons. Buckets whose members then belong to more than one component stay open.
+Members of open buckets look for links to other components by their rarest shingles:
+of a linked pair the smaller set has one that the larger one has too among so few that
+it could not do without all of them. Large components are looked at as a whole first:
+how many shingles of a set any of their members has bounds the similarity to all of
+them. A candidate pair first has its similarity estimated from the sketches by
+likelihood; pairs that could be similar are verified on their full shingle sets.
 """
 
 from __future__ import annotations
@@ -27,60 +28,62 @@ from tickflow.llm.slots import only, perhaps
 from tickflow.session import materialize
 
 #: An estimate's standard error is about 0.02 (448 registers). Similarities are taken to
-#: be within four of them; pairs that can't reach the threshold are not read in full.
-ESTIMATE_MARGIN = 0.08
+#: be within five of them; pairs that can't reach the threshold are not read in full.
+ESTIMATE_MARGIN = 0.1
 #: The same for a first look at two bits of each register.
-COARSE_MARGIN = 0.1
-#: Members of an open bucket compared with all others in its first round; then doubled.
-FIRST_HUBS = 256
+COARSE_MARGIN = 0.125
+#: Members of open buckets from which a component is looked at as a whole first.
+LARGE = 32
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, spec: SketchSpec) -> DataFrame:
-    """Per row: id, n_shingles, two hashes of the shingle set, and its registers."""
+    """Per row: id, a hash of the text, n_shingles, the set's name (rep) and its registers."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, offsets = string_buffers(batch.column(1))
+            raw, offsets = string_buffers(batch.column(2))
             for a, b in slices(offsets):
                 part = offsets[a : b + 1]
                 flat, bounds = shingle_sets(raw[part[0] : part[-1]], part - part[0])
-                sums = [
-                    np.diff(np.concatenate([[np.uint64(0)], np.cumsum(h, dtype=np.uint64)])[bounds])
-                    for h in (mix(flat ^ np.uint64(0x5BD1E995)), mix(flat + np.uint64(0x27D4EB2F)))
-                ]
                 rows = registers(flat, bounds, spec)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(a, b - a),
+                        *[batch.column(i).slice(a, b - a) for i in (0, 1)],
                         pa.array(np.diff(bounds)),
-                        *[pa.array(s.view(np.int64)) for s in sums],
+                        set_hashes(flat, bounds),
                         pa.array([r.tobytes() for r in rows], type=pa.binary()),
                     ],
-                    names=["_id", "n_shingles", "_set_a", "_set_b", "_registers"],
+                    names=["_id", "text_hash", "n_shingles", "rep", "_registers"],
                 )
 
-    return docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col)).mapInArrow(
-        sketch, "_id long, n_shingles long, _set_a long, _set_b long, _registers binary"
+    text = F.col(text_col)
+    return docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(text).alias("text_hash"), text).mapInArrow(
+        sketch, "_id long, text_hash long, n_shingles long, rep long, _registers binary"
     )
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
-    """(_id, _set) for rows (_id, _text)."""
+    """(rep, _set) for rows (_text): the hash that names a set, and the set."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, offsets = string_buffers(batch.column(1))
+            raw, offsets = string_buffers(batch.column(0))
             for a, b in slices(offsets):
                 part = offsets[a : b + 1]
                 flat, bounds = shingle_sets(raw[part[0] : part[-1]], part - part[0])
                 lists = pa.ListArray.from_arrays(
                     pa.array(bounds, type=pa.int32()), pa.array(flat.view(np.int64))
                 )
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), lists], names=["_id", "_set"]
-                )
+                names = set_hashes(flat, bounds)
+                yield pa.RecordBatch.from_arrays([names, lists], names=["rep", "_set"])
+
+    return docs.select("_text").mapInArrow(sets, "rep long, _set array<long>")
 
-    return docs.select("_id", "_text").mapInArrow(sets, "_id long, _set array<long>")
+
+def set_hashes(flat: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """A hash that names each set."""
+    sums = np.cumsum(mix(flat ^ np.uint64(0x5BD1E995)), dtype=np.uint64)
+    return pa.array(np.diff(np.concatenate([[np.uint64(0)], sums])[bounds]).view(np.int64))
 
 
 def _estimates(pairs: DataFrame, spec: SketchSpec) -> DataFrame:
@@ -108,11 +111,18 @@ def _estimates(pairs: DataFrame, spec: SketchSpec) -> DataFrame:
 
 
 class _Verifier:
-    """Decides pairs of class representatives: by sketch first, then on full sets."""
+    """Decides pairs of classes: by sketch first, then on full sets."""
 
     def __init__(self, docs: DataFrame, reps: DataFrame, spec: SketchSpec, percent: int) -> None:
         self.docs, self.reps, self.spec, self.percent = docs, reps, spec, percent
 
+    def sets(self, reps: DataFrame) -> DataFrame:
+        """(rep, _set) of classes: of rows with the id of one of their documents, the text
+        that has the class's set. An id may stand on other texts as well."""
+        ids = self.reps.join(reps.select("rep").distinct(), "rep").select("_id", "rep")
+        texts = only(self.docs, ids.select("_id").distinct(), "_id").dropDuplicates(["_id", "_text"])
+        return full_sets(texts).join(ids.select("rep"), "rep").dropDuplicates(["rep"])
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """Of distinct pairs (a, b), those that are similar enough, as a written table."""
         ends = pairs.select(F.col("a").alias("rep")).union(pairs.select("b"))
@@ -125,10 +135,10 @@ class _Verifier:
         likely = _estimates(pairs.join(side("b"), "b").join(side("a"), "a"), self.spec)
         floor = self.percent / 100 - ESTIMATE_MARGIN
         close = materialize(likely.filter(F.col("likely") >= floor).select("a", "b"), "close")
-        needed = close.select(F.col("a").alias("_id")).union(close.select("b")).distinct()
-        sets = materialize(_sets_of(self.docs, needed), "sets")
-        set_a = sets.select(F.col("_id").alias("a"), F.col("_set").alias("set_a"))
-        set_b = sets.select(F.col("_id").alias("b"), F.col("_set").alias("set_b"))
+        needed = close.select(F.col("a").alias("rep")).union(close.select("b"))
+        sets = materialize(self.sets(needed), "sets")
+        set_a = sets.select(F.col("rep").alias("a"), F.col("_set").alias("set_a"))
+        set_b = sets.select(F.col("rep").alias("b"), F.col("_set").alias("set_b"))
         both = F.size(F.array_intersect("set_a", "set_b")).cast("long")
         either = F.size("set_a") + F.size("set_b") - both
         verified = close.join(set_b, "b").join(set_a, "a")
@@ -136,11 +146,6 @@ class _Verifier:
         return materialize(verified.select("a", "b"), "links")
 
 
-def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The full sets of the given ids, one row each."""
-    return full_sets(only(docs, ids, "_id").dropDuplicates(["_id"]))
-
-
 def _buckets(reps: DataFrame, spec: SketchSpec) -> DataFrame:
     """(key, rep, hub): members of buckets with at least two classes, and their hub.
 
@@ -197,58 +202,119 @@ def _coarsely_near(one: str, two: str, similarity: float, spec: SketchSpec) -> C
     return differ <= 0.75 * spec.registers * (1 - similarity + COARSE_MARGIN)
 
 
-def _shared(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """(rep, n_shingles, shared): how many of each one's shingles others of them have too."""
-    sets = _sets_of(docs, reps.select(F.col("rep").alias("_id")))
-    shingles = sets.select(F.col("_id").alias("rep"), F.explode("_set").alias("shingle"))
-    counts = shingles.groupBy("shingle").agg(F.min("rep").alias("rep"), F.count("*").alias("n"))
-    alone = counts.filter("n = 1").groupBy("rep").agg(F.count("*").alias("alone"))
-    shared = F.col("n_shingles") - F.coalesce("alone", F.lit(0))
-    return reps.join(alone, "rep", "left").select("rep", "n_shingles", shared.alias("shared"))
+class _Open:
+    """Members of open buckets, and candidates for links between their components.
 
+    ``members``: key, rep, component. A link asks for ``percent`` of the larger set, and
+    for more of the smaller one, in common; so of shingles in order of rarity each set's
+    first few tell. A shingle's rarity is the number of components that have it.
+    """
 
-def _cross_pairs(
-    members: DataFrame, n_hubs: int, percent: int, spec: SketchSpec
-) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of the buckets' hubs with members of other components, and the hubs.
+    def __init__(self, members: DataFrame, verifier: _Verifier) -> None:
+        self.members, self.percent, self.spec = members, verifier.percent, verifier.spec
+        named = members.select("rep", "component").distinct()
+        known = perhaps(verifier.reps, named, ["rep"]).join(named, "rep")
+        facts = known.select("rep", "component", "n_shingles").join(_packed(known, self.spec), "rep")
+        sizes = named.groupBy("component").agg(F.count("*").alias("_size"))
+        self.facts = materialize(
+            join_dealt(facts, sizes, "component").withColumn("large", F.col("_size") >= LARGE).drop("_size"), "facts"
+        )
+        sets = verifier.sets(named).select("rep", F.explode("_set").alias("shingle"))
+        self.tokens = materialize(
+            sets.join(self.facts.select("rep", "component", "n_shingles", "large"), "rep"), "tokens"
+        )
+        self.first = materialize(self._first(), "first")
+
+    def _first(self) -> DataFrame:
+        """(rep, shingle, place): the shingles that tell, from one on, if others have them."""
+        held = self.tokens.select("shingle", "component").distinct()
+        common = held.groupBy("shingle").agg(F.count("*").alias("_held")).filter("_held > 1")
+        ranked = join_dealt(self.tokens, common, "shingle")
+        others = ranked.groupBy("rep").agg(F.count("*").alias("_others"))
+        order = Window.partitionBy("rep").orderBy("_held", "shingle")
+        # Shingles that no other component has come first; they are not listed.
+        alone = F.col("n_shingles") - F.col("_others")
+        return (
+            join_dealt(ranked.withColumn("_nth", F.row_number().over(order)), others, "rep")
+            .withColumn("place", F.col("_nth") + alone)
+            .filter(F.col("place") <= self._telling(F.lit(self.percent), F.lit(100)))
+            .select("rep", "component", "n_shingles", "large", "shingle", "place")
+        )
 
-    Hubs are the ``n_hubs`` members of a bucket whose components have the fewest members
-    there, so the large component of a hot bucket is never compared with itself. Pairs
-    that can't be linked are left out: those with too few shingles that are not their own
-    alone, and those whose sketches differ too often. A pair comes from the first bucket
-    that it shares.
-    """
-    part = F.xxhash64("key", "component").alias("part")
-    counts = members.groupBy("key", "component").agg(F.count("*").alias("n"))
-    counts = counts.select(part, "n", F.col("key").alias("_k"))
-    sized = join_dealt(members.withColumn("part", part), counts, "part").filter("key = _k")
-    order = Window.partitionBy("key").orderBy("n", "rep")
-    facts = ("n_shingles", "shared", "packed", "keys")
-    hubs = (
-        sized.withColumn("_rank", F.row_number().over(order))
-        .filter(F.col("_rank") <= n_hubs)
-        .select(
-            *("key", "_rank"),
-            F.col("rep").alias("other"),
-            F.col("component").alias("_component"),
-            *[F.col(x).alias(f"_{x}") for x in facts],
+    def _telling(self, part: Column, whole: Column) -> Column:
+        """How many of a set's shingles tell if a link has ``part / whole`` of them."""
+        n = F.col("n_shingles")
+        return n - F.floor((part * n + whole - 1) / whole) + 1
+
+    def pairs(self) -> DataFrame:
+        """Distinct pairs (a, b) of different components that may be linked."""
+        return self._small().union(self._with_large()).distinct()
+
+    def _side(self, rows: DataFrame, prefix: str) -> DataFrame:
+        return rows.select([F.col(c).alias(prefix + c) for c in rows.columns])
+
+    def _near(self, one: str, two: str) -> Column:
+        return _coarsely_near(one, two, self.percent / 100, self.spec)
+
+    def _small(self) -> DataFrame:
+        """Pairs outside large components: the smaller set's first shingles meet the other's."""
+        few = self._telling(F.lit(2 * self.percent), F.lit(100 + self.percent))
+        mark = F.struct("place", "shingle", (F.col("place") <= few).alias("few"))
+        telling = self.first.filter("NOT large").groupBy("rep").agg(F.array_sort(F.collect_list(mark)).alias("_marks"))
+        telling = telling.select(
+            "rep",
+            F.col("_marks.shingle").alias("long"),
+            F.transform(F.filter("_marks", lambda m: m["few"]), lambda m: m["shingle"]).alias("short"),
         )
-    )
-    hubs = materialize(hubs, "hubs")
-    most = F.least("shared", "_shared")
-    possible = (
-        (F.col("component") != F.col("_component"))
-        & (100 * most >= percent * (F.col("n_shingles") + F.col("_n_shingles") - most))
-        & _coarsely_near("packed", "_packed", percent / 100, spec)
-        & (F.array_min(F.array_intersect("keys", "_keys")) == F.col("key"))
-    )
-    pairs = (
-        members.join(hubs, "key")
-        .filter(possible)
-        .select(F.least("other", "rep").alias("a"), F.greatest("other", "rep").alias("b"))
-        .distinct()
-    )
-    return pairs, hubs
+        facts = self.facts.filter("NOT large").join(telling, "rep").drop("large")
+        facts = materialize(facts, "telling")
+        left = self._side(facts.withColumn("shingle", F.explode("short")), "a_").drop("a_long")
+        right = self._side(facts.withColumn("shingle", F.explode("long")), "b_").drop("b_short")
+        size = lambda x: F.struct(F.col(f"{x}_n_shingles").alias("n"), F.col(f"{x}_rep").alias("rep"))
+        met = (
+            (F.col("a_shingle") == F.col("b_shingle"))
+            & (F.col("a_component") != F.col("b_component"))
+            & (size("a") < size("b"))
+            & (100 * F.col("a_n_shingles") >= self.percent * F.col("b_n_shingles"))
+            & self._near("a_packed", "b_packed")
+            # Only at the first shingle that they share.
+            & (F.get(F.array_intersect("a_short", "b_long"), F.lit(0)) == F.col("a_shingle"))
+        )
+        return left.join(right, met).select(
+            F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b")
+        )
+
+    def _with_large(self) -> DataFrame:
+        """Pairs with members of large components, where the component may have a link."""
+        whole = self.tokens.filter("large").select(F.col("component").alias("_whole"), "shingle").distinct()
+        whole = materialize(whole, "whole")
+        least = self.facts.filter("large").groupBy(F.col("component").alias("_whole"))
+        least = least.agg(F.min("n_shingles").alias("_least"))
+        other = F.col("component") != F.col("_whole")
+        asked = self.first.join(whole, "shingle").filter(other).select("rep", "_whole").distinct()
+        asked = materialize(asked, "asked")
+        shared = self.tokens.join(asked, "rep").join(whole, ["shingle", "_whole"])
+        shared = shared.groupBy("rep", "_whole").agg(
+            F.count("*").alias("shared"), F.max("n_shingles").alias("n_shingles")
+        )
+        n, most = F.col("n_shingles"), F.col("shared")
+        bounded = (100 * most >= self.percent * n) & (
+            100 * most >= self.percent * (n + F.greatest("_least", most) - most)
+        )
+        open_ = materialize(shared.join(least, "_whole").filter(bounded).select("rep", "_whole", "shared"), "asking")
+        keys = self.members.groupBy("rep").agg(F.collect_set("key").alias("keys"))  # of its bands
+        facts = self.facts.drop("component", "large").join(keys, "rep")
+        asking = open_.join(facts, "rep").withColumn("key", F.explode("keys"))
+        members = self.members.withColumnRenamed("component", "_whole").join(facts, "rep")
+        met = self._side(asking, "a_").join(
+            self._side(members, "b_"),
+            (F.col("a_key") == F.col("b_key"))
+            & (F.col("a__whole") == F.col("b__whole"))
+            & (100 * F.col("a_shared") >= self.percent * (F.col("a_n_shingles") + F.col("b_n_shingles") - F.col("a_shared")))
+            & self._near("a_packed", "b_packed")
+            & (F.array_min(F.array_intersect("a_keys", "b_keys")) == F.col("a_key")),
+        )
+        return met.select(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b"))
 
 
 def _labelled(members: DataFrame, parts: DataFrame) -> DataFrame:
@@ -271,27 +337,27 @@ def near_duplicates(
     percent: int = 75,
     spec: SketchSpec = SketchSpec(),
 ) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept.
+    """One row per input row: doc_id, n_shingles, component_id, kept, text_hash.
 
     Two documents are linked where their shingle sets' intersection is at least
     ``percent`` of the union; ``component_id`` is the smallest id reachable over links.
     Null and empty texts, and texts without a word, have no set, no links and their own
-    id. Rows that repeat an id have one node. Rows with a null id join no bucket: copies
-    of a set that some row with an id has take its component, others none (null), and
-    are kept. An empty table gives an empty result; other columns are not read.
-
-    A pair exactly at the threshold shares no bucket with a probability of about
-    (1 - 0.75^7)^64, 1 in 9,500, and less the more alike the two are.
+    id. Rows with equal sets are one node, whatever their ids; an id that stands on
+    several texts has a node for each. Rows with a null id join no bucket: copies of a
+    set that some row with an id has take its component, others none (null), and are
+    kept. An empty table gives an empty result; other columns are not read.
+
+    Shingles are 64-bit hashes, and a set is named by 64 bits. A pair exactly at the
+    threshold shares no bucket with a probability of about (1 - 0.75^7)^64, 1 in 9,500,
+    and less the more alike the two are; the margins of the estimates are five standard
+    errors.
     """
     narrow = materialize(sketches(docs, id_col, text_col, spec), "sketches")
-    key = ["n_shingles", "_set_a", "_set_b"]
     named = narrow.filter("n_shingles > 0 and _id is not null")
-    classes = named.groupBy("_set_a", "_set_b").agg(
-        F.max("n_shingles").alias("n_shingles"), F.min("_id").alias("rep")
-    )
+    classes = named.groupBy("rep").agg(F.min("_id").alias("_id"))
     classes = materialize(classes, "classes")
-    reps = named.join(classes.withColumn("_id", F.col("rep")), ["_id", *key])
-    reps = reps.select("rep", "n_shingles", "_registers").dropDuplicates(["rep"])
+    reps = named.join(classes, ["_id", "rep"])
+    reps = reps.select("rep", "_id", "n_shingles", "_registers").dropDuplicates(["rep"])
     reps = materialize(reps, "reps")
     buckets = _buckets(reps, spec).filter("rep <> hub")
     pairs = buckets.select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b"))
@@ -301,34 +367,19 @@ def near_duplicates(
     parts = components(links, "a", "b")
     members = _labelled(buckets.select("key", "rep"), parts)
     if not members.isEmpty():
-        facts = members.groupBy("rep").agg(F.collect_set("key").alias("keys"))  # of its bands
-        known = perhaps(reps, facts, ["rep"])
-        facts = facts.join(_packed(known, spec), "rep").join(
-            _shared(texts, facts.select("rep").join(known, "rep")), "rep"
-        )
-        members = materialize(members.join(facts, "rep"), "open")
-    n_hubs = FIRST_HUBS
-    while not members.isEmpty():
-        pairs, hubs = _cross_pairs(members, n_hubs, percent, spec)
-        found = verifier.links(pairs)
+        found = verifier.links(_Open(members, verifier).pairs())
         if not found.isEmpty():
-            links = links.union(found)
-            parts = components(links, "a", "b")
-        # Buckets with fewer hubs than they could have had are done; so are all hubs.
-        more = hubs.filter(F.col("_rank") == n_hubs).select("key")
-        if more.isEmpty():
-            break
-        done = hubs.select("key", F.col("other").alias("rep"))
-        left = members.join(more, "key", "left_semi").join(done, ["key", "rep"], "left_anti")
-        members = _labelled(left, parts)
-        n_hubs *= 2
+            parts = components(links.union(found), "a", "b")
     named = classes.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
-    named = named.select(*key, F.coalesce("component", "rep").alias("_component"))
-    ids = narrow.select("_id", *key)
+    named = named.select("rep", "_id", F.coalesce("component", "rep").alias("_part"))
+    least = named.groupBy("_part").agg(F.min("_id").alias("_component"))
+    named = materialize(join_dealt(named, least, "_part").select("rep", "_component"), "named")
+    ids = narrow.select("_id", "text_hash", "n_shingles", "rep")
     own = F.when(F.col("n_shingles") > 0, F.col("_component")).otherwise(F.col("_id"))
-    return ids.join(named, key, "left").select(
+    return join_dealt(ids, named, "rep", "left").select(
         F.col("_id").alias("doc_id"),
         "n_shingles",
         own.alias("component_id"),
         F.coalesce(F.col("_id") == own, own.isNull()).alias("kept"),
+        "text_hash",
     )
