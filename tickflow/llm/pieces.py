@@ -17,9 +17,7 @@ first time is segmented by its coins directly and kept only when it comes again.
 
 from __future__ import annotations
 
-import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -30,17 +28,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickflow.llm.shingles import mix
+from tickflow.llm.shingles import mix, string_buffers
 
 SPACE = "\u2581"
-#: A word with the spaces before it, a line feed, or spaces at the end.
-UNIT = re.compile(r" *[^ \n]+| +|\n")
 #: Merges of words kept per task; beyond that, all go and are worked out anew.
 KEPT = 1 << 20
 #: Longer words hardly repeat; each occurrence is segmented by its own coins.
 LONG = 20
 #: Characters of text that are segmented, and handed on, together.
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 21
 _NORMAL, _BYTE = 1, 6
 _NEVER = np.int32(2**31 - 1)
 _U = np.uint64
@@ -71,6 +67,59 @@ def _ragged(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum())
 
 
+def cut_units(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The units of texts, one after the other, and how many each text has.
+
+    A unit is a word with the spaces before it, a line feed, or spaces before one or at
+    the end. A text that isn't empty has a space put before it.
+    """
+    raw, offsets = string_buffers(texts)
+    sizes = np.diff(offsets)
+    some = np.flatnonzero(sizes)
+    out = np.full(len(raw) + len(some), ord(" "), dtype=np.uint8)
+    out[np.arange(len(raw)) + np.repeat(np.cumsum(sizes > 0), sizes)] = raw
+    heads = offsets[some] + np.arange(len(some))
+    space, line = out == ord(" "), out == ord("\n")
+    first = line.copy()
+    first[1:] |= line[:-1] | (space[1:] & ~space[:-1])
+    first[heads] = True
+    at = np.flatnonzero(first)
+    counts = np.zeros(len(sizes), dtype=np.int64)
+    counts[some] = np.diff(np.searchsorted(at, np.append(heads, len(out))))
+    ends = np.append(at, len(out))
+    units = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(ends), pa.py_buffer(out))
+    return units, counts
+
+
+class _Places:
+    """Where each of some distinct keys stands; the last place, of no key, for others."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.keys = keys
+        self.shift = _U(64 - (8 * len(keys)).bit_length())
+        self.table = np.full(1 << (64 - int(self.shift)), -1, dtype=np.int32)
+        left, slot = np.arange(len(keys) - 1), self._slots(keys)
+        while len(left):
+            open_ = left[self.table[slot[left]] < 0]
+            taken, one = np.unique(slot[open_], return_index=True)
+            self.table[taken] = open_[one]
+            left = left[self.table[slot[left]] != left]
+            slot[left] = (slot[left] + 1) % len(self.table)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(_U) * _STEP) >> self.shift).astype(np.int64)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        slot = self._slots(keys)
+        at = self.table[slot]
+        left = np.flatnonzero((at >= 0) & (self.keys[at] != keys))
+        while len(left):
+            slot[left] = (slot[left] + 1) % len(self.table)
+            at[left] = self.table[slot[left]]
+            left = left[(at[left] >= 0) & (self.keys[at[left]] != keys[left])]
+        return at
+
+
 class PieceModel:
     """A SentencePiece BPE model with byte fallback, read from its file.
 
@@ -100,6 +149,8 @@ class PieceModel:
                 self.byte_ids[raw[0]] = i
             self.bytes.append(raw)
         self.pieces = len(self.bytes)
+        self.piece_at = np.cumsum([0, *map(len, self.bytes)])
+        self.piece_bytes = np.frombuffer(b"".join(self.bytes), dtype=np.uint8)
         self._index(scored)
         self.key = mix(
             mix(np.array([seed % 2**64], dtype=_U)) + np.array([epoch % 2**64], dtype=_U) * _STEP
@@ -139,7 +190,7 @@ class PieceModel:
             for k in range(1, len(piece))
             if piece[:k] in symbols and piece[k:] in symbols
         )
-        self.pairs = np.array([p[0] for p in pairs] + [2**62], dtype=np.int64)
+        self.places = _Places(np.array([p[0] for p in pairs] + [2**62], dtype=np.int64))
         self.ranks = np.array([p[1] for p in pairs] + [_NEVER], dtype=np.int32)
         self.merged = np.array([p[2] for p in pairs] + [-1], dtype=np.int64)
         # A piece is last if no merge with it comes before or with its own: then all its
@@ -148,15 +199,14 @@ class PieceModel:
         for i, score in scored.values():
             own[i] = place[-score]
         self.last = np.bincount(own + 1, minlength=len(order) + 1)[own + 1] == 1
-        for part in (self.pairs[:-1] >> 32, self.pairs[:-1] & (2**32 - 1)):
+        keys = self.places.keys[:-1]
+        for part in (keys >> 32, keys & (2**32 - 1)):
             self.last[part[self.ranks[:-1] <= own[part]]] = False
 
     def _candidates(self, left, right):
         """Rank and merged symbol of adjacent symbols."""
-        key = np.where((left < 0) | (right < 0), -1, left << 32 | right)
-        at = np.searchsorted(self.pairs, key)
-        rank = np.where(self.pairs[at] == key, self.ranks[at], _NEVER)
-        return rank, self.merged[at]
+        at = self.places.of(np.where((left < 0) | (right < 0), -1, left << 32 | right))
+        return self.ranks[at], self.merged[at]
 
     def _hashed(self, span: np.ndarray) -> np.ndarray:
         return mix(span.astype(_U) + self.key)
@@ -325,32 +375,35 @@ class PieceModel:
         return mix(np.repeat(document, counts) + nth * _STEP)
 
     def encode(
-        self, texts: list[str], places: list[int], copies: list[int] | None = None
+        self, texts: list[str] | pa.Array, places: list[int], copies: list[int] | None = None
     ) -> list[bytes]:
         """Ids (32 bits each) of texts; coins go by the document's number and copy."""
         if max(self.spans.n, len(self.roots)) > KEPT:
             self._forget()
-        cut = [UNIT.findall(" " + text) if text else [] for text in texts]
-        flat = list(chain.from_iterable(cut))
-        if not flat:
+        texts = pa.array(texts, type=pa.string()) if isinstance(texts, list) else texts
+        units, counts = cut_units(texts)
+        if not len(units):
             return [b""] * len(texts)
-        counts = np.array([len(units) for units in cut])
+        coded = units.dictionary_encode()
+        code, names = np.asarray(coded.indices, dtype=np.int64), coded.dictionary.to_pylist()
         coins = self._coins(counts, places, copies)
-        new, long = [], []
-        for unit, times in Counter(flat).items():
-            if self.roots.get(unit, -1) < 0:
-                if len(unit) <= LONG and (times > 1 or unit in self.roots):
-                    new.append((unit, ()))
+        roots = [self.roots.get(unit) for unit in names]
+        new = []
+        for i, times in enumerate(np.bincount(code, minlength=len(names)).tolist()):
+            if roots[i] is None or roots[i] < 0:
+                unit = names[i]
+                if len(unit) > LONG:
+                    roots[i] = -1
+                elif times > 1 or roots[i] is not None:
+                    new.append(i)
                 else:
-                    self.roots[unit] = -1
-                    if len(unit) > LONG:
-                        long.append(unit)
+                    roots[i] = self.roots[unit] = -1
         if new:
-            self.roots.update(zip((u for u, _ in new), self._keep(new).tolist(), strict=True))
-        root = np.fromiter(map(self.roots.__getitem__, flat), dtype=np.int64, count=len(flat))
-        for unit in long:
-            del self.roots[unit]
-        begin, end = np.empty(len(flat), dtype=np.int64), np.empty(len(flat), dtype=np.int64)
+            kept = self._keep([(names[i], ()) for i in new]).tolist()
+            for i, state in zip(new, kept, strict=True):
+                roots[i] = self.roots[names[i]] = state
+        root = np.array(roots, dtype=np.int64)[code]
+        begin, end = np.empty(len(code), dtype=np.int64), np.empty(len(code), dtype=np.int64)
         if self.limit:
             known = np.flatnonzero(root >= 0)
             root[known] = self._walk(root[known], coins[known])
@@ -358,7 +411,7 @@ class PieceModel:
         begin[known], end[known] = self.id_at[root[known]], self.id_at[root[known] + 1]
         kept = self.ids.n
         if len(own):
-            ids = self.segment([flat[i] for i in own.tolist()], coins[own])
+            ids = self.segment([names[i] for i in code[own].tolist()], coins[own])
             end[own] = kept + np.cumsum([len(x) // 4 for x in ids])
             begin[own] = np.append(kept, end[own][:-1])
             self.ids.extend(np.frombuffer(b"".join(ids), dtype="<i4"))
@@ -367,6 +420,26 @@ class PieceModel:
         ends = np.append(0, np.cumsum(end - begin))[np.append(0, np.cumsum(counts))] * 4
         return [raw[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
+    def decode_all(self, ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
+        """The texts of ids in a row, each from one of ``bounds`` to the next."""
+        sizes = self.piece_at[ids + 1] - self.piece_at[ids]
+        raw = self.piece_bytes[_ragged(self.piece_at[ids], sizes)]
+        ends = np.append(0, np.cumsum(sizes))[bounds]
+        some = np.flatnonzero(np.diff(ends))
+        if (raw[ends[some]] == ord(" ")).all():
+            kept = np.ones(len(raw), dtype=bool)
+            kept[ends[some]] = False
+            ends = ends - np.append(0, np.cumsum(np.diff(ends) > 0))
+            buffers = [pa.py_buffer(ends), pa.py_buffer(raw[kept])]
+            texts = pa.LargeStringArray.from_buffers(len(bounds) - 1, *buffers)
+            try:
+                texts.validate(full=True)
+                return texts.cast(pa.string())
+            except pa.ArrowInvalid:
+                pass
+        own = zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)
+        return pa.array([self.decode(ids[a:b].tolist()) for a, b in own], type=pa.string())
+
     def decode(self, ids: list[int]) -> str:
         """The text of ids; of an invalid byte sequence, replacement characters."""
         table = self.bytes
@@ -419,12 +492,11 @@ def encode_pieces(
         model = piece_model(model_path, seed, dropout)
         for batch in batches:
             for part in runs(batch, 1):
-                texts = [t or "" for t in part.column(1).to_pylist()]
                 numbers = [
-                    zlib.crc32(t.encode()) if n is None else n
-                    for n, t in zip(part.column(0).to_pylist(), texts, strict=True)
+                    zlib.crc32((part.column(1)[i].as_py() or "").encode()) if n is None else n
+                    for i, n in enumerate(part.column(0).to_pylist())
                 ]
-                found = model.encode(texts, numbers, part.column(2).to_pylist())
+                found = model.encode(part.column(1), numbers, part.column(2).to_pylist())
                 bounds = np.cumsum([0, *(len(ids) // 4 for ids in found)])
                 lists = pa.ListArray.from_arrays(
                     pa.array(bounds, type=pa.int32()),
@@ -457,11 +529,11 @@ def decode_pieces(
         model = piece_model(model_path, 0, 0.0)
         for batch in batches:
             for part in runs(batch, 0):
-                texts = [model.decode(ids or []) for ids in part.column(0).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[1:], pa.array(texts, type=pa.string())],
-                    names=[*carry, "text"],
-                )
+                lists = part.column(0)
+                sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+                ids = lists.flatten().to_numpy().astype(np.int64)  # without those of null lists
+                texts = model.decode_all(ids, np.append(0, np.cumsum(sizes)))
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], texts], names=[*carry, "text"])
 
     types = dict(encoded.dtypes)
     names = [f"`{c}` {types[c]}" for c in carry]
