@@ -1,9 +1,11 @@
 """Quality rules: per-document base measures and cross-document line frequency.
 
 Normalised lines are hashed and their distinct documents counted per host; a line
-above the limit stays only in the document with the smallest id that holds it. A
-document that loses more than a set share of its words that way is depleted. Copies
-of one text on a host are one document: they are left to deduplication.
+above the limit stays only in the document with the smallest id that holds it (its
+keeper) and goes from all others. A document that loses more than a set share of its
+words that way is depleted. Documents are told apart by id and text, so copies under
+ids of their own count each: of a text that a host has more often than the limit, the
+one with the smallest id stays.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickflow.llm.links import join_dealt
+from tickflow.llm.slots import bitmap, with_hit
 from tickflow.llm.text import SEPARATORS, WORD, ascii_lower, or_empty, without, words
 from tickflow.session import materialize
 
@@ -24,7 +28,7 @@ WINDOW = 8
 @dataclass(frozen=True)
 class QualitySpec:
     #: A line in more distinct documents of one host than this is boilerplate.
-    max_docs: int = 20
+    max_docs: int = 10
     #: A document that loses more than this share (percent) of its lines' words is depleted.
     max_removed_pct: int = 70
     min_words: int = 20
@@ -113,7 +117,7 @@ def _spaces(line: Column) -> Column:
 
 
 def frequent_lines(rows: DataFrame, spec: QualitySpec) -> DataFrame:
-    """Per distinct text with lines to remove: _host, _doc, removed_words, removed_lines.
+    """Per document with lines to remove: _doc, removed_words, removed_lines.
 
     ``rows``: _id, _host, _doc, _text. ``removed_lines`` holds line hashes.
     """
@@ -145,7 +149,6 @@ def frequent_lines(rows: DataFrame, spec: QualitySpec) -> DataFrame:
         ~F.col("_first").eqNullSafe(F.col("_holder"))
     )
     return removed.groupBy("_doc").agg(
-        F.max("_host").alias("_host"),
         F.sum("_n").cast("long").alias("removed_words"),
         F.collect_set("_hash").alias("removed_lines"),
     )
@@ -153,19 +156,23 @@ def frequent_lines(rows: DataFrame, spec: QualitySpec) -> DataFrame:
 
 def _judged(rows: DataFrame, spec: QualitySpec) -> DataFrame:
     """Rows (_id, _host, _text and others) with all measures and the verdict."""
-    rows = rows.withColumn("_doc", F.xxhash64("_host", "_text"))
+    rows = rows.withColumn("_doc", F.xxhash64("_host", "_id", "_text"))
     lost = frequent_lines(rows.select("_id", "_host", "_doc", "_text"), spec)
+    lost = materialize(lost.select("_doc", "removed_words", "removed_lines"), "lost")
+    # Only rows that may lose lines meet them; the others stay where they are read.
+    hit = with_hit(rows, ["_doc"], bitmap(lost, ["_doc"]), "_hit")
+    losing = join_dealt(base_measures(hit.filter("_hit").drop("_hit")), lost, "_doc", "left")
+    whole = base_measures(hit.filter("NOT _hit").drop("_hit"))
+    whole = whole.select("*", *[F.lit(None).cast(t).alias(c) for c, t in lost.dtypes if c != "_doc"])
     pct = F.lit(100).cast("long")
     base_failed = (F.col("n_words") < spec.min_words) | (
         pct * F.col("n_repeat_words") > spec.max_repeat_pct * F.col("n_words")
     )
-    removed = F.coalesce("removed_words", F.lit(0).cast("long"))
-    depleted = pct * removed > spec.max_removed_pct * F.col("_line_words")
+    depleted = pct * F.col("removed_words") > spec.max_removed_pct * F.col("_line_words")
     return (
-        base_measures(rows)
+        losing.unionByName(whole)
         .drop("_text")
-        .join(lost, ["_doc", "_host"], "left")
-        .withColumn("removed_words", removed)
+        .withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("long")))
         .withColumn("base_failed", base_failed)
         # One term, so that a filter on it is not split and worked out before the join.
         .withColumn("kept", F.greatest(base_failed.cast("int"), depleted.cast("int")) == 0)
@@ -192,9 +199,10 @@ def quality_rules(
     """One row per input row: the base measures, base_failed, kept and removed_words.
 
     A null text has no words and fails. Null and empty hosts are one host. A document
-    whose id is null holds a line only where all that hold it have none. Rows that
-    repeat a text on a host share one verdict; lines without a word are no lines. An
-    empty table gives an empty result; other columns of ``docs`` are not read.
+    whose id is null keeps a line only where all that hold it have none. Rows that repeat
+    an id and a text on a host are one document and share its verdict, as do rows without
+    an id that repeat a text; lines without a word are no lines. An empty table gives an
+    empty result; other columns of ``docs`` are not read.
     """
     return _judged(_rows(docs, id_col, text_col, host_col), spec).select(
         F.col("_id").alias("doc_id"),

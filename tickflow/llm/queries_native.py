@@ -58,14 +58,14 @@ WITH d AS (
 ), dup AS (
   SELECT r, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY r
 ), held AS (
-  SELECT host, text, norm, min(doc_id) AS first_id, len(string_split(norm, ' ')) AS n
-  FROM lines GROUP BY host, text, norm
+  SELECT host, doc_id, text, norm, len(string_split(norm, ' ')) AS n
+  FROM lines GROUP BY host, doc_id, text, norm
 ), above AS (
-  SELECT host, norm, min(first_id) AS holder FROM held GROUP BY host, norm HAVING count(*) > 20
+  SELECT host, norm, min(doc_id) AS holder FROM held GROUP BY host, norm HAVING count(*) > 10
 ), lost AS (
-  SELECT h.host, h.text, sum(CASE WHEN h.first_id <> a.holder THEN h.n ELSE 0 END) AS removed,
+  SELECT h.host, h.doc_id, h.text, sum(CASE WHEN h.doc_id <> a.holder THEN h.n ELSE 0 END) AS removed,
          sum(h.n) AS total
-  FROM held h LEFT JOIN above a USING (host, norm) GROUP BY h.host, h.text
+  FROM held h LEFT JOIN above a USING (host, norm) GROUP BY h.host, h.doc_id, h.text
 ), m AS (
   SELECT d.doc_id, len(ws)::BIGINT AS n_words,
          length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
@@ -74,7 +74,7 @@ WITH d AS (
          coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
          coalesce(removed, 0)::BIGINT AS removed_words, coalesce(total, 0) AS total
   FROM d JOIN w USING (r) LEFT JOIN dup USING (r) LEFT JOIN covered USING (r)
-  LEFT JOIN lost USING (host, text)
+  LEFT JOIN lost USING (host, doc_id, text)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
