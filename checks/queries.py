@@ -235,7 +235,7 @@ def _(spark, d):
 @register(
     "product_key",
     query(
-        """SELECT arrival_seq, CASE WHEN m IN (7, 17, 27, 57, 58, 67, 77) THEN 'unknown'
+        """SELECT arrival_seq, CASE WHEN m IN (7, 11, 12, 13, 17, 27, 28, 29, 57, 58, 67, 77) THEN 'unknown'
                                     ELSE product_id END AS key FROM texts
            UNION ALL SELECT event_id * 2 + 1, product_id FROM e""",
         "texts",
@@ -268,7 +268,7 @@ def _(spark, d):
     "product_allowlist",
     query(
         """SELECT arrival_seq FROM texts
-           WHERE m IN (7, 17, 57, 58, 67, 77) OR (m <> 27 AND product_id IN ('click', 'view'))
+           WHERE m IN (7, 11, 12, 13, 17, 27, 28, 29, 57, 58, 67, 77) OR product_id IN ('click', 'view')
            UNION ALL SELECT event_id * 2 + 1 FROM e WHERE product_id IN ('click', 'view')""",
         "texts",
     ),

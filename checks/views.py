@@ -122,6 +122,12 @@ _ISO = """date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")"""
 _TRADE_TEXT = """
 CASE
   WHEN m = 7 THEN substring(whole, 1, 40)
+  WHEN m = 11 THEN concat(whole, ',null] junk')
+  WHEN m = 12 THEN concat(whole, '] junk')
+  WHEN m = 13 THEN concat(whole, ' ', whole)
+  WHEN m = 14 THEN concat('{', kind, ',', product, ',', rest, ',"more":{"a":"}"}}')
+  WHEN m = 28 THEN concat('{', kind, ',"product_id":0,', rest, '}')
+  WHEN m = 29 THEN concat('{', kind, ',"product_id":false,', rest, '}')
   WHEN m = 17 THEN concat('{', kind, ',', rest, '}')
   WHEN m = 27 THEN concat('{', kind, ',"product_id":"",', rest, '}')
   WHEN m = 37 THEN concat('{"type":"ticker",', product, ',', rest, '}')

@@ -30,13 +30,32 @@ def routes(spark, *values):
     return [(r.route, r.error) for r in rows]
 
 
-@pytest.mark.parametrize("rest", [' {"type": "match"}', "}", " junk}", ', {"type": "match"}', "]"])
-def test_nothing_may_follow_an_object(spark, rest):
-    whole = '{"type": "match", "product_id": "A"}'
-    assert [r for r, _ in routes(spark, whole, whole + rest)] == ["trades", "dlq"]
+REST = [' {"type": "match"}', "}", " junk}", ', {"type": "match"}', "]", ",null]", ",null] junk", "] junk"]
+REST += ["],[1", ",null", "] ]", "\x0b", "[", ", "]
+
+
+@pytest.mark.parametrize("whole", [
+    '{"type": "match", "product_id": "A"}',
+    ' {"type": "match", "product_id": "A", "more": {"a": "}"}}\n',
+])
+def test_nothing_may_follow_an_object(spark, whole):
+    found = routes(spark, whole, *(whole + rest for rest in REST))
+    assert found == [("trades", None)] + [("dlq", "invalid json: malformed")] * len(REST)
+
+
+def test_ids_that_stand_for_nothing(spark):
+    empty = [0, 0.0, -0.0, False, "", None, [], {}]
+    found = routes(spark, *(match(1, product=p) for p in empty))
+    assert found == [("dlq", "missing product_id in match")] * len(empty)
+    kept = ["0", "false", "[]", 7, True, "0x"]
+    assert [r for r, _ in routes(spark, *(match(1, product=p) for p in kept))] == ["trades"] * len(kept)
+    keys = router.route(raw(spark, match(1, product="0"), match(1, product=0)))
+    keys = keys.orderBy("arrival_seq").select(router.product_key(keys).alias("k")).collect()
+    assert [r.k for r in keys] == ["0", "unknown"]
 
 
 def test_routes_and_reasons(spark):
+    malformed = ("dlq", "invalid json: malformed")
     invalid = ("dlq", "invalid json: not a JSON object")
     assert routes(
         spark,
@@ -67,7 +86,9 @@ def test_routes_and_reasons(spark):
         ("trades", None),
         ("book", None),
         ("book", None),
-        *[invalid] * 8,
+        malformed,
+        *[invalid] * 3,
+        *[malformed] * 4,
         ("dlq", "missing product_id in match"),
         ("dlq", "missing product_id in match"),
         ("dlq", "missing product_id in l2update"),

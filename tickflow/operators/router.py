@@ -20,6 +20,15 @@ MISSING_PRODUCT = "missing product_id in "
 FEED_ERROR = "feed error: "
 UNRECOGNIZED = "unrecognized type: "
 UNKNOWN_KEY = "unknown"
+NO_OBJECT = "not a JSON object"
+MALFORMED = "malformed"
+
+
+_JSON = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
+#: An object without another brace: where it parses, nothing can follow it.
+PLAIN_OBJECT = r"^[ \t\r\n]*\{[^{}]*\}[ \t\r\n]*$"
+#: Text of ids that may stand for nothing: false, a zero, an empty list or object.
+FALSY = r"^(false|-?0+(\.0*)?([eE][+-]?[0-9]+)?|\[\s*\]|\{\s*\})$"
 
 
 def parse(raw: DataFrame) -> DataFrame:
@@ -27,39 +36,59 @@ def parse(raw: DataFrame) -> DataFrame:
 
     ``value`` stays untouched, so fields nobody declared here survive.
     """
-    options = {
-        "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": schemas.CORRUPT,
-        "allowSingleQuotes": "false",
-    }
+    options = _JSON | {"columnNameOfCorruptRecord": schemas.CORRUPT}
     return raw.withColumn("msg", F.from_json("value", schemas.FEED_JSON, options))
 
 
-def _is_object() -> Column:
-    """An object and nothing after it.
+def _is_json() -> Column:
+    """One JSON value and nothing after it.
 
-    The parser itself stops at the first object's end; in an array before a last null it
-    sees whatever follows, and the null tells that it got to the end.
+    The parser itself stops at a value's end. In an array it sees whatever follows; a text
+    that closes the array early has as many elements with a null after it as without.
     """
-    listed = F.concat(F.lit("["), "value", F.lit(",null]"))
-    listed = F.from_json(listed, "array<struct<type: string>>")
-    return F.col(f"msg.{schemas.CORRUPT}").isNull() & F.coalesce(
-        (F.size(listed) == 2) & F.get(listed, F.lit(0)).isNotNull(), F.lit(False)
+
+    def size(end: str) -> Column:
+        listed = F.concat(F.lit("["), "value", F.lit(end))
+        return F.coalesce(F.size(F.from_json(listed, "array<string>", _JSON)), F.lit(-1))
+
+    return (size("]") == 1) & (size(",null]") == 2)
+
+
+def _fault() -> Column:
+    """Why a message is no object; NULL for objects. Most need no second parse."""
+    opened = F.ltrim(F.translate("value", "\t\r\n", "   ")).startswith("{")
+    parsed = F.col(f"msg.{schemas.CORRUPT}").isNull() & opened
+    return (
+        F.when(F.col("value").isNull(), F.lit(MALFORMED))
+        .when(parsed & F.col("value").rlike(PLAIN_OBJECT), F.lit(None))
+        .when(~_is_json(), F.lit(MALFORMED))
+        .when(~opened, F.lit(NO_OBJECT))
     )
 
 
+def _product() -> Column:
+    """The product id, NULL where it is missing, empty, zero or false.
+
+    Fields are read as text; only an id whose text may stand for nothing is looked at
+    again, as a string such as "0" is an id like any other.
+    """
+    text = F.nullif(F.col("msg.product_id"), F.lit(""))
+    typed = F.expr("to_json(try_variant_get(try_parse_json(value), '$.product_id', 'variant'))")
+    quoted = F.coalesce(typed.startswith('"'), F.lit(False))
+    return F.when(text.rlike(FALSY) & ~quoted, F.lit(None)).otherwise(text)
+
+
 def route(raw: DataFrame) -> DataFrame:
     """Classify into trades / book / heartbeat / control / dlq, with a reason.
 
     In: value, arrival_seq, conn_epoch, ingest_ts (the envelope). Out: the same
-    plus msg, route and error.
+    plus msg, route and error. What is no JSON object has no ``msg``.
     """
     kind = F.col("msg.type")
-    product = F.nullif(F.col("msg.product_id"), F.lit(""))
     keyed = kind.isin(*TRADE_TYPES, *BOOK_TYPES)
     error = (
-        F.when(~_is_object(), F.lit(INVALID_JSON + "not a JSON object"))
-        .when(keyed & product.isNull(), F.concat(F.lit(MISSING_PRODUCT), kind))
+        F.when(F.col("_fault").isNotNull(), F.concat(F.lit(INVALID_JSON), "_fault"))
+        .when(keyed & F.col("_product").isNull(), F.concat(F.lit(MISSING_PRODUCT), kind))
         .when(
             kind == "error",
             F.concat(
@@ -84,7 +113,11 @@ def route(raw: DataFrame) -> DataFrame:
         .when(kind == "heartbeat", F.lit("heartbeat"))
         .otherwise(F.lit("control"))
     )
-    return parse(raw).withColumn("error", error).withColumn("route", target)
+    checked = parse(raw).withColumn("_fault", _fault())
+    known = checked.withColumn("msg", F.when(F.col("_fault").isNull(), F.col("msg")))
+    known = known.withColumn("_product", _product())
+    known = known.withColumn("msg", F.col("msg").withField("product_id", F.col("_product")))
+    return known.withColumn("error", error).withColumn("route", target).drop("_fault", "_product")
 
 
 def envelope(raw: DataFrame, conn_epoch: Column, ingest_ts: Column) -> DataFrame:
@@ -122,7 +155,7 @@ def oversize_letters(routed: DataFrame, spec: FeedSpec = FeedSpec()) -> DataFram
 
 def product_key(routed: DataFrame) -> Column:
     """The ordering key of a message, also for messages that have none."""
-    return F.coalesce(F.nullif(F.col("msg.product_id"), F.lit("")), F.lit(UNKNOWN_KEY))
+    return F.coalesce("msg.product_id", F.lit(UNKNOWN_KEY))
 
 
 def allow_products(routed: DataFrame, products: Sequence[str]) -> DataFrame:
