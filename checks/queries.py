@@ -218,6 +218,19 @@ def _(spark, d):
     )
 
 
+@register(
+    "unreadable_levels",
+    query(
+        """SELECT arrival_seq, value_text AS raw, 'unreadable levels in l2update: 2' AS error,
+                  strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS ingest_ts
+           FROM snapshot_text WHERE value_text LIKE '%n/a%'""",
+        "snapshot_text",
+    ),
+)
+def _(spark, d):
+    return router.unreadable_levels(V.routed(spark, d))
+
+
 @register(
     "oversize_dlq",
     query(
@@ -430,7 +443,8 @@ def _(spark, d):
 @register(
     "book_levels",
     query(
-        """SELECT arrival_seq, is_snapshot, CASE WHEN is_snapshot THEN 20 ELSE 2 END AS levels
+        """SELECT arrival_seq, is_snapshot, CASE WHEN is_snapshot THEN 20
+                                          WHEN arrival_seq // 2 % 100 = 33 THEN 4 ELSE 2 END AS levels
            FROM msgs""",
         "msgs",
     ),

@@ -160,7 +160,8 @@ concat(
   CASE WHEN k >= 90 OR NOT buy THEN 'buy' ELSE 'sell' END, '","',
   CASE WHEN k >= 90 THEN 101 WHEN buy THEN 101 + k div 10 ELSE 100 - k div 10 END, '","',
   CASE WHEN k >= 98 THEN 3 WHEN k >= 90 THEN 0 ELSE user_id % 10 END,
-  '"]],"time":"', iso, '"}')
+  '"]', CASE WHEN m = 33 THEN ',["buy","n/a","1"],["sell","105"]' ELSE '' END,
+  '],"time":"', iso, '"}')
 """
 
 

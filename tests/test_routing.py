@@ -197,3 +197,19 @@ def test_product_list_and_key(spark):
     keys = routed.select(router.product_key(routed).alias("k")).collect()
     assert sorted(r.k for r in keys) == ["A", "C", "unknown"]
     assert monitor.first_letters(router.dead_letters(routed)).count() == 1
+
+
+def test_unreadable_levels_are_dead_letters(spark):
+    feed = [
+        {"type": "l2update", "product_id": "A", "changes": [["buy", "1", "x"], ["buy", "2", "1"], ["sell"]]},
+        {"type": "l2update", "product_id": "A", "changes": [["buy", "1", "1"]]},
+        {"type": "snapshot", "product_id": "A", "bids": [["", "1"]], "asks": None},
+        {"type": "snapshot", "product_id": "A"},
+        match(1),
+    ]
+    letters = router.unreadable_levels(router.route(raw(spark, *feed))).orderBy("arrival_seq").collect()
+    assert [(r.arrival_seq, r.error) for r in letters] == [
+        (0, "unreadable levels in l2update: 2"),
+        (2, "unreadable levels in snapshot: 1"),
+    ]
+    assert json.loads(letters[0].raw) == feed[0]

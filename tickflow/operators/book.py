@@ -1,11 +1,16 @@
 """Level-2 order books from snapshots and deltas.
 
 A snapshot replaces the whole book, so a product's history falls into segments;
-a segment can still be arbitrarily long. The arrival order is therefore cut
-into chunks of bounded size, the book at each chunk start is derived with plain
-aggregation (last change per price level), and every chunk is replayed on its
-own. Only the replay is Python, and it never holds more than one chunk plus one
-book.
+a segment can still be arbitrarily long. Each product's history is therefore cut
+into chunks, the book at each chunk start is derived with plain aggregation (last
+change per price level), and every chunk is replayed on its own. Only the replay is
+Python, and it never holds more than one chunk plus one book.
+
+Chunks are balanced per product: the arrival order is first cut into small buckets, a
+bucket weighs as many chunks as it has changes per ``chunk_rows`` or per level that is
+live when it starts, whichever is more, and prefix sums of these weights number the
+chunks. So a slow product's chunk spans many buckets, and no chunk opens with many more
+levels than it has changes, however many products arrive interleaved.
 """
 
 from __future__ import annotations
@@ -145,25 +150,30 @@ def segments(messages: DataFrame, spec: FeedSpec = FeedSpec()) -> DataFrame:
     ).drop("_snap")
 
 
-def chunk_index(messages: DataFrame, spec: FeedSpec = FeedSpec()) -> DataFrame:
-    """One row per (product, chunk): what a replay of the chunk must know.
+def _bucketed(messages: DataFrame, spec: FeedSpec) -> DataFrame:
+    return arrival_chunk(messages, spec.bucket_rows).withColumnRenamed("chunk", "bucket")
 
-    Only narrow columns are read. ``no`` numbers a product's chunks densely;
-    ``seg_*`` and ``epoch_*`` describe the book before and after the chunk;
-    ``reach`` is the last chunk in which the book left behind is still open.
+
+def bucket_index(messages: DataFrame, spec: FeedSpec = FeedSpec()) -> DataFrame:
+    """One row per (product, bucket of arrivals): its changes and the book around it.
+
+    ``no`` numbers a product's buckets densely; ``seg_*`` and ``epoch_*`` describe the
+    book before and after the bucket; ``reach`` is the last bucket in which the book left
+    behind is still open.
     """
     snap = F.col("is_snapshot")
     at = F.when(snap, F.col("arrival_seq"))
     found = (
-        arrival_chunk(messages, spec.chunk_rows)
-        .groupBy("product_id", "chunk")
+        _bucketed(messages, spec)
+        .groupBy("product_id", "bucket")
         .agg(
+            F.sum(F.greatest(F.size("price"), F.lit(1)).cast("long")).alias("changes"),
             F.count_if(snap).alias("snaps"),
             F.max(at).alias("last_snap"),
             F.max_by("conn_epoch", at).alias("own_epoch"),
         )
     )
-    order = W.partitionBy("product_id").orderBy("chunk")
+    order = W.partitionBy("product_id").orderBy("bucket")
     past = order.rowsBetween(W.unboundedPreceding, -1)
     reset = F.when(F.col("snaps") > 0, F.struct("own_epoch"))
     numbered = found.withColumns(
@@ -190,19 +200,20 @@ def chunk_index(messages: DataFrame, spec: FeedSpec = FeedSpec()) -> DataFrame:
 
 
 def last_levels(messages: DataFrame, spec: FeedSpec = FeedSpec()) -> DataFrame:
-    """The last change of every price level per chunk and connection epoch.
+    """The last change of every price level per bucket and connection epoch.
 
-    Levels combine map-side; the messages themselves are not shuffled here.
-    NULL stands for a removed level. One number orders changes by message and
-    place in it, so value and order are primitives and hash aggregation works.
+    Levels combine map-side; the messages themselves are not shuffled here. NULL stands
+    for a removed level. One number orders a bucket's changes by message and place in
+    it, so value and order are primitives and hash aggregation works.
     """
     left = F.when((F.col("level.size") != 0) | F.col("is_snapshot"), F.col("level.size"))
-    order = F.col("arrival_seq") * F.lit(1 << 20) + F.col("pos")
+    nth = F.col("arrival_seq") - F.col("bucket") * F.lit(spec.bucket_rows)
+    order = nth * F.lit(1 << 40) + F.col("pos")
     return (
-        arrival_chunk(messages, spec.chunk_rows)
+        _bucketed(messages, spec)
         .select(
             "product_id",
-            "chunk",
+            "bucket",
             "conn_epoch",
             "arrival_seq",
             "is_snapshot",
@@ -211,7 +222,7 @@ def last_levels(messages: DataFrame, spec: FeedSpec = FeedSpec()) -> DataFrame:
         .where("level.price IS NOT NULL AND level.size IS NOT NULL")
         .groupBy(
             "product_id",
-            "chunk",
+            "bucket",
             "conn_epoch",
             F.col("level.is_bid").alias("is_bid"),
             F.col("level.price").alias("price"),
@@ -220,42 +231,83 @@ def last_levels(messages: DataFrame, spec: FeedSpec = FeedSpec()) -> DataFrame:
     )
 
 
-def opening_books(
-    messages: DataFrame, index: DataFrame, spec: FeedSpec = FeedSpec()
-) -> DataFrame:
-    """One row per (book_product, book_chunk): the book when the chunk starts.
+def level_runs(messages: DataFrame, index: DataFrame, spec: FeedSpec = FeedSpec()) -> DataFrame:
+    """Levels that outlive their bucket: set in bucket ``no``, live up to ``until``.
 
-    A level counts if it was set in the running segment: after the last
-    snapshot of its chunk and under that book's epoch. It then holds for the
-    following chunks until it changes again or the segment ends.
+    A level counts if it was set in the running segment: after the last snapshot of its
+    bucket and under that book's epoch. It then holds at the start of the following
+    buckets until it changes again or the segment ends.
     """
     carried = index.where("reach IS NOT NULL").select(
-        "product_id", "chunk", "no", "reach", "last_snap", "epoch_after", "seg_after"
+        "product_id", "bucket", "no", "reach", "last_snap", "epoch_after", "seg_after"
     )
-    kept = last_levels(messages, spec).join(carried, ["product_id", "chunk"]).where(
+    kept = last_levels(messages, spec).join(carried, ["product_id", "bucket"]).where(
         F.col("conn_epoch").eqNullSafe(F.col("epoch_after"))
         & (F.col("last_snap").isNull() | (F.col("set_at") >= F.col("last_snap")))
     )
     by_level = W.partitionBy("product_id", "seg_after", "is_bid", "price").orderBy("no")
+    until = F.coalesce(F.lead("no").over(by_level), F.col("reach"))
+    return (
+        kept.withColumn("until", until)
+        .where("size IS NOT NULL AND until > no")
+        .select("product_id", "is_bid", "price", "size", "no", "until")
+    )
+
+
+def chunk_plan(index: DataFrame, runs: DataFrame, spec: FeedSpec = FeedSpec()) -> DataFrame:
+    """The chunk of every (product, bucket), balanced by changes and by live levels."""
+    steps = runs.select(
+        "product_id",
+        F.explode(
+            F.array(
+                F.struct((F.col("no") + 1).alias("no"), F.lit(1).alias("d")),
+                F.struct((F.col("until") + 1).alias("no"), F.lit(-1).alias("d")),
+            )
+        ).alias("step"),
+    )
+    steps = steps.groupBy("product_id", F.col("step.no").alias("no")).agg(F.sum("step.d").alias("d"))
+    so_far = W.partitionBy("product_id").orderBy("no").rowsBetween(W.unboundedPreceding, 0)
+    live = index.join(steps, ["product_id", "no"], "left").withColumn(
+        "live", F.coalesce(F.sum("d").over(so_far), F.lit(0))
+    )
+    weight = F.col("changes") / F.greatest(F.lit(spec.chunk_rows), "live")
+    before = F.sum("weight").over(so_far) - F.col("weight")
+    return (
+        live.withColumn("weight", weight)
+        .withColumn("chunk", F.floor(before).cast("long"))
+        .select("product_id", "bucket", "no", "chunk", "live", "seg_before", "epoch_before")
+    )
+
+
+def opening_books(runs: DataFrame, plan: DataFrame) -> DataFrame:
+    """One row per (book_product, book_chunk): the book when the chunk starts.
+
+    A level is in the books of all chunks that start while it is live.
+    """
+    at = plan.select("product_id", "no", "chunk")
     lasting = (
-        kept.withColumn("until", F.coalesce(F.lead("no").over(by_level), F.col("reach")))
-        .where(F.col("size").isNotNull())
+        runs.join(at, ["product_id", "no"])
+        .join(at.select("product_id", F.col("no").alias("until"), F.col("chunk").alias("last")), ["product_id", "until"])
+        .where("last > chunk")
         .select(
             "product_id",
             "is_bid",
             "price",
             "size",
-            F.explode(F.sequence(F.col("no") + 1, F.col("until"))).alias("no"),
+            F.explode(F.sequence(F.col("chunk") + 1, F.col("last"))).alias("chunk"),
         )
     )
-    books = lasting.groupBy("product_id", "no").agg(
+    books = lasting.groupBy("product_id", "chunk").agg(
         F.collect_list(F.struct("is_bid", "price", "size")).alias("levels")
     )
-    return index.join(books, ["product_id", "no"], "left").select(
+    starts = plan.groupBy("product_id", "chunk").agg(
+        F.min_by(F.struct("seg_before", "epoch_before"), "no").alias("start")
+    )
+    return starts.join(books, ["product_id", "chunk"], "left").select(
         F.col("product_id").alias("book_product"),
         F.col("chunk").alias("book_chunk"),
-        F.col("seg_before").alias("segment"),
-        F.col("epoch_before").alias("epoch"),
+        F.col("start.seg_before").alias("segment"),
+        F.col("start.epoch_before").alias("epoch"),
         F.col("levels.is_bid").alias("is_bid"),
         F.col("levels.price").alias("price"),
         F.col("levels.size").alias("size"),
@@ -359,11 +411,17 @@ def _replayer(depth: int):
 def replay(messages: DataFrame, spec: FeedSpec = FeedSpec()) -> DataFrame:
     """Tops of book per applied message; ``ofi_delta`` is NULL on chunk openers.
 
-    Messages are shuffled once, by chunk. The chunk index is written first: it
-    is tiny, used twice, and its real size then decides how it is joined.
+    The index of buckets, the levels that outlive theirs and the plan of chunks are
+    written first: they are small, used twice, and their real size then decides how they
+    are joined. Where the plan can be broadcast, messages are shuffled once, by chunk.
     """
-    index = materialize(chunk_index(messages, spec), "book-chunks")
-    chunks = arrival_chunk(messages, spec.chunk_rows).select(
+    index = materialize(bucket_index(messages, spec), "book-buckets")
+    runs = materialize(level_runs(messages, index, spec), "book-levels")
+    plan = materialize(chunk_plan(index, runs, spec), "book-plan")
+    chunks = _bucketed(messages, spec).join(
+        plan.select("product_id", "bucket", "chunk"), ["product_id", "bucket"]
+    )
+    chunks = chunks.select(
         "product_id",
         "chunk",
         "arrival_seq",
@@ -376,9 +434,7 @@ def replay(messages: DataFrame, spec: FeedSpec = FeedSpec()) -> DataFrame:
     )
     return (
         chunks.groupBy("product_id", "chunk")
-        .cogroup(
-            opening_books(messages, index, spec).groupBy("book_product", "book_chunk")
-        )
+        .cogroup(opening_books(runs, plan).groupBy("book_product", "book_chunk"))
         .applyInArrow(_replayer(spec.depth_levels), schemas.BOOK_TOP)
     )
 

@@ -20,6 +20,7 @@ MISSING_PRODUCT = "missing product_id in "
 FEED_ERROR = "feed error: "
 UNRECOGNIZED = "unrecognized type: "
 UNKNOWN_KEY = "unknown"
+UNREADABLE = "unreadable levels in "
 NO_OBJECT = "not a JSON object"
 MALFORMED = "malformed"
 
@@ -264,6 +265,42 @@ def book_levels(book: DataFrame) -> DataFrame:
     )
 
 
+def unreadable_levels(routed: DataFrame) -> DataFrame:
+    """Book messages with price levels that are no numbers, as dead letters.
+
+    The book goes on with a message's other levels.
+    """
+    text_rows = "array<array<string>>"
+    book = routed.where(F.col("route") == "book").select(
+        "arrival_seq",
+        F.col("value").alias("raw"),
+        F.col("msg.type").alias("type"),
+        "ingest_ts",
+        *[F.from_json(f"msg.{c}", text_rows).alias(c) for c in ("bids", "asks", "changes")],
+    )
+    none = F.array().cast(text_rows)
+    snap = F.col("type") == "snapshot"
+    rows = F.when(snap, F.concat(F.coalesce("bids", none), F.coalesce("asks", none))).otherwise(
+        F.coalesce("changes", none)
+    )
+    first = F.when(snap, F.lit(0)).otherwise(F.lit(1))
+
+    def unread(row: Column) -> Column:
+        numbers = [F.get(row, first + k).try_cast("double") for k in (0, 1)]
+        return numbers[0].isNull() | numbers[1].isNull()
+
+    return (
+        book.withColumn("n", F.size(F.filter(rows, unread)))
+        .where("n > 0")
+        .select(
+            "arrival_seq",
+            "raw",
+            F.concat(F.lit(UNREADABLE), "type", F.lit(": "), F.col("n").cast("string")).alias("error"),
+            "ingest_ts",
+        )
+    )
+
+
 def counters(routed: DataFrame) -> DataFrame:
     """Messages per route."""
     return routed.groupBy("route").agg(F.count(F.lit(1)).alias("n"))

@@ -67,5 +67,11 @@ class FeedSpec:
     history_ttl_seconds: int = 7200
 
     # Arrival numbers per chunk. Arrival numbers are unique, so this bounds the
-    # rows that any one ordered task or book replay ever holds.
+    # rows that any one ordered task holds; a book replay holds about as many changes,
+    # or as many as the book has levels where that is more.
     chunk_rows: int = 1 << 17
+
+    @property
+    def bucket_rows(self) -> int:
+        """Arrival numbers per bucket, which book chunks are put together from."""
+        return max(min(self.chunk_rows // 8, 1 << 20), 1)
