@@ -60,6 +60,50 @@ def test_awkward_documents(spark, edge, empty):
     assert docs.count() == 0
 
 
+def frame(spark, rows):
+    return spark.createDataFrame(
+        [(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long"
+    ).repartition(3)
+
+
+def pairs(df):
+    return sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+
+
+def test_near_drops_rows_not_ids(spark):
+    """Another text under a dropped row's id stays; so do other texts without an id."""
+    one, two = (" ".join(f"{x}{k}" for k in range(40)) for x in "pq")
+    rows = [(3, one), (5, one + " more"), (5, two), (None, one + " tail"), (None, one.upper()), (None, "w")]
+    kept = pairs(corpus_pipeline.near(spark, frame(spark, rows), SF))
+    # A null id joins no bucket: only a copy of the set of a row with an id goes.
+    assert kept == sorted([(3, one), (5, two), (None, one + " tail"), (None, "w")], key=str)
+
+
+def test_mix_uses_each_text_of_an_id(spark):
+    rows = [(5, "a b c"), (5, "d e f g"), (None, "h i"), (7, ""), (8, None), (9, "x")]
+    rows += [(100 + k, f"word{k} " * 9) for k in range(40)]
+    docs = frame(spark, rows)
+    uses = mix_sources(docs).groupBy("doc_id", "text_hash").count().collect()
+    hashes = {(r.doc_id, r.text): r.h for r in docs.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()}
+    times = {(r.doc_id, r.text_hash): r["count"] for r in uses}
+    want = sorted((row for row in rows for _ in range(times.get((row[0], hashes[row]), 0))), key=str)
+    assert pairs(corpus_pipeline.mix(spark, docs, SF)) == want and (5, "a b c") in want and (7, "") not in want
+
+
+def test_segment_numbers_copies(spark):
+    rows = [(4, "some words of a text " * 30)] * 6 + [(4, "other words")] + [(None, "no id " * 40)] * 3 + [(1, None)]
+    found = corpus_pipeline.segment(spark, frame(spark, rows), SF).collect()
+    assert len(found) == 11 and len({tuple(r.ids) for r in found if r.doc_id == 4}) == 7
+    assert len({tuple(r.ids) for r in found if r.doc_id is None}) == 3
+    assert [r.ids for r in found if r.doc_id == 1] == [[]]
+
+
+def test_exact_keeps_the_largest_id(spark):
+    rows = [(1, "t"), (4, "t"), (4, "t"), (None, "t"), (2, None), (3, ""), (None, "u"), (None, "u")]
+    kept = pairs(corpus_pipeline.exact(spark, frame(spark, rows), SF))
+    assert kept == sorted([(4, "t"), (3, ""), (None, "u")], key=str)
+
+
 def test_repeated_rows_leave_one(spark, edge):
     kept = corpus_pipeline.exact(spark, edge, SF).filter("doc_id = 13").count()
     assert kept == 1

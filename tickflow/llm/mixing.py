@@ -40,12 +40,13 @@ class MixSpec:
 def _tokens(
     docs: DataFrame, id_col: str, text_col: str, source_col: str, spec: MixSpec
 ) -> DataFrame:
-    """Documents with tokens: doc_id, source, n_tokens, and their place by hash."""
+    """Documents with tokens: doc_id, source, n_tokens, text_hash, and their place by hash."""
     return (
         docs.select(
             F.col(id_col).alias("doc_id"),
             or_empty(source_col).alias("source"),
             F.size(words(or_empty(text_col))).cast("long").alias("n_tokens"),
+            F.xxhash64(text_col).alias("text_hash"),
         )
         .filter("n_tokens > 0")
         .withColumn("_place", F.xxhash64(F.lit(spec.seed), "source", "doc_id"))
@@ -103,7 +104,8 @@ def mix_sources(
     source_col: str = "source",
     spec: MixSpec = MixSpec(),
 ) -> DataFrame:
-    """One row per use of a document: doc_id, source, n_tokens, weight, epoch, block, rank.
+    """One row per use of a document: doc_id, source, n_tokens, weight, epoch, block, rank,
+    text_hash.
 
     ``rank`` is the block's place in its epoch's permutation, so a reader that goes by
     epoch and rank sees each source's blocks in an order of their own. The tokens used of
@@ -169,5 +171,5 @@ def mix_sources(
         .filter("_uses > 0")
         .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("_uses") - 1)))
         .withColumn("rank", F.xxhash64(F.lit(spec.seed), "epoch", "source", "block"))
-        .select("doc_id", "source", "n_tokens", "weight", "epoch", "block", "rank")
+        .select("doc_id", "source", "n_tokens", "weight", "epoch", "block", "rank", "text_hash")
     )
