@@ -75,6 +75,7 @@ def main() -> None:
     books, trades = book_table.read(spark), trade_table.read(spark)
     built = materialize(gold.gold(books, trades, BARS), "bench-gold")
     half = built.where(F.col("as_of_ts") <= F.lit("2024-01-28 00:00:00").cast("timestamp_ntz"))
+    progress = materialize(refresh.scanned_progress(books, half, BARS), "bench-progress")
 
     jobs = {
         "route_feed": lambda: run(routed.drop("msg")),
@@ -83,7 +84,7 @@ def main() -> None:
         "book_tops": lambda: run(book.book_tops(landed_books, FEED)),
         "trade_gaps": lambda: run(gaps.running_gaps(landed_trades, landed_beats, FEED)),
         "gold": lambda: run(gold.gold(books, trades, BARS)),
-        "gold_incremental": lambda: run(refresh.pending(books, trades, half, BARS)),
+        "gold_incremental": lambda: run(refresh.pending(books, trades, progress, spec=BARS).rows(BARS)),
         "gold_quality": lambda: quality.require_gold_quality(built, BARS),
     }
     compared = {"gold_range_join": lambda: run(range_join(books, trades))}

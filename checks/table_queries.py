@@ -11,6 +11,7 @@ from checks.sql import query, table
 from checks.stream_queries import _ONLINE, _ONLINE_COLUMNS
 from checks.views import BARS, FEED
 from tickflow import schemas
+from tickflow.functions.clock import step_time
 from tickflow.operators import gold, modelling, quality
 from tickflow.operators.modelling import TreeSpec
 from tickflow.plans import landing, refresh, training
@@ -156,6 +157,41 @@ def _(spark, d):
     )
 
 
+@register(
+    "build_progress",
+    query(
+        """SELECT g.product_id, g.next_ts, b.bars_to, b.base_ts, round(b.base_mid, 6) AS base_mid, g.rows
+           FROM (SELECT product_id, max(as_of_ts) + INTERVAL 1 HOUR AS next_ts, count(*) AS rows
+                 FROM gold GROUP BY product_id) g
+           JOIN (SELECT p.product_id, max(p.bar_ts) AS bars_to,
+                        max(p.bar_ts) FILTER (WHERE p.bar_ts <= n.lo) AS base_ts,
+                        max_by(p.mid_close, p.bar_ts) FILTER (WHERE p.bar_ts <= n.lo) AS base_mid
+                 FROM book_bars p JOIN (SELECT product_id, max(as_of_ts) - INTERVAL 59 HOUR AS lo
+                                        FROM gold GROUP BY product_id) n
+                   ON n.product_id = p.product_id GROUP BY p.product_id) b
+             ON b.product_id = g.product_id""",
+        "gold",
+        "book_bars",
+    ),
+)
+def _(spark, d):
+    # Built in two parts; the progress is what the second one committed.
+    book, trade = _book_table(spark, d), _trade_table(spark, d)
+    target = refresh.gold_table(scratch_path(spark, "gold"))
+    half = F.lit(_HALF).cast("timestamp_ntz")
+    early = [t.read(spark).where(F.col("bar_ts") <= half) for t in (book, trade)]
+    target.publish(gold.gold(*early, BARS, built_at=now()))
+    refresh.refresh(spark, book, trade, target, BARS, built_at=now())
+    return refresh.progress_table(target).read(spark).select(
+        "product_id",
+        step_time("next_step", BARS.step_us).alias("next_ts"),
+        "bars_to",
+        "base_ts",
+        F.round("base_mid", 6).alias("base_mid"),
+        "rows",
+    )
+
+
 # --- online features in batch, and their parity with gold ------------------
 
 

@@ -200,14 +200,99 @@ def test_refresh_is_incremental_and_idempotent(spark, bars):
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
-def test_needed_bars_prune_days(spark, bars):
-    book = refresh.book_bar_table(scratch_path(spark, "t-prune"))
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def days(spark, bars, shift_days):
+    """The same bars some days later."""
+    return [b.withColumn("bar_ts", F.col("bar_ts") + F.make_dt_interval(F.lit(shift_days))) for b in bars]
+
+
+def stored(spark, bars):
+    book = refresh.book_bar_table(scratch_path(spark, "t-book"))
+    trade = refresh.trade_bar_table(scratch_path(spark, "t-trade"))
     book.publish(bars[0])
-    late = spark.createDataFrame([("A", at(86_400 * 2))], "product_id string, start_ts timestamp_ntz")
-    stored = book.read(spark)
-    found, _ = refresh.needed_bars(stored, stored, late, SMALL)
-    # Nothing recent remains but the one bar per product that returns start from.
-    rows = found.collect()
-    assert len(rows) == 2 and all(r.mid_close for r in rows)
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(bar_date" in plan and "bar_ts" in plan
+    trade.publish(bars[1])
+    return book, trade, refresh.gold_table(scratch_path(spark, "t-gold"))
+
+
+def same_gold(got, want):
+    cols = ["product_id", "as_of_ts", "bar_count_5m", "trade_count_5m", "label_bar_count"]
+    rounded = [F.round(c, 9).alias(c) for c in ("rv_5m", "rv_60m", "label_rv_5m", "volume_5m")]
+    a, b = got.select(*cols, *rounded), want.select(*cols, *rounded)
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_refresh_opens_recent_days_only(spark, bars):
+    """Days later, bars, base price and gold are read from the newest days alone."""
+    book, trade, target = stored(spark, bars)
+    assert refresh.refresh(spark, book, trade, target, SMALL, built()).rows_added > 0
+    late = days(spark, bars, 40)
+    book.append(late[0])
+    trade.append(late[1])
+    progress = refresh.progress_table(target).read(spark)
+    work = refresh.pending(book.read(spark), trade.read(spark), progress, target.read(spark), SMALL)
+    assert "PartitionFilters: [isnotnull(bar_date" in plan_of(work.book)
+    # All products wait since the first days, so their bars are needed; each product's own.
+    report = refresh.refresh(spark, book, trade, target, SMALL, built())
+    later = days(spark, bars, 80)
+    book.append(later[0])
+    progress = refresh.progress_table(target).read(spark)
+    work = refresh.pending(book.read(spark), trade.read(spark), progress, target.read(spark), SMALL)
+    read = work.book.agg(F.min("bar_ts")).first()[0]
+    assert report.rows_added > 0 and read > at(86_400 * 30)
+    assert "PartitionFilters: [isnotnull(bar_date" in plan_of(work.rows(SMALL))
+    reach = refresh.Reach.of(work.todo, refresh.LOOKBACK)
+    assert reach.lagging is None
+    recent = refresh.seen_by(target.read(spark), work.todo, "as_of_ts", "as_of_date", reach)
+    assert "PartitionFilters: [isnotnull(as_of_date" in plan_of(recent)
+
+
+def test_a_lagging_product_has_a_scan_of_its_own(spark, bars):
+    """One product stands still for 40 days, then goes on; the others are read from
+    recent days meanwhile, and the sum is one build."""
+    late = days(spark, bars, 40)
+    both = [b.unionByName(x) for b, x in zip(bars, late)]
+    early = [b.unionByName(x.where("product_id <> 'A'")) for b, x in zip(bars, late)]
+    book, trade, target = stored(spark, early)
+    refresh.refresh(spark, book, trade, target, SMALL, built())
+    rest = [x.where("product_id = 'A'") for x in late]
+    book.append(rest[0])
+    trade.append(rest[1])
+    progress = refresh.progress_table(target).read(spark)
+    work = refresh.pending(book.read(spark), trade.read(spark), progress, target.read(spark), SMALL)
+    assert {r.product_id for r in work.todo.collect()} == {"A"}
+    refresh.refresh(spark, book, trade, target, SMALL, built())
+    whole = gold.gold(*both, SMALL, built_at=built())
+    assert same_gold(target.read(spark), whole)
+
+
+def test_new_products_and_lost_progress(spark, bars):
+    """A product that comes later is built whole; rows that a broken-off build added
+    before it could commit its progress are found and not added again."""
+    first = [b.where("product_id = 'A'") for b in bars]
+    book, trade, target = stored(spark, first)
+    refresh.refresh(spark, book, trade, target, SMALL, built())
+    for table, b in ((book, bars[0]), (trade, bars[1])):
+        table.append(b.where("product_id <> 'A'"))
+    progress = refresh.progress_table(target).read(spark)
+    work = refresh.pending(book.read(spark), trade.read(spark), progress, target.read(spark), SMALL)
+    whole = gold.gold(*bars, SMALL, built_at=built())
+    half = work.rows(SMALL, built()).where(F.col("as_of_ts") < at(150 * 60))
+    target.append(half)
+    report = refresh.refresh(spark, book, trade, target, SMALL, built())
+    assert same_gold(target.read(spark), whole)
+    assert report.rows_total == whole.count()
+    refresh.start_over(spark, book, trade, target)
+    assert refresh.progress_table(target).read(spark).isEmpty()
+
+
+def test_rows_that_are_there_are_refused(spark, bars):
+    book, trade, target = stored(spark, bars)
+    refresh.refresh(spark, book, trade, target, SMALL, built())
+    rows = target.read(spark).drop("as_of_date")
+    progress = refresh.scanned_progress(book.read(spark), rows.where(F.col("as_of_ts") < at(150 * 60)), SMALL)
+    work = refresh.pending(book.read(spark), trade.read(spark), progress, None, SMALL)
+    with pytest.raises(quality.QualityError, match="built already"):
+        refresh.checked(work.rows(SMALL, built()), target.read(spark), work, SMALL)

@@ -119,6 +119,17 @@ GOLD = _struct(
     ("built_at", _TS),
 )
 
+#: How far a gold table is built, per product: the next grid step, the newest bar seen,
+#: the bar that the next build's first return starts from, and the rows so far.
+PROGRESS = _struct(
+    ("product_id", _S),
+    ("next_step", _L),
+    ("bars_to", _TS),
+    ("base_ts", _TS),
+    ("base_mid", _D),
+    ("rows", _L),
+)
+
 FEATURES = (
     "rv_1m",
     "rv_5m",
