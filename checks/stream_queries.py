@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import views as V
-from checks.queries import _BB, _TB, register, shape
+from checks.queries import _BB, _GOLD, _TB, now, register, shape
 from checks.sql import table
 from checks.views import BARS, FEED
 from tickflow import schemas
+from tickflow.plans import refresh
 from tickflow.session import scratch_path, write_scratch
 from tickflow.sources.topics import FileTopic
 from tickflow.streaming import bars as stream_bars
@@ -73,6 +74,38 @@ def _(spark, d):
     return shape(drain(closed, "book-bars", schemas.BOOK_BAR), *_BB)
 
 
+# Gold over the bars that the live job has closed.
+_LIVE_BARS = {
+    "trade_bars": (
+        ("slots",),
+        f"SELECT * FROM {_FEED_BARS} WHERE {_CLOSED.format(clock='ts', rows=_LIVE)}",
+    ),
+    "book_bars": (
+        ("e", "tops"),
+        f"SELECT * FROM {_TOP_BARS} WHERE {_CLOSED.format(clock='ts', rows='e')}",
+    ),
+}
+
+
+@register("stream_gold", table("gold", *_GOLD, "gold", instead=_LIVE_BARS))
+def _(spark, d):
+    # Feed to streams to day tables to gold; the bars are also sent to topics.
+    raw = FileTopic(write_scratch(V.feed(spark, d), "feed")).stream(spark)
+    topic = scratch_path(spark, "live-topics")
+    job = stream_bars.BarsJob(
+        refresh.live_trade_bars(scratch_path(spark, "live-trade-bars")),
+        refresh.live_book_bars(scratch_path(spark, "live-book-bars")),
+        scratch_path(spark, "live-log"),
+        [stream_bars.to_topic("bars.trade", f"{topic}/trade")],
+        [stream_bars.to_topic("bars.book", f"{topic}/book")],
+    )
+    for query in job.start(raw, BARS, FEED, every=None):
+        query.awaitTermination()
+    target = refresh.gold_table(scratch_path(spark, "live-gold"))
+    refresh.refresh(spark, job.book, job.trade, target, BARS, built_at=now())
+    return shape(target.read(spark), *_GOLD)
+
+
 def bar_stream(spark, df, name: str):
     """A stream over a written copy of a bar table."""
     zoned = df.withColumn("bar_ts", F.col("bar_ts").cast("timestamp"))

@@ -10,9 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickflow import schemas
-from tickflow.operators import bars, book, router
+from tickflow.operators import bars, book, gold, router
+from tickflow.plans import refresh
 from tickflow.session import scratch_path
-from tickflow.sinks import tables, topics
 from tickflow.sources.topics import FileTopic, json_bars
 from tickflow.spec import BarSpec, FeedSpec
 from tickflow.streaming import bars as stream_bars
@@ -78,7 +78,7 @@ def test_late_trades_inside_and_outside_the_watermark(spark):
     feed.add(trade(4, 120))
     feed.add(trade(8, 121))  # lateness is judged by the clock one batch back
     feed.add(trade(5, 60))  # 60 s late: dropped
-    feed.add({**trade(6, 0), "time": "2026-07-27T12:02:00Z"})  # unreadable clock
+    feed.add({**trade(6, 0), "time": "2024-03-05T09:02:00Z"})  # unreadable clock
     feed.add(trade(7, 300))
     run(stream_bars.trade_bars(feed.stream()), out, log)
     at = lambda s: T0 + timedelta(seconds=s)
@@ -122,33 +122,82 @@ def test_tops_report_drops_and_disorder(spark):
     assert (last.dropped, last.disorder, last.segment) == (2, 0, 1)
 
 
-def test_fan_out_writes_every_sink_once(spark):
+def json_topic(spark, path, schema):
+    sent = spark.read.schema("key string, value string").json(f"{path}/batch_id=*/topic=*")
+    return json_bars(sent.select("value", F.lit(1).alias("arrival_seq")), schema)
+
+
+def test_a_batch_is_worked_out_once_and_replaces_itself(spark):
+    """Other sinks read what was committed; a second try leaves one copy in the table."""
     feed = Feed(spark, "t-fan")
     feed.add(*[trade(i, i) for i in range(20)])
     feed.add(*[trade(i, i + 200) for i in range(20)])
-    feed.add(trade(99, 500))
-    log = scratch_path(spark, "t-fan-log")
-    table, topic = scratch_path(spark, "t-fan-table"), scratch_path(spark, "t-fan-topic")
-
-    def to_topic(batch, batch_id):
-        topics.write_files(topics.keyed(batch, "bars.trade"), topic, batch_id)
-
+    feed.add(trade(99, 90_000), trade(100, 90_050), trade(101, 90_100))
+    log, topic = scratch_path(spark, "t-fan-log"), scratch_path(spark, "t-fan-topic")
+    table = refresh.live_trade_bars(scratch_path(spark, "t-fan-table"))
+    worked = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def seen(n):
+        worked.add(1)
+        return n
+
+    counted = stream_bars.trade_bars(feed.stream()).withColumn("trade_count", seen("trade_count"))
+    got = []
     query = stream_bars.fan_out(
-        stream_bars.trade_bars(feed.stream()),
+        counted,
         log,
-        [lambda b, i: tables.write_batch(b, table, i), to_topic],
+        table,
+        [stream_bars.to_topic("bars.trade", topic), lambda b, i: got.append((i, b.collect()))],
         every=None,
     )
     query.awaitTermination()
-    stored = tables.read_batches(spark, table, schemas.TRADE_BAR)
-    assert stored.count() == 40 and stored.agg(F.sum("trade_count")).first()[0] == 40
-    # A repeated batch replaces itself.
-    tables.write_batch(stored.limit(0), table, 10_000)
-    sent = spark.read.schema("key string, value string").json(f"{topic}/batch_id=*/topic=*")
-    again = sent.select("value", F.lit(1).alias("arrival_seq"))
-    parsed = json_bars(again.unionByName(spark.createDataFrame([("{bad", 2)], again.schema)),
-                       schemas.TRADE_BAR)
-    assert bars.newest_bars(parsed.unionByName(parsed)).count() == 40
+    stored = table.read(spark)
+    assert stored.count() == worked.value == 42  # the last window is still open
+    assert {r.bar_date.day for r in stored.collect()} == {5, 6}
+    assert sum(len(rows) for _, rows in got) == 42
+    assert json_topic(spark, topic, schemas.TRADE_BAR).count() == 42
+    before = sorted(map(tuple, stored.collect()))
+    again = max(got, key=lambda x: len(x[1]))
+    table.commit(spark.createDataFrame(again[1], schemas.TRADE_BAR), again[0])
+    assert sorted(map(tuple, table.read(spark).collect())) == before and len(before) == 42
+    plan = table.batch(spark, again[0])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch_id" in plan
+    table.reset(spark)
+    assert table.read(spark).isEmpty()
+
+
+def test_feed_to_gold_equals_batch(spark):
+    """Both streams to day tables to gold, with a restart and a batch that is tried again."""
+    spec = BarSpec(step_seconds=2, chunk_steps=80)
+    feed = Feed(spark, "t-job")
+    items = list(book_items())
+    trades = [trade(i, 3 * i, price=str(100 + i % 5)) for i in range(110)]
+    job = stream_bars.BarsJob(
+        refresh.live_trade_bars(scratch_path(spark, "t-job-trade")),
+        refresh.live_book_bars(scratch_path(spark, "t-job-book")),
+        scratch_path(spark, "t-job-log"),
+    )
+    target = refresh.gold_table(scratch_path(spark, "t-job-gold"))
+    now = F.lit("2024-03-06 00:00:00").cast("timestamp_ntz")
+    for lo in range(0, 60, 20):
+        feed.add(*items[lo : lo + 20], *trades[2 * lo : 2 * lo + 40])
+        for query in job.start(feed.stream(), spec, every=None):
+            query.awaitTermination()
+        refresh.refresh(spark, job.book, job.trade, target, spec, now)
+    last = job.book._stored(spark).agg(F.max("batch_id")).first()[0]
+    job.book.commit(spark.createDataFrame(job.book.batch(spark, last).collect(), schemas.BOOK_BAR), last)
+    assert refresh.refresh(spark, job.book, job.trade, target, spec, now).rows_added == 0
+    routed = router.route(feed.batch())
+    messages = router.book_messages(routed)
+    closed = {t: t.read(spark).agg(F.max("bar_ts")).first()[0] for t in (job.book, job.trade)}
+    upto = lambda df, t: df.where(F.col("bar_ts") <= F.lit(closed[t]).cast("timestamp_ntz"))
+    books = upto(bars.book_bars(book.book_tops(messages), spec), job.book)
+    matched = upto(bars.trade_bars(router.matches(router.trades(routed)), spec), job.trade)
+    want = gold.gold(books, matched, spec, built_at=now)
+    columns = ["product_id", "as_of_ts", "bar_count_5m", "label_bar_count", "trade_count_5m"]
+    assert target.read(spark).select(columns).exceptAll(want.select(columns)).isEmpty()
+    assert target.read(spark).count() == want.count() > 0
 
 
 @pytest.mark.parametrize("restart", [False, True])

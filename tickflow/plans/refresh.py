@@ -20,7 +20,7 @@ from tickflow import schemas
 from tickflow.functions.clock import floor_div, micros, step_ceil, step_floor, step_time
 from tickflow.operators import gold, quality
 from tickflow.session import materialize
-from tickflow.sinks.tables import VersionedTable
+from tickflow.sinks.tables import BatchTable, VersionedTable
 from tickflow.sources.relations import since
 from tickflow.spec import BarSpec
 
@@ -34,6 +34,14 @@ def gold_table(root: str) -> VersionedTable:
     return VersionedTable(root, schemas.with_day(schemas.GOLD, GOLD_DAY), "as_of_ts", GOLD_DAY)
 
 
+def live_trade_bars(root: str) -> BatchTable:
+    return BatchTable(root, schemas.with_day(schemas.TRADE_BAR, BAR_DAY), "bar_ts", BAR_DAY)
+
+
+def live_book_bars(root: str) -> BatchTable:
+    return BatchTable(root, schemas.with_day(schemas.BOOK_BAR, BAR_DAY), "bar_ts", BAR_DAY)
+
+
 def trade_bar_table(root: str) -> VersionedTable:
     return VersionedTable(root, schemas.with_day(schemas.TRADE_BAR, BAR_DAY), "bar_ts", BAR_DAY)
 
@@ -269,8 +277,8 @@ def checked(added: DataFrame, built: DataFrame | None, work: Pending, spec: BarS
 
 def refresh(
     spark: SparkSession,
-    book: VersionedTable,
-    trade: VersionedTable,
+    book: VersionedTable | BatchTable,
+    trade: VersionedTable | BatchTable,
     target: VersionedTable,
     spec: BarSpec = BarSpec(),
     built_at=None,
@@ -303,11 +311,10 @@ def refresh(
     return BuildReport(before, added.count(), low)
 
 
-def start_over(spark: SparkSession, *tables: VersionedTable) -> None:
+def start_over(spark: SparkSession, *tables: VersionedTable | BatchTable) -> None:
     """Empty bar tables and what is derived from them, always together: a replay
     need not reproduce every bar at the edges of lateness."""
     for table in tables:
         table.reset(spark)
-        store = progress_table(table)
-        if store.versions(spark):
-            store.reset(spark)
+        if isinstance(table, VersionedTable) and progress_table(table).versions(spark):
+            progress_table(table).reset(spark)

@@ -35,6 +35,51 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(schema).option("basePath", path).parquet(path)
 
 
+@dataclass(frozen=True)
+class BatchTable:
+    """A day-partitioned table that a stream appends to batch by batch.
+
+    Files lie by day, so readers prune days, and under their batch's number within: a
+    batch that is tried again replaces what its first try left, and no other file.
+    """
+
+    root: str
+    schema: T.StructType
+    ts_column: str
+    day_column: str
+
+    def commit(self, df: DataFrame, batch_id: int) -> None:
+        """Write a batch; all its days appear together when the write is done."""
+        dated = with_day(df, self.ts_column, self.day_column)
+        dated = dated.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        writer = balanced(dated, self.day_column).write.mode("overwrite")
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(self.day_column, "batch_id").parquet(self.root)
+
+    def exists(self, spark: SparkSession) -> bool:
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+    def _stored(self, spark: SparkSession) -> DataFrame:
+        schema = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
+        if not self.exists(spark):
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(self.root)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return self._stored(spark).drop("batch_id")
+
+    def batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """What a batch wrote, without its day; other batches' files are not opened."""
+        stored = self._stored(spark).where(F.col("batch_id") == batch_id)
+        return stored.drop("batch_id", self.day_column)
+
+    def reset(self, spark: SparkSession) -> None:
+        """Start over; the stream's checkpoint has to go as well."""
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @dataclass(frozen=True)
 class VersionedTable:
     """Complete builds side by side; readers take the newest finished one.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickflow.functions.clock import EPOCH
 from tickflow.operators import bars, book, router
+from tickflow.sinks import topics
+from tickflow.sinks.tables import BatchTable
 from tickflow.spec import BarSpec, FeedSpec
 from tickflow.streaming.book_state import BookState
 
@@ -56,16 +59,23 @@ def book_bars(raw: DataFrame, spec: BarSpec = BarSpec(), feed: FeedSpec = FeedSp
 def fan_out(
     stream: DataFrame,
     checkpoint: str,
-    writers: Sequence[BatchWriter],
+    table: BatchTable,
+    writers: Sequence[BatchWriter] = (),
     every: str | None = "30 seconds",
     name: str | None = None,
 ) -> StreamingQuery:
-    """Write each batch to every sink. Sinks key their output by batch id, so a
-    repeated batch replaces itself. ``every=None`` drains what is there."""
+    """Commit each batch to a table once, and hand on what was committed.
+
+    The batch itself is worked out only for the table; the other sinks read it back from
+    there, so they hold the same rows. A batch that is tried again replaces itself in the
+    table and in sinks that key their output by its number; topics may get it twice.
+    ``every=None`` drains what is there.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        table.commit(batch, batch_id)
         for writer in writers:
-            writer(batch, batch_id)
+            writer(table.batch(batch.sparkSession, batch_id), batch_id)
 
     out = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     out = out.foreachBatch(write)
@@ -75,6 +85,41 @@ def fan_out(
     return out.start()
 
 
+def to_topic(topic: str, path: str, feed: FeedSpec = FeedSpec()) -> BatchWriter:
+    """A writer of keyed JSON records to a topic of files."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        topics.write_files(topics.limited(topics.keyed(batch, topic), feed), path, batch_id)
+
+    return write
+
+
+@dataclass(frozen=True)
+class BarsJob:
+    """Both bar streams of a feed: day tables, topics of the same rows, checkpoints."""
+
+    trade: BatchTable
+    book: BatchTable
+    checkpoint: str
+    trade_sinks: Sequence[BatchWriter] = ()
+    book_sinks: Sequence[BatchWriter] = ()
+
+    def start(
+        self,
+        raw: DataFrame,
+        spec: BarSpec = BarSpec(),
+        feed: FeedSpec = FeedSpec(),
+        every: str | None = "30 seconds",
+    ) -> tuple[StreamingQuery, StreamingQuery]:
+        """Start both over one raw feed; each reads its own messages from it."""
+        use_state_store(raw.sparkSession)
+        root = self.checkpoint.rstrip("/")
+        return (
+            fan_out(trade_bars(raw, spec, feed), f"{root}/trade", self.trade, self.trade_sinks, every),
+            fan_out(book_bars(raw, spec, feed), f"{root}/book", self.book, self.book_sinks, every),
+        )
+
+
 def to_table(
     stream: DataFrame, path: str, checkpoint: str, every: str | None = "30 seconds"
 ) -> StreamingQuery:
