@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickflow.llm.batches import small_batches
 from tickflow.llm.links import components, join_dealt
 from tickflow.llm.set_sketch import SketchSpec, estimated_jaccard, registers
 from tickflow.llm.shingles import mix, shingle_sets, slices, string_buffers
@@ -37,7 +38,7 @@ LARGE = 32
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, spec: SketchSpec) -> DataFrame:
-    """Per row: id, a hash of the text, n_shingles, the set's name (rep) and its registers."""
+    """Per row: id, a hash of the text, n_shingles, the set's hash and its registers."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -53,17 +54,17 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, spec: SketchSpec) -> D
                         set_hashes(flat, bounds),
                         pa.array([r.tobytes() for r in rows], type=pa.binary()),
                     ],
-                    names=["_id", "text_hash", "n_shingles", "rep", "_registers"],
+                    names=["_id", "text_hash", "n_shingles", "_named", "_registers"],
                 )
 
     text = F.col(text_col)
     return docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(text).alias("text_hash"), text).mapInArrow(
-        sketch, "_id long, text_hash long, n_shingles long, rep long, _registers binary"
+        sketch, "_id long, text_hash long, n_shingles long, _named long, _registers binary"
     )
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
-    """(rep, _set) for rows (_text): the hash that names a set, and the set."""
+    """(_named, _set) for rows (_text): a hash that names a set, and the set."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,9 +76,9 @@ def full_sets(docs: DataFrame) -> DataFrame:
                     pa.array(bounds, type=pa.int32()), pa.array(flat.view(np.int64))
                 )
                 names = set_hashes(flat, bounds)
-                yield pa.RecordBatch.from_arrays([names, lists], names=["rep", "_set"])
+                yield pa.RecordBatch.from_arrays([names, lists], names=["_named", "_set"])
 
-    return docs.select("_text").mapInArrow(sets, "rep long, _set array<long>")
+    return docs.select("_text").mapInArrow(sets, "_named long, _set array<long>")
 
 
 def set_hashes(flat: np.ndarray, bounds: np.ndarray) -> pa.Array:
@@ -119,9 +120,10 @@ class _Verifier:
     def sets(self, reps: DataFrame) -> DataFrame:
         """(rep, _set) of classes: of rows with the id of one of their documents, the text
         that has the class's set. An id may stand on other texts as well."""
-        ids = self.reps.join(reps.select("rep").distinct(), "rep").select("_id", "rep")
+        ids = self.reps.join(reps.select("rep").distinct(), "rep").select("_id", "rep", "_named")
         texts = only(self.docs, ids.select("_id").distinct(), "_id").dropDuplicates(["_id", "_text"])
-        return full_sets(texts).join(ids.select("rep"), "rep").dropDuplicates(["rep"])
+        sets = full_sets(texts).join(ids.select("rep", "_named"), "_named")
+        return sets.drop("_named").dropDuplicates(["rep"])
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Of distinct pairs (a, b), those that are similar enough, as a written table."""
@@ -352,12 +354,30 @@ def near_duplicates(
     and less the more alike the two are; the margins of the estimates are five standard
     errors.
     """
+    with small_batches(docs.sparkSession):
+        return _near_duplicates(docs, id_col, text_col, percent, spec)
+
+
+def _classes(named: DataFrame) -> DataFrame:
+    """(_named, _id, rep) of the distinct sets: the least id of its rows, and its node.
+
+    The node is that id, which packs well; where an id stands on several sets, it is one
+    set's node and the others have their hashes.
+    """
+    classes = named.groupBy("_named").agg(F.min("_id").alias("_id"))
+    owner = classes.groupBy("_id").agg(F.min("_named").alias("_owner"))
+    node = F.when(F.col("_named") == F.col("_owner"), F.col("_id")).otherwise(F.col("_named"))
+    return join_dealt(classes, owner, "_id").select("_named", "_id", node.alias("rep"))
+
+
+def _near_duplicates(
+    docs: DataFrame, id_col: str, text_col: str, percent: int, spec: SketchSpec
+) -> DataFrame:
     narrow = materialize(sketches(docs, id_col, text_col, spec), "sketches")
     named = narrow.filter("n_shingles > 0 and _id is not null")
-    classes = named.groupBy("rep").agg(F.min("_id").alias("_id"))
-    classes = materialize(classes, "classes")
-    reps = named.join(classes, ["_id", "rep"])
-    reps = reps.select("rep", "_id", "n_shingles", "_registers").dropDuplicates(["rep"])
+    classes = materialize(_classes(named), "classes")
+    reps = named.join(classes, ["_id", "_named"])
+    reps = reps.select("rep", "_id", "_named", "n_shingles", "_registers").dropDuplicates(["rep"])
     reps = materialize(reps, "reps")
     buckets = _buckets(reps, spec).filter("rep <> hub")
     pairs = buckets.select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b"))
@@ -371,12 +391,12 @@ def near_duplicates(
         if not found.isEmpty():
             parts = components(links.union(found), "a", "b")
     named = classes.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
-    named = named.select("rep", "_id", F.coalesce("component", "rep").alias("_part"))
+    named = named.select("_named", "_id", F.coalesce("component", "rep").alias("_part"))
     least = named.groupBy("_part").agg(F.min("_id").alias("_component"))
-    named = materialize(join_dealt(named, least, "_part").select("rep", "_component"), "named")
-    ids = narrow.select("_id", "text_hash", "n_shingles", "rep")
+    named = materialize(join_dealt(named, least, "_part").select("_named", "_component"), "named")
+    ids = narrow.select("_id", "text_hash", "n_shingles", "_named")
     own = F.when(F.col("n_shingles") > 0, F.col("_component")).otherwise(F.col("_id"))
-    return join_dealt(ids, named, "rep", "left").select(
+    return join_dealt(ids, named, "_named", "left").select(
         F.col("_id").alias("doc_id"),
         "n_shingles",
         own.alias("component_id"),

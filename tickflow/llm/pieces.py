@@ -32,11 +32,11 @@ from tickflow.llm.shingles import mix, string_buffers
 
 SPACE = "\u2581"
 #: Merges of words kept per task; beyond that, all go and are worked out anew.
-KEPT = 1 << 20
+KEPT = 1 << 19
 #: Longer words hardly repeat; each occurrence is segmented by its own coins.
 LONG = 20
 #: Characters of text that are segmented, and handed on, together.
-BATCH_CHARS = 1 << 21
+BATCH_CHARS = 1 << 20
 _NORMAL, _BYTE = 1, 6
 _NEVER = np.int32(2**31 - 1)
 _U = np.uint64
