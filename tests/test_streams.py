@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tickflow import schemas
 from tickflow.operators import bars, book, gold, router
 from tickflow.plans import refresh
-from tickflow.session import scratch_path
+from tickflow.session import materialize, scratch_path
 from tickflow.sources.topics import FileTopic, json_bars
 from tickflow.spec import BarSpec, FeedSpec
 from tickflow.streaming import bars as stream_bars
@@ -85,6 +85,28 @@ def test_late_trades_inside_and_outside_the_watermark(spark):
     assert counts(spark, out) == {at(0): 1, at(25): 1, at(40): 1, at(120): 1, at(121): 1}
 
 
+def test_dropped_rows_are_counted(spark):
+    feed = Feed(spark, "t-drop")
+    feed.add(trade(1, 0), trade(2, 40))
+    feed.add(trade(4, 120))
+    feed.add(trade(8, 121))
+    feed.add(trade(5, 60), trade(6, 61), trade(7, 300))
+    late = stream_bars.LateRows()
+    spark.streams.addListener(late)
+    try:
+        table = refresh.live_trade_bars(scratch_path(spark, "t-drop-table"))
+        bars_ = stream_bars.trade_bars(feed.stream())
+        query = stream_bars.fan_out(bars_, scratch_path(spark, "t-drop-log"), table, every=None, name="late")
+        query.awaitTermination()
+        for _ in range(50):
+            if late.dropped.get("late"):
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(late)
+    assert late.dropped == {"late": 2} and table.read(spark).count() == 4
+
+
 def book_items():
     bids, asks = [["100", "3"], ["99", "2"]], [["102", "6"], ["103", "4"]]
     yield {"type": "snapshot", "product_id": "A", "bids": bids, "asks": asks}
@@ -112,6 +134,31 @@ def test_book_state_survives_restarts_and_equals_batch(spark):
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
+def test_a_stream_takes_over_a_batch_in_mid_segment(spark):
+    """A batch over the first messages, then a stream over the rest: as one batch."""
+    items = list(book_items())
+    items[45] = {"type": "snapshot", "product_id": "A", "bids": [["90", "1"]], "asks": [["95", "2"]]}
+    for cut in (17, 46):
+        feed = Feed(spark, f"t-take{cut}")
+        feed.add(*items[:cut], epochs={7: 0})
+        spec = FeedSpec(chunk_rows=16)
+        first = router.book_messages(router.route(feed.batch()))
+        done = materialize(book.book_tops(first, spec), "t-tops")
+        opening = materialize(book.closing_books(first, done, spec), "t-opening")
+        late = Feed(spark, f"t-go{cut}")
+        late.seq = cut
+        late.add(*items[cut:])
+        out, log = scratch_path(spark, "t-go-out"), scratch_path(spark, "t-go-log")
+        run(stream_bars.book_tops(late.stream(), opening=opening), out, log)
+        columns = ["arrival_seq", "segment", "best_bid", "best_bid_qty", "best_ask", "best_ask_qty",
+                   "bid_depth5", "ask_depth5", "ofi_delta", "conn_epoch"]
+        got = done.select(columns).union(spark.read.parquet(out).select(columns))
+        every = feed.batch().union(late.batch())
+        want = book.book_tops(router.book_messages(router.route(every)), spec).select(columns)
+        assert got.count() > 40
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
 def test_tops_report_drops_and_disorder(spark):
     feed = Feed(spark, "t-tops")
     out, log = scratch_path(spark, "t-tops-out"), scratch_path(spark, "t-tops-log")
@@ -301,3 +348,61 @@ def test_a_product_behind_the_others_loses_no_bars(spark):
         ]
         for product in ("A", "B"):
             assert math.isclose(found[product][at][longest], math.sqrt(sum(moves)))
+
+
+def test_a_silent_side_is_not_waited_for(spark):
+    """Points come out after the time-out; a side that wakes up makes no duplicate."""
+    spec, feed = BarSpec(), FeedSpec(idle_seconds=3)
+    paths = {n: scratch_path(spark, f"t-idle-{n}") for n in ("book", "trade", "out", "log")}
+    zoned = {}
+    for name, schema in (("book", schemas.BOOK_BAR), ("trade", schemas.TRADE_BAR)):
+        fields = [(f.name, "timestamp" if f.name == "bar_ts" else f.dataType.simpleString())
+                  for f in schema.fields]
+        zoned[name] = ", ".join(f"{n} {t}" for n, t in fields)
+        spark.createDataFrame([], zoned[name]).write.parquet(paths[name])
+
+    def write(name, rows):
+        spark.createDataFrame(rows, zoned[name]).coalesce(1).write.mode("append").parquet(paths[name])
+
+    def book_rows(lo, hi):
+        return [("A", T0 + timedelta(seconds=s), 100.0 + s / 100, 1.0, 1.0, 1.0, 1.0, 2.0, 1.0,
+                 1.0, 1, 1) for s in range(lo, hi, 10)]
+
+    def trade_rows(lo, hi):
+        return [("A", T0 + timedelta(seconds=s), 1, 1.0, 1.0, 0.0, 1.0, 1.0, 1.0)
+                for s in range(lo, hi, 10)]
+
+    write("book", book_rows(0, 300))
+    write("trade", trade_rows(0, 130))
+    streams = [spark.readStream.schema(zoned[n]).parquet(paths[n]) for n in ("book", "trade")]
+    live = online.idle_online_features(*streams, spec, feed)
+    query = stream_bars.to_table(live, paths["out"], paths["log"], every="1 second")
+
+    def points():
+        try:
+            rows = spark.read.schema(live.schema).parquet(paths["out"]).collect()
+        except Exception:  # noqa: BLE001 - nothing is written yet
+            return {}
+        found = {r.as_of_ts: r.trade_count_5m for r in rows}
+        assert len(found) == len(rows)
+        return found
+
+    def wait(n):
+        for _ in range(120):
+            if len(points()) >= n:
+                break
+            time.sleep(0.5)
+        return points()
+
+    try:
+        # Trades end at 120 s: minute 2 needs them two seconds past it, so one point is due.
+        first = wait(4)
+        assert sorted(first) == [T0 + timedelta(minutes=m) for m in (1, 2, 3, 4)]
+        assert first[T0 + timedelta(minutes=4)] == 13
+        write("trade", trade_rows(130, 400))  # wakes up: counts for later points alone
+        write("book", book_rows(300, 400))
+        last = wait(6)
+    finally:
+        query.stop()
+    assert sorted(last) == [T0 + timedelta(minutes=m) for m in range(1, 7)]
+    assert last[T0 + timedelta(minutes=4)] == 13 and last[T0 + timedelta(minutes=6)] == 30

@@ -314,6 +314,48 @@ def opening_books(runs: DataFrame, plan: DataFrame) -> DataFrame:
     )
 
 
+def closing_books(messages: DataFrame, tops: DataFrame, spec: FeedSpec = FeedSpec()) -> DataFrame:
+    """One row per product: the book when the messages end, as a stream takes it over.
+
+    ``tops`` is the result of ``book_tops`` on the same messages, as a written table; its
+    last row of the running segment is what the next order flow is against.
+    """
+    index = materialize(bucket_index(messages, spec), "book-buckets")
+    ends = index.groupBy("product_id").agg(
+        F.max("no").alias("no"),
+        F.max_by(F.struct("seg_after", "epoch_after"), "no").alias("_end"),
+    )
+    # A bucket after the last one: what is live when it starts is the closing book.
+    last = ends.select("product_id", F.col("_end.seg_after").alias("_seg"), (F.col("no") + 1).alias("until"))
+    running = index.drop("reach").join(last, "product_id").where("seg_after = _seg")
+    running = running.withColumnRenamed("until", "reach").drop("_seg")
+    runs = level_runs(messages, running, spec)
+    live = runs.join(last.drop("_seg"), ["product_id", "until"])
+    books = live.groupBy("product_id").agg(
+        F.collect_list(F.struct("is_bid", "price", "size")).alias("levels")
+    )
+    seen = messages.groupBy("product_id").agg(F.max("arrival_seq").alias("last_seq"))
+    shown = tops.groupBy("product_id").agg(
+        F.max_by(F.struct("segment", *TOP_COLUMNS), "arrival_seq").alias("_top")
+    )
+    current = F.col("_top.segment") == F.col("_end.seg_after")
+    return (
+        ends.join(seen, "product_id")
+        .join(books, "product_id", "left")
+        .join(shown, "product_id", "left")
+        .select(
+            "product_id",
+            F.col("_end.seg_after").alias("segment"),
+            F.col("_end.epoch_after").alias("epoch"),
+            "last_seq",
+            F.array(*[F.when(current, F.col(f"_top.{c}")) for c in TOP_COLUMNS]).alias("before"),
+            F.col("levels.is_bid").alias("is_bid"),
+            F.col("levels.price").alias("price"),
+            F.col("levels.size").alias("size"),
+        )
+    )
+
+
 def _plain(column: pa.Array) -> list:
     """Python values of a flat column, through NumPy (much faster than boxing)."""
     return column.to_numpy(zero_copy_only=False).tolist()

@@ -64,6 +64,7 @@ class FeedSpec:
     depth_levels: int = 5
     watermark: str = "30 seconds"
     sync_margin_seconds: int = 2
+    idle_seconds: int = 5
     history_ttl_seconds: int = 7200
 
     # Arrival numbers per chunk. Arrival numbers are unique, so this bounds the

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tickflow.functions.clock import EPOCH
 from tickflow.operators import bars, book, router
@@ -34,8 +34,14 @@ def trade_bars(raw: DataFrame, spec: BarSpec = BarSpec(), feed: FeedSpec = FeedS
     return bars.trade_bars(_clocked(matches.where(F.col("event_ts") > F.lit(EPOCH)), feed), spec)
 
 
-def book_tops(raw: DataFrame, feed: FeedSpec = FeedSpec()) -> DataFrame:
-    """Tops of book from keyed state; needs the RocksDB state store."""
+def book_tops(
+    raw: DataFrame, feed: FeedSpec = FeedSpec(), opening: DataFrame | None = None
+) -> DataFrame:
+    """Tops of book from keyed state; needs the RocksDB state store.
+
+    ``opening`` has the books that a batch left (``operators.book.closing_books``): the
+    stream then goes on in mid-segment with the messages that follow.
+    """
     messages = router.book_messages(router.route(raw))
     timed = messages.withColumn(
         "event_ts", F.timestamp_millis(book.iso_millis("time"))
@@ -45,6 +51,7 @@ def book_tops(raw: DataFrame, feed: FeedSpec = FeedSpec()) -> DataFrame:
         outputStructType=BookState.output,
         outputMode="Append",
         timeMode="EventTime",
+        initialState=None if opening is None else opening.groupBy("product_id"),
         eventTimeColumnName="event_ts",
     )
     bid, ask = F.col("best_bid"), F.col("best_ask")
@@ -120,6 +127,29 @@ class BarsJob:
         )
 
 
+class LateRows(StreamingQueryListener):
+    """Counts the rows that each query's watermarks have dropped, by the query's name.
+
+    Register it with ``spark.streams.addListener`` before the queries start. A query
+    without a name goes by its id.
+    """
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(event.name or str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        name = progress.name or str(progress.id)
+        late = sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+        self.dropped[name] = self.dropped.get(name, 0) + late
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def to_table(
     stream: DataFrame, path: str, checkpoint: str, every: str | None = "30 seconds"
 ) -> StreamingQuery:

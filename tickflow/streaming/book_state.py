@@ -60,6 +60,18 @@ class BookState(StatefulProcessor):
         self.asks = handle.getMapState("asks", _LEVEL_KEY, _LEVEL)
         self.meta = handle.getValueState("meta", _META)
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """Take over a book that a batch has built (a row of ``operators.book.closing_books``)."""
+        row = next(initialState.itertuples(index=False))
+        levels = zip(row.is_bid, row.price, row.size) if row.price is not None else ()
+        for is_bid, price, size in levels:
+            state, sign = (self.bids, -1) if is_bid else (self.asks, 1)
+            state.updateValue((sign * float(price),), (float(size),))
+        own = [None if pd.isna(x) else x for x in (row.epoch, *row.before)]
+        epoch = None if own[0] is None else int(own[0])
+        before = [None if x is None else float(x) for x in own[1:]]
+        self.meta.update((epoch, *before, int(row.segment), int(row.last_seq), 0, 0))
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
         frame = pd.concat(list(rows)).sort_values("arrival_seq")
         book = Replay(self.depth)

@@ -167,6 +167,105 @@ class OnlineFeatures(StatefulProcessor):
         )
 
 
+class IdleOnlineFeatures(OnlineFeatures):
+    """The same rows where a side may fall silent.
+
+    A product's point is due once both of its own streams are past it by the margin. A
+    side without a bar for ``idle_seconds`` of the machine's clock is idle and not waited
+    for; processing-time timers do the looking. Points come out in order and once, so a
+    side that wakes up only counts for points that are still to come.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        seen = T.StructType(
+            [T.StructField(n, T.LongType()) for n in ("book_high", "book_at", "trade_high", "trade_at")]
+        )
+        self.seen = handle.getValueState("seen", seen)
+
+    def _due(self, book: _Series, upto: int, last: int | None) -> list[int]:
+        """Points with book bars after the last one put out, at or before ``upto``."""
+        step_ms = self.spec.step_seconds * 1000
+        points = {at - at % step_ms for at in book.times}
+        return sorted(p for p in points if p <= upto and (last is None or p > last))
+
+    def _emit(self, key, now: int) -> pd.DataFrame:
+        book, trade = self._series(key[0])
+        idle_ms, margin = self.feed.idle_seconds * 1000, self.feed.sync_margin_seconds * 1000
+        book_high, book_at, trade_high, trade_at = self.seen.get()
+        sides = [(h, t) for h, t in ((book_high, book_at), (trade_high, trade_at))]
+        live = [h for h, t in sides if now - t < idle_ms]
+        # With both silent, what has come in is all there is for now.
+        upto = min(live) if live else max(h for h, _ in sides)
+        last = self.done.get()[0] if self.done.exists() else None
+        out = []
+        for point in self._due(book, upto - margin, last):
+            found = self._features(book, trade, point)
+            if found is not None:
+                out.append((key[0], pd.Timestamp(point, unit="ms"), *found))
+            self.done.update((point,))
+            last = point
+        if last is not None:
+            cutoff = last - (self.spec.history + 2) * self.spec.step_seconds * 1000
+            book.prune(cutoff, keep=1)
+            trade.prune(cutoff)
+        newest = book.times[-1] if book.times else None
+        if newest is not None and (last is None or newest - newest % (self.spec.step_seconds * 1000) > last):
+            waits = [t + idle_ms for _, t in sides if now - t < idle_ms]
+            if waits:
+                self.handle.registerTimer(min(waits) + 1)
+        return pd.DataFrame(out, columns=self.output.names)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
+        now = timerValues.getCurrentProcessingTimeInMs()
+        book, trade = self._series(key[0])
+        # A stream that never delivered counts from the first look at the product.
+        high = list(self.seen.get()) if self.seen.exists() else [-(2**62), now, -(2**62), now]
+        for frame in rows:
+            for i, stream, names, series in ((0, "book", _BOOK, book), (2, "trade", _TRADE, trade)):
+                part = frame[frame["stream"] == stream]
+                at = (part["bar_ts"].astype("datetime64[ms]").astype("int64")).tolist()
+                values = part[list(names)].astype(float).itertuples(index=False, name=None)
+                for ms, row in zip(at, values):
+                    series.put(ms, row)
+                if at:
+                    high[i : i + 2] = [max(high[i], *at), now]
+        self.seen.update(tuple(high))
+        yield self._emit(key, now)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        yield self._emit(key, timerValues.getCurrentProcessingTimeInMs())
+
+
+def _wide(book_bars: DataFrame, trade_bars: DataFrame) -> DataFrame:
+    return bars.tagged_bars(book_bars, trade_bars).select(
+        "product_id",
+        "bar_ts",
+        "stream",
+        *[F.col(c).cast("double").alias(c) for c in (*_BOOK, *_TRADE)],
+    )
+
+
+def idle_online_features(
+    book_bars: DataFrame,
+    trade_bars: DataFrame,
+    spec: BarSpec = BarSpec(),
+    feed: FeedSpec = FeedSpec(),
+) -> DataFrame:
+    """Feature rows from two streams of bars of which one may fall silent.
+
+    Unlike ``online_features`` a product waits for its own streams alone, for at most
+    ``feed.idle_seconds`` after the last bar of a side, and no bar is dropped as late: one
+    that comes after its points are out is kept for later points.
+    """
+    return _wide(book_bars, trade_bars).groupBy("product_id").transformWithStateInPandas(
+        IdleOnlineFeatures(spec, feed),
+        outputStructType=IdleOnlineFeatures.output,
+        outputMode="Append",
+        timeMode="ProcessingTime",
+    )
+
+
 def online_features(
     book_bars: DataFrame,
     trade_bars: DataFrame,
@@ -184,15 +283,9 @@ def online_features(
     default): a point is due only when both streams are past it.
     """
     delay = delay or feed.watermark
-    tagged = bars.tagged_bars(
+    wide = _wide(
         book_bars.withWatermark("bar_ts", delay), trade_bars.withWatermark("bar_ts", delay)
     )
-    wide = tagged.select(
-        "product_id",
-        "bar_ts",
-        "stream",
-        *[F.col(c).cast("double").alias(c) for c in (*_BOOK, *_TRADE)],
-    )
     return wide.groupBy("product_id").transformWithStateInPandas(
         OnlineFeatures(spec, feed),
         outputStructType=OnlineFeatures.output,
