@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from checks import views as V
@@ -925,6 +926,19 @@ def _(spark, d):
     return predictions.hourly_counts(_labeled(spark, d), "1 day")
 
 
+@register(
+    "trailing_counts",
+    query(
+        """SELECT product_id, as_of_ts, count(*) OVER w AS predictions, count(label_rv) OVER w AS labels
+           FROM labeled WINDOW w AS (PARTITION BY product_id ORDER BY as_of_ts
+             RANGE BETWEEN INTERVAL 86399999999 MICROSECONDS PRECEDING AND CURRENT ROW)""",
+        "labeled",
+    ),
+)
+def _(spark, d):
+    return predictions.trailing_counts(_labeled(spark, d), 86_400)
+
+
 @register(
     "latest_prediction",
     table(
@@ -982,6 +996,51 @@ def _(spark, d):
     return monitor.latency_quantile(V.events(spark, d), "ts", "value", per="1 day")
 
 
+@register(
+    "latency_histogram",
+    """WITH b AS (
+         SELECT date_trunc('day', ts) AS window_ts,
+                CASE WHEN value > 0 THEN CAST(ceil(ln(value) / ln(1.01 / 0.99)) AS BIGINT) END AS bucket
+         FROM events
+       ), h AS (
+         SELECT window_ts, bucket, count(*) AS n FROM b GROUP BY 1, 2
+       ), c AS (
+         SELECT window_ts, bucket, sum(n) OVER (PARTITION BY window_ts ORDER BY bucket NULLS FIRST) AS upto,
+                sum(n) OVER (PARTITION BY window_ts) AS n FROM h
+       )
+       SELECT window_ts, CAST(max(n) AS BIGINT) AS n,
+              round(CASE WHEN min(coalesce(bucket, -1000000)) = -1000000 THEN 0
+                    ELSE 2 / (1.01 / 0.99 + 1) * power(1.01 / 0.99, min(bucket)) END, 6) AS latency_q
+       FROM c WHERE upto >= ceil(0.95 * n) GROUP BY 1""",
+)
+def _(spark, d):
+    found = monitor.latency_histogram(V.events(spark, d), "ts", "value", per="1 day")
+    return shape(monitor.histogram_quantile(found), "window_ts n", "latency_q")
+
+
+@register(
+    "counter_increase",
+    query(
+        """SELECT product_id, event_id, total,
+                  CAST(sum(rise) OVER (PARTITION BY product_id ORDER BY ts
+                    RANGE BETWEEN INTERVAL 3599999999 MICROSECONDS PRECEDING AND CURRENT ROW) AS BIGINT)
+                    AS increase
+           FROM (SELECT *, CASE WHEN before IS NULL THEN 0 WHEN total < before THEN total
+                                ELSE total - before END AS rise
+                 FROM (SELECT *, lag(total) OVER (PARTITION BY product_id ORDER BY event_id) AS before
+                       FROM (SELECT product_id, event_id, ts, row_number() OVER (
+                               PARTITION BY product_id, epoch ORDER BY event_id) AS total FROM e)))""",
+        "e",
+    ),
+)
+def _(spark, d):
+    # Messages so far on a connection: the counter starts anew with each one.
+    w = W.partitionBy("product_id", "epoch").orderBy("event_id")
+    samples = V.events(spark, d).withColumn("total", F.row_number().over(w).cast("long"))
+    found = monitor.increase(samples, "product_id", "ts", "total", "event_id", 3600, FEED)
+    return found.select("product_id", "event_id", "total", "increase")
+
+
 @register(
     "consumer_lag",
     """WITH parts AS (SELECT event_type AS topic, user_id % 3 AS part, max(event_id) AS max_offset,

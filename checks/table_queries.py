@@ -6,15 +6,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import views as V
-from checks.queries import _GOLD, _HALF, _TB, _train, now, register, shape
+from checks.queries import _GOLD, _HALF, _TB, _preds, _train, now, register, shape
 from checks.sql import query, table
 from checks.stream_queries import _ONLINE, _ONLINE_COLUMNS
 from checks.views import BARS, FEED
 from tickflow import schemas
 from tickflow.functions.clock import step_time
-from tickflow.operators import gold, modelling, quality
+from tickflow.operators import gold, modelling, predictions, quality
 from tickflow.operators.modelling import TreeSpec
-from tickflow.plans import landing, refresh, training
+from tickflow.plans import landing, refresh, scoring, training
 from tickflow.plans.scoring import online_rows
 from tickflow.session import scratch_path
 from tickflow.sinks import topics
@@ -192,6 +192,50 @@ def _(spark, d):
     )
 
 
+@register(
+    "label_log",
+    query(
+        f"""SELECT product_id, as_of_ts, round(label_rv, 9) AS label_rv,
+                   CASE WHEN as_of_ts + INTERVAL 5 HOUR <= TIMESTAMP '{_HALF}'
+                        THEN TIMESTAMP '2024-01-16 00:00:00' ELSE TIMESTAMP '{V.NOW}' END AS labeled_at
+            FROM labeled WHERE label_rv IS NOT NULL""",
+        "labeled",
+    ),
+)
+def _(spark, d):
+    # Features come in two parts, the first one twice; each label is written once.
+    made, rows = _preds(spark, d), V.gold_rows(spark, d)
+    store = scoring.label_table(scratch_path(spark, "labels"))
+    half = F.col("as_of_ts") <= F.lit(_HALF).cast("timestamp_ntz")
+    early = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    for part, at in ((rows.where(half), early), (rows.where(half), now()), (rows.where(~half), now())):
+        scoring.label_new(spark, made, part, store, at, BARS)
+    return shape(store.read(spark), "product_id as_of_ts labeled_at", "label_rv:9")
+
+
+@register(
+    "latest_labeled",
+    table(
+        f"""(SELECT product_id, max(as_of_ts) AS as_of_ts, arg_max(pred_rv, as_of_ts) AS pred_rv,
+                    arg_max(label_rv, as_of_ts) AS label_rv
+             FROM labeled WHERE label_rv IS NOT NULL AND as_of_ts + INTERVAL 5 HOUR <= TIMESTAMP '{_HALF}'
+             GROUP BY 1)""",
+        "product_id as_of_ts",
+        "pred_rv label_rv",
+        "labeled",
+    ),
+)
+def _(spark, d):
+    # The newest prediction that the log has a label for, with it.
+    made, rows = _preds(spark, d), V.gold_rows(spark, d)
+    store = scoring.label_table(scratch_path(spark, "labels"))
+    early = rows.where(F.col("as_of_ts") <= F.lit(_HALF).cast("timestamp_ntz"))
+    scoring.label_new(spark, made, early, store, now(), BARS)
+    known = predictions.with_labels(made, store.read(spark)).where("label_rv IS NOT NULL")
+    newest = predictions.latest_per_product(known.select("product_id", "as_of_ts", "pred_rv", "label_rv"))
+    return shape(newest, "product_id as_of_ts", "pred_rv label_rv")
+
+
 # --- online features in batch, and their parity with gold ------------------
 
 

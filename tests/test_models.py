@@ -194,3 +194,22 @@ def test_first_write_wins_inside_a_batch(spark):
     )
     got = predictions.only_new(rows, rows.where("product_id = 'B'")).collect()
     assert [(r.product_id, r.pred_rv) for r in got] == [("A", 1.0)]
+
+
+def test_the_first_label_wins_and_late_features_label_once(spark):
+    start = datetime(2024, 3, 5, 23, 40)
+    at = lambda m: start + timedelta(minutes=m)
+    made = spark.createDataFrame([("A", at(m)) for m in range(30)], "product_id string, as_of_ts timestamp_ntz")
+    feature = lambda rows: spark.createDataFrame(
+        [("A", at(m), v) for m, v in rows], "product_id string, as_of_ts timestamp_ntz, rv_5m double"
+    )
+    store = scoring.label_table(scratch_path(spark, "t-labels"))
+    now = lambda h: F.lit(f"2024-03-06 0{h}:00:00").cast("timestamp_ntz")
+    assert scoring.label_new(spark, made, feature([(5, 1.0), (6, 2.0), (7, None)]), store, now(1)).count() == 2
+    assert scoring.label_new(spark, made, feature([(5, 9.0), (6, 2.0)]), store, now(2)).count() == 0
+    assert scoring.label_new(spark, made, feature([(7, 3.0), (29, 4.0), (99, 5.0)]), store, now(3)).count() == 2
+    assert scoring.label_new(spark, made, feature([]), store, now(4)).count() == 0
+    rows = {r.as_of_ts: (r.label_rv, r.labeled_at.hour) for r in store.read(spark).collect()}
+    assert rows == {at(0): (1.0, 1), at(1): (2.0, 1), at(2): (3.0, 3), at(24): (4.0, 3)}
+    shown = predictions.with_labels(made, store.read(spark)).where("label_rv IS NOT NULL")
+    assert shown.count() == 4

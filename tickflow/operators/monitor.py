@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickflow.functions.clock import shift, step_floor, step_time
 from tickflow.operators.bars import stream_marks
+from tickflow.operators.ordered import arrival_chunk, over_chunks, previous, trailing_sums
 from tickflow.spec import BarSpec, FeedSpec
 
 
@@ -58,6 +62,76 @@ def latency_quantile(
     )
 
 
+def latency_histogram(
+    latencies: DataFrame,
+    clock: str,
+    value: str,
+    per: str = "10 minutes",
+    relative_error: float = 0.01,
+) -> DataFrame:
+    """(window_ts, bucket, n): counts of latencies in buckets of a constant ratio.
+
+    Bucket b holds values in (g^(b-1), g^b] with g = (1 + e) / (1 - e), so a window has
+    about ln(largest / least) / 2e rows however many values it has; values of zero or
+    less, and those that are no numbers, are in the bucket NULL. Histograms merge by
+    summing ``n``: of parts of a window, of windows, of streams.
+    """
+    log = float(math.log((1 + relative_error) / (1 - relative_error)))
+    bucket = F.when(F.col(value) > 0, F.ceil(F.ln(F.col(value)) / F.lit(log)))
+    return (
+        latencies.groupBy(F.window(clock, per), bucket.cast("long").alias("bucket"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.col("window.start").cast("timestamp_ntz").alias("window_ts"), "bucket", "n")
+    )
+
+
+def histogram_quantile(
+    histogram: DataFrame, q: float = 0.95, relative_error: float = 0.01
+) -> DataFrame:
+    """A quantile per window, within ``relative_error`` of the value at its rank."""
+    ratio = (1 + relative_error) / (1 - relative_error)
+    merged = histogram.groupBy("window_ts", "bucket").agg(F.sum("n").alias("n"))
+    order = W.partitionBy("window_ts").orderBy(F.col("bucket").asc_nulls_first())
+    upto = F.sum("n").over(order.rowsBetween(W.unboundedPreceding, 0))
+    whole = F.sum("n").over(W.partitionBy("window_ts"))
+    found = merged.withColumns({"_upto": upto, "_n": whole})
+    # The first bucket that reaches the rank; its middle in ratio, or zero.
+    found = found.where(F.col("_upto") >= F.ceil(F.lit(q) * F.col("_n")))
+    first = found.groupBy("window_ts").agg(
+        F.max("_n").alias("n"), F.min(F.coalesce("bucket", F.lit(-(2**62)))).alias("_bucket")
+    )
+    middle = F.lit(2.0 / (ratio + 1)) * F.pow(F.lit(ratio), F.col("_bucket"))
+    value = F.when(F.col("_bucket") == -(2**62), F.lit(0.0)).otherwise(middle)
+    return first.select("window_ts", "n", value.alias("latency_q"))
+
+
+def increase(
+    samples: DataFrame,
+    key: str,
+    clock: str,
+    total: str,
+    order: str,
+    seconds: int,
+    spec: FeedSpec = FeedSpec(),
+) -> DataFrame:
+    """Add ``increase``: how much a counter rose in each sample's trailing window.
+
+    A counter that falls has started anew, so the whole new value counts. A key's first
+    sample adds nothing. ``order`` numbers the samples; ties of the clock count together.
+    """
+    chunked = arrival_chunk(samples, spec.chunk_rows, order)
+    linked = over_chunks(chunked, key, order, "chunk", [previous(total, "_before", order)])
+    rise = F.when(F.col("_before").isNull(), F.lit(0)).otherwise(
+        F.when(F.col(total) < F.col("_before"), F.col(total)).otherwise(
+            F.col(total) - F.col("_before")
+        )
+    )
+    rows = linked.withColumn("_rise", rise).drop("chunk")
+    return trailing_sums(
+        rows, key, clock, {"increase": F.col("_rise")}, seconds, max(seconds, 86_400)
+    ).drop("_before", "_rise")
+
+
 def consumer_lag(latest: DataFrame, committed: DataFrame) -> DataFrame:
     """Messages a consumer group is behind, summed over partitions."""
     joined = committed.join(latest, ["topic", "partition"])

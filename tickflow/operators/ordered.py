@@ -122,3 +122,29 @@ def arrival_chunk(df: DataFrame, rows: int, arrival: str = "arrival_seq") -> Dat
     """Cut the arrival order into ranges of at most ``rows`` arrival numbers."""
     seq = F.col(arrival)
     return df.withColumn("chunk", ((seq - F.pmod(seq, F.lit(rows))) / F.lit(rows)).cast("long"))
+
+
+def trailing_sums(
+    rows: DataFrame, key: str, clock: str, sums: dict[str, Column], seconds: int, chunk_seconds: int
+) -> DataFrame:
+    """Add sums over each row's trailing window ``(t - seconds, t]``; peers count.
+
+    ``sums`` has a column for each name. Time is cut into chunks at least as long as the
+    window, and a row is copied into the next chunk where windows reach back to it, so a
+    key is spread over as many tasks as it has chunks.
+    """
+    if chunk_seconds < seconds:
+        raise ValueError("chunks must be at least as long as the window")
+    us, span = seconds * 1_000_000, chunk_seconds * 1_000_000
+    at = F.unix_micros(F.col(clock).cast("timestamp"))
+    no = lambda t: ((t - F.pmod(t, F.lit(span))) / F.lit(span)).cast("long")
+    inner = [f"_v{i}" for i in range(len(sums))]
+    wide = rows.withColumns({"_at": at} | dict(zip(inner, sums.values(), strict=True)))
+    reach = F.sequence(no(F.col("_at")), no(F.col("_at") + (us - 1)))
+    spread = wide.withColumn("_home", no(F.col("_at"))).withColumn("_chunk", F.explode(reach))
+    w = W.partitionBy(key, "_chunk").orderBy("_at").rangeBetween(-(us - 1), 0)
+    # Windows are worked out before copies are dropped.
+    summed = spread.withColumns(
+        {name: F.sum(v).over(w) for name, v in zip(sums, inner, strict=True)}
+    )
+    return summed.where("_chunk = _home").drop("_at", "_home", "_chunk", *inner)

@@ -16,6 +16,7 @@ from tickflow.functions.clock import shift, step_ceil
 from tickflow.functions.flow import skill
 from tickflow.operators.gold import chunk_of
 from tickflow.operators.modelling import tree_inputs
+from tickflow.operators.ordered import trailing_sums
 from tickflow.spec import BarSpec
 
 KEYS = ["product_id", "as_of_ts"]
@@ -70,6 +71,35 @@ def label_join(
     return predictions.join(labels, KEYS, "left")
 
 
+def new_labels(
+    predictions: DataFrame,
+    features: DataFrame,
+    known: DataFrame,
+    now: Column,
+    spec: BarSpec = BarSpec(),
+) -> DataFrame:
+    """Labels that are due and not in ``known`` yet: (product_id, as_of_ts, label_rv, labeled_at).
+
+    The first label of a prediction wins; later feature rows for its time change nothing.
+    """
+    due = label_join(predictions.select(*KEYS).distinct(), features, spec)
+    fresh = due.where("label_rv IS NOT NULL").join(known.select(*KEYS), KEYS, "left_anti")
+    return fresh.select(*KEYS, "label_rv", now.alias("labeled_at"))
+
+
+def with_labels(predictions: DataFrame, labels: DataFrame) -> DataFrame:
+    """Predictions with the label that the log has, if any, and when it was known."""
+    return predictions.join(labels.select(*KEYS, "label_rv", "labeled_at"), KEYS, "left")
+
+
+def trailing_counts(labeled: DataFrame, seconds: int = 3600) -> DataFrame:
+    """Per prediction: predictions and labels of its product in the trailing window."""
+    one = {"predictions": F.lit(1).cast("long"), "labels": F.col("label_rv").isNotNull().cast("long")}
+    rows = labeled.select(*KEYS, "label_rv")
+    chunk = max(seconds, 86_400)
+    return trailing_sums(rows, "product_id", "as_of_ts", one, seconds, chunk).drop("label_rv")
+
+
 def labeled_since(labeled: DataFrame, now: Column, minutes: int) -> DataFrame:
     """Labelled predictions of the trailing window."""
     return labeled.where(

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickflow import schemas
@@ -83,3 +85,41 @@ def score_new(
     new = materialize(predictions.only_new(rows, target.read(spark)), "predictions")
     target.append(new)
     return topics.keyed(new.drop("features", "created_at"), "predictions")
+
+
+def label_table(root: str) -> VersionedTable:
+    schema = schemas.with_day(schemas.LABEL_ROW, "as_of_date")
+    return VersionedTable(root, schema, "as_of_ts", "as_of_date")
+
+
+def label_new(
+    spark: SparkSession,
+    made: DataFrame,
+    features: DataFrame,
+    store: VersionedTable,
+    now: Column,
+    spec: BarSpec = BarSpec(),
+) -> DataFrame:
+    """Append the labels that ``features`` make known, and return them.
+
+    ``features`` are the rows that came in since, such as a day's. Of predictions and of
+    the label log only days that they can label are opened, so a run costs what is new;
+    running it again adds nothing.
+    """
+    span = features.agg(F.min("as_of_ts").alias("lo"), F.max("as_of_ts").alias("hi")).first()
+    if span.lo is None:
+        return spark.createDataFrame([], schemas.LABEL_ROW)
+    ahead = timedelta(seconds=spec.label_seconds)
+
+    def reached(rows: DataFrame) -> DataFrame:
+        lo, hi = (F.lit(t - ahead).cast("timestamp_ntz") for t in (span.lo, span.hi))
+        rows = rows.where((F.col("as_of_ts") >= lo) & (F.col("as_of_ts") <= hi))
+        if "as_of_date" in rows.columns:
+            day = F.col("as_of_date")
+            rows = rows.where((day >= lo.cast("date")) & (day <= hi.cast("date")))
+        return rows
+
+    fresh = predictions.new_labels(reached(made), features, reached(store.read(spark)), now, spec)
+    new = materialize(fresh, "labels")
+    store.append(new)
+    return new

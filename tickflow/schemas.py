@@ -159,6 +159,15 @@ PREDICTION = _struct(
 )
 
 
+#: Realised volatility of a prediction, and when it was known; the first one stays.
+LABEL_ROW = _struct(
+    ("product_id", _S),
+    ("as_of_ts", _TS),
+    ("label_rv", _D),
+    ("labeled_at", _TS),
+)
+
+
 def with_day(schema: T.StructType, name: str) -> T.StructType:
     """A copy of ``schema`` with a day partition column."""
     return T.StructType([*schema.fields, T.StructField(name, T.DateType(), True)])
