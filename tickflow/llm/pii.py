@@ -1,14 +1,16 @@
-"""Personal data by anchor expansion.
+"""Personal data and secrets by anchor expansion.
 
-An Aho-Corasick automaton finds anchors (at-signs, plus signs, URL schemes, words that
-announce an account) in one pass over a text; a deterministic parser at each anchor
-expands and validates the boundaries of what it announces. Runs of digits are anchors
-of their own, found by their first digit.
+An Aho-Corasick automaton finds anchors (at-signs, plus signs, digits, URL schemes, words
+that announce an account, a password or a key, prefixes of key formats) in one pass over
+a text whose ASCII letters are folded to lower case; a deterministic parser at each
+anchor expands and validates the boundaries of what it announces, in the text as it is.
+Of a run of digits the first one is the anchor.
 """
 
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 
 # The base kinds, in the order in which they are listed, then the added ones.
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "address", "account")
+KINDS = (*BASE_KINDS, "address", "account", "secret")
 SCHEMES = ("http://", "https://", "ftp://", "ssh://", "mailto:")
 CUES = (
     *("iban", "account number", "account no", "acct", "routing number"),
@@ -27,11 +29,38 @@ CUES = (
     *("ssn", "social security number"),
 )
 
+#: Names of values that are secret where a sign and a value follow.
+NAMES = (
+    *("password", "passwd", "passphrase", "pwd", "secret", "token", "bearer"),
+    *("api key", "api_key", "api-key", "apikey", "access key", "access_key", "access-key"),
+    *("private key", "private_key", "client_secret", "passwort", "kennwort"),
+    *("mot de passe", "contraseña"),
+)
+#: Key formats by their prefix: what the whole key looks like.
+KEY_FORMATS = {
+    "akia": r"AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
+    "asia": r"ASIA[A-Z0-9]{16}(?![A-Za-z0-9])",
+    "aiza": r"AIza[A-Za-z0-9_-]{35}(?![A-Za-z0-9_-])",
+    "ghp_": r"ghp_[A-Za-z0-9]{36,}",
+    "gho_": r"gho_[A-Za-z0-9]{36,}",
+    "ghs_": r"ghs_[A-Za-z0-9]{36,}",
+    "github_pat_": r"github_pat_[A-Za-z0-9_]{22,}",
+    "glpat-": r"glpat-[A-Za-z0-9_-]{20,}",
+    "xoxb-": r"xoxb-[A-Za-z0-9-]{10,}",
+    "xoxp-": r"xoxp-[A-Za-z0-9-]{10,}",
+    "sk_live_": r"sk_live_[A-Za-z0-9]{16,}",
+    "sk-": r"sk-[A-Za-z0-9_-]{20,}",
+    "eyj": r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]*",
+    "-----begin ": r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY( BLOCK)?-----"
+    r"(?:[A-Za-z0-9+/=:,.\s-]*?-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----)?",
+}
+_FORMATS = {prefix: re.compile(pattern) for prefix, pattern in KEY_FORMATS.items()}
+_FOLD = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+_VALUE = re.compile(r"[\"']?(?:\s{0,3}(?:[:=]|=>|is)\s{0,3}|\s)[\"']?([^\s\"'<>,;]{6,200})")
+
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-# The look-behind only spares starts inside a run of digits, which can't match where
-# the run's first digit doesn't.
-_IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
+_IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _USER_HOST = re.compile(
@@ -49,14 +78,13 @@ Span = tuple[int, int, int]
 @lru_cache(maxsize=1)
 def _anchors() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
-    found.add_word("@", "@")
-    found.add_word("+", "+")
-    for scheme in SCHEMES:
-        for written in (scheme, scheme.upper(), scheme.capitalize()):
-            found.add_word(written, scheme)
-    for cue in CUES:
-        for written in (cue, cue.upper(), cue.capitalize(), cue.title()):
-            found.add_word(written, cue)
+    for mark in ("@", "+"):
+        found.add_word(mark, (mark, mark))
+    for digit in string.digits:
+        found.add_word(digit, ("0", digit))
+    for what, words in (("scheme", SCHEMES), ("cue", CUES), ("name", NAMES), ("key", KEY_FORMATS)):
+        for word in words:
+            found.add_word(word, (what, word))
     found.make_automaton()
     return found
 
@@ -72,8 +100,20 @@ def _emails(text: str, at_signs: list[int]) -> Iterator[Span]:
             yield 0, start, last
 
 
-def _ips(text: str) -> Iterator[Span]:
-    for match in _IP.finditer(text):
+def _runs(pattern: re.Pattern, text: str, runs: list[int]) -> Iterator[re.Match]:
+    """Matches from the first digits of runs on, leftmost and without overlaps.
+
+    No match can start inside a run whose first digit starts none.
+    """
+    last = 0
+    for at in runs:
+        if at >= last and (match := pattern.match(text, at)):
+            last = match.end()
+            yield match
+
+
+def _ips(text: str, runs: list[int]) -> Iterator[Span]:
+    for match in _runs(_IP, text, runs):
         parts = [p.lstrip("0") for p in match[0].split(".")]
         if all(len(p) <= 3 and int(p or 0) <= 255 for p in parts):
             yield 1, match.start(), match.end()
@@ -87,8 +127,8 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
-def _cards(text: str) -> Iterator[Span]:
-    for match in _CARD.finditer(text):
+def _cards(text: str, runs: list[int]) -> Iterator[Span]:
+    for match in _runs(_CARD, text, runs):
         if match.end() - match.start() >= 12:
             digits = match[0].replace(" ", "").replace("-", "")
             if 12 <= len(digits) <= 19 and luhn(digits):
@@ -134,24 +174,50 @@ def _account(text: str, cue: str, at: int) -> Span | None:
     return (5, match.start(), match.end()) if match else None
 
 
+def _named(text: str, name: str, at: int) -> Span | None:
+    """The value that a secret's name announces: no mere word, but with a digit or a sign."""
+    match = _VALUE.match(text, at)
+    if not match:
+        return None
+    value = match[1].rstrip(".!?)]}")
+    plain = name == "bearer" or any(c in ":=" for c in text[at : match.start(1)])
+    odd = sum(not c.isalpha() for c in value)
+    if len(value) < 6 or not odd or (not plain and (len(value) < 12 or odd < 2)):
+        return None
+    return 6, match.start(1), match.start(1) + len(value)
+
+
+def _key(text: str, prefix: str, at: int) -> Span | None:
+    match = _FORMATS[prefix].match(text, at - len(prefix))
+    return (6, match.start(), match.end()) if match else None
+
+
+_PARSERS = {"scheme": _address, "cue": _account, "name": _named, "key": _key}
+
+
 def spans_of(text: str) -> list[Span]:
     """(kind number, start, end) in code points, by start, then kind, then end."""
-    marks: dict[str, list[int]] = {"@": [], "+": []}
+    marks: dict[str, list[int]] = {"@": [], "+": [], "0": []}
     found: set[Span] = set()
-    for end, what in _anchors().iter(text):
-        if what in marks:
+    before = -2
+    folded = text.lower() if text.isascii() else text.translate(_FOLD)
+    for end, (what, word) in _anchors().iter(folded):
+        if what == "0":
+            if end != before + 1:
+                marks["0"].append(end)
+            before = end
+        elif what in marks:
             marks[what].append(end)
-            continue
-        begin = end + 1 - len(what)
-        if begin > 0 and text[begin - 1].isalnum():
-            continue
-        parse = _address if what in SCHEMES else _account
-        if span := parse(text, what, end + 1):
-            found.add(span)
+        else:
+            begin = end + 1 - len(word)
+            if begin and text[begin - 1].isalnum() and word[0].isalnum():
+                continue
+            if span := _PARSERS[what](text, word, end + 1):
+                found.add(span)
     found.update(_emails(text, marks["@"]))
     found.update(_phones(text, marks["+"]))
-    found.update(_ips(text))
-    found.update(_cards(text))
+    found.update(_ips(text, marks["0"]))
+    found.update(_cards(text, marks["0"]))
     return sorted(found, key=lambda s: (s[1], s[0], s[2]))
 
 
@@ -159,7 +225,7 @@ def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     """One row per input row: doc_id and ``spans``, an array of (kind, start, end).
 
     Offsets count code points, the end is exclusive; spans go by start, then kind as
-    listed. Spans of one base kind don't overlap; of different kinds they may. Null and
+    listed. Spans of one base kind don't overlap; other spans may, also with those. Null and
     empty texts have none. Repeated rows are scanned alike; an empty table gives an empty
     result; other columns are not read.
     """
