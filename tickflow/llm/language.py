@@ -24,6 +24,8 @@ from tickflow.llm.shingles import slices, string_buffers
 UNKNOWN = "und"
 #: Texts scored together; a text's counts take 256 KB.
 SCORED = 64
+#: Bytes whose n-grams are counted together.
+SPAN = 1 << 20
 _U = np.uint32
 
 
@@ -86,14 +88,22 @@ def gram_places(raw: np.ndarray, spec: LanguageSpec) -> list[np.ndarray]:
 def gram_counts(
     raw: np.ndarray, offsets: np.ndarray, group: np.ndarray, n_groups: int, spec: LanguageSpec
 ) -> np.ndarray:
-    """N-gram counts, a row for each group of texts. N-grams don't cross texts."""
-    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    at = []
-    for size, place in zip(spec.sizes, gram_places(raw, spec), strict=True):
-        n = len(place)
-        inside = np.flatnonzero((place >= 0) & (owner[:n] == owner[size - 1 :][:n]))
-        at.append(group[owner[inside]] * spec.places + place[inside])
-    counts = np.bincount(np.concatenate(at), minlength=n_groups * spec.places)
+    """N-gram counts, a row for each group of texts. N-grams don't cross texts.
+
+    Long texts are gone through in spans, so memory follows the span, not the text.
+    """
+    counts = np.zeros(n_groups * spec.places, dtype=np.int64)
+    for begin in range(0, len(raw), SPAN):
+        part = raw[begin : begin + SPAN + max(spec.sizes) - 1]
+        sizes = np.diff(np.clip(offsets, begin, begin + len(part)))
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        at = []
+        for size, place in zip(spec.sizes, gram_places(part, spec), strict=True):
+            place = place[:SPAN]
+            n = len(place)
+            inside = np.flatnonzero((place >= 0) & (owner[:n] == owner[size - 1 :][:n]))
+            at.append(group[owner[inside]] * spec.places + place[inside])
+        counts += np.bincount(np.concatenate(at), minlength=len(counts))
     return counts.reshape(n_groups, spec.places)
 
 
