@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from tickflow.llm.queries_free import op4
-from tickflow.llm.toxicity import score_toxicity, segments, train
+from tickflow.llm.toxicity import ToxicSpec, hits, score_toxicity, segments, train
 
 
 def maximal(scores):
@@ -25,7 +25,7 @@ def test_segments_are_the_maximal_ones():
     table = {"bad": 3.0, "worse": 5.0, "odd": 1.0, "good": -2.0}
     for _ in range(300):
         words = rng.choices([*table, "the"], weights=[1, 1, 2, 3, 4], k=rng.randint(0, 25))
-        got = segments(words, table, 0.37)
+        got = segments(hits(words, table), 0.37)
         scores = [table.get(w, 0.0) - 0.37 for w in words]
         assert [(a, b) for a, b, _ in got] == maximal(scores)
         assert all(abs(s - sum(scores[a:b])) < 1e-9 for a, b, s in got)
@@ -61,6 +61,17 @@ def test_made_up_passages(spark, edge, empty):
     assert score_toxicity(empty, model).count() == 0
 
 
+def test_a_model_too_large_to_broadcast_scores_alike(spark, edge, empty):
+    docs = made_up(spark).withColumnRenamed("toxic", "label").withColumn("toxic", F.col("label"))
+    learned = docs.filter("doc_id < 400").select("text", "toxic")
+    small, large = train(learned), train(learned, ToxicSpec(broadcast_words=3))
+    assert large.scores is None and large.table.count() == len(small.scores) > 3
+    for df in (docs, edge, empty):
+        one, two = (score_toxicity(df, m).collect() for m in (small, large))
+        key = lambda r: (str(r.doc_id), r.n_words, round(r.score, 9), [tuple(p) for p in r.passages])
+        assert sorted(map(key, one), key=str) == sorted(map(key, two), key=str) and len(one) == df.count()
+
+
 def test_every_significant_word_is_in_the_model(spark):
     """More of them than any round bound: 30,000 words that are only in toxic texts."""
     words = ["".join(chr(97 + i // 26**k % 26) for k in range(4)) for i in range(30_000)]
