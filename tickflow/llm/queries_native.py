@@ -106,22 +106,27 @@ def _license_sql() -> str:
             '[^a-z0-9]+', ' ', 'g'))
           GROUP BY r"""
 
+    rules = ", ".join(
+        "{'rest': '', 'found': []::VARCHAR[], 'seq': '%s', 'lic': '%s'}"
+        % ("".join(f"|{n}|" for n in names), licence)
+        for licence, names in rule_sequences()
+    )
+
     def matches(ids: str) -> str:
-        rest, found = ids, []
-        for licence, names in rule_sequences():
-            sequence = "".join(f"|{n}|" for n in names)
-            found.append(f"CASE WHEN contains({rest}, '{sequence}') THEN '{licence}' END")
-            rest = f"replace({rest}, '{sequence}', '-')"
-        return ", ".join(found)
+        return f"""
+          (list_reduce(list_prepend({{'rest': {ids}, 'found': []::VARCHAR[], 'seq': '', 'lic': ''}}, rules),
+             lambda a, x: {{'rest': replace(a.rest, x.seq, '-'),
+                           'found': CASE WHEN contains(a.rest, x.seq) THEN list_append(a.found, x.lic)
+                                         ELSE a.found END, 'seq': '', 'lic': ''}})).found"""
 
     return f"""
     WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
     known(sentence, name) AS (VALUES {known}),
     a AS ({cut(ENDS)}), b AS ({cut(LINE_ENDS)}),
     f AS (
-      SELECT doc_id, a.ids AS w, b.ids AS l, list_sort(list_distinct(list_filter(
-        [{matches("a.ids")}, {matches("b.ids")}], lambda x: x IS NOT NULL))) AS licences
-      FROM d JOIN a USING (r) JOIN b USING (r)
+      SELECT doc_id, a.ids AS w, b.ids AS l,
+             list_sort(list_distinct(list_concat({matches("a.ids")}, {matches("b.ids")}))) AS licences
+      FROM d JOIN a USING (r) JOIN b USING (r), (SELECT [{rules}] AS rules) known_rules
     )
     SELECT doc_id,
            replace(trim(CASE WHEN length(l) > length(w) THEN l ELSE w END, '|'), '||', ',')
