@@ -39,6 +39,39 @@ def test_compaction_merges_files_and_keeps_rows(spark, bars):
     assert before.exceptAll(after).isEmpty() and after.count() == 4000
 
 
+def test_compaction_rewrites_fragmented_days_alone(spark, bars):
+    """Untouched days keep their files; readers see one version throughout."""
+    table = refresh.trade_bar_table(scratch_path(spark, "t-days"))
+    table.publish(bars)
+    day = F.col("bar_ts").cast("date") == F.lit("2026-07-28").cast("date")
+    for i in range(3):
+        table.append(bars.where(day & (F.col("trade_count") % 3 == i)))
+    held = table.read(spark)
+    want = held.count()
+    whole = {f for f in held.inputFiles() if "2026-07-28" not in f}
+    assert list(table.fragmented(spark)) == ["bar_date=2026-07-28"]
+    assert table.compact(spark) == 2
+    now = table.read(spark)
+    assert whole == {f for f in now.inputFiles() if "2026-07-28" not in f}
+    assert len(now.inputFiles()) == 3 and now.count() == want == held.count()
+    assert held.exceptAll(now).isEmpty() and set(now.columns) == set(held.columns)
+    assert table.compact(spark) == 2  # nothing left to do
+    # Rows that are added later join a day that was taken over.
+    first = F.col("bar_ts").cast("date") == F.lit("2026-07-27").cast("date")
+    table.append(bars.where(first))
+    grown = table.read(spark)
+    assert grown.count() == want + bars.where(first).count()
+    assert table.compact(spark) == 3 and table.retain(spark, keep=1) == [1, 2]
+    last = table.read(spark)
+    assert grown.count and last.count() == want + bars.where(first).count()
+    assert len(last.inputFiles()) == 3 and table.versions(spark) == [3]
+    plan = last.where(F.col("bar_date") == F.lit("2026-07-28").cast("date"))
+    assert len(plan.inputFiles()) == 3 and plan.count() == 2 * bars.where(day).count()
+    table.publish(bars.limit(7))
+    table.retain(spark, keep=1)
+    assert table.read(spark).count() == 7 and table.versions(spark) == [4]
+
+
 def test_versions_are_retained_and_reset(spark, bars):
     table = refresh.trade_bar_table(scratch_path(spark, "t-versions"))
     assert table.read(spark).isEmpty()
