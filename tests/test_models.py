@@ -213,3 +213,24 @@ def test_the_first_label_wins_and_late_features_label_once(spark):
     assert rows == {at(0): (1.0, 1), at(1): (2.0, 1), at(2): (3.0, 3), at(24): (4.0, 3)}
     shown = predictions.with_labels(made, store.read(spark)).where("label_rv IS NOT NULL")
     assert shown.count() == 4
+
+
+def test_the_first_arrival_wins_and_old_days_stay_closed(spark):
+    rows = spark.createDataFrame(
+        [("A", T0, 9.0, 1), ("A", T0, 2.0, 2), ("B", T0, 5.0, 3)],
+        "product_id string, as_of_ts timestamp_ntz, pred_rv double, seq long",
+    )
+    known = rows.where("product_id = 'B'")
+    by_arrival = predictions.only_new(rows, known, F.col("seq")).collect()
+    assert [(r.product_id, r.pred_rv) for r in by_arrival] == [("A", 9.0)]
+    assert [r.pred_rv for r in predictions.only_new(rows, known).collect()] == [2.0]
+    keys = rows.select("product_id", "as_of_ts")
+    assert predictions.only_new(keys, keys.limit(0)).count() == 2
+    table = scoring.prediction_table(scratch_path(spark, "t-known"))
+    wide = rows.select("product_id", "as_of_ts", "pred_rv", *[
+        F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.PREDICTION.fields[2:] if f.name != "pred_rv"
+    ])
+    table.publish(wide.unionByName(wide.withColumn("as_of_ts", F.col("as_of_ts") + F.make_dt_interval(F.lit(9)))))
+    found = scoring.on_days_of(table.read(spark), rows)
+    assert "PartitionFilters: [isnotnull(as_of_date" in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 3

@@ -46,14 +46,18 @@ def score(
     return prediction_rows(raw, F.col("trees"), F.lit(version), spec)
 
 
-def only_new(rows: DataFrame, existing: DataFrame) -> DataFrame:
+def only_new(rows: DataFrame, existing: DataFrame, order: Column | None = None) -> DataFrame:
     """Rows whose key is not in the target yet, one for each key: the first write wins.
 
-    Of rows with one key, which arrive together, the least one counts as the first.
+    Of rows with one key that arrive together the first one by ``order`` counts, such as
+    their arrival number; without an order, the least one by its columns.
     """
     rest = [c for c in rows.columns if c not in KEYS]
-    first = rows.groupBy(*KEYS).agg(F.min(F.struct(*rest)).alias("_row"))
-    one = first.select(*KEYS, "_row.*").select(*rows.columns)
+    if not rest:
+        return rows.distinct().join(existing.select(*KEYS), KEYS, "left_anti")
+    row = F.struct(*rest)
+    first = F.min(row) if order is None else F.min_by(row, F.struct(order, row))
+    one = rows.groupBy(*KEYS).agg(first.alias("_row")).select(*KEYS, "_row.*").select(*rows.columns)
     return one.join(existing.select(*KEYS), KEYS, "left_anti")
 
 

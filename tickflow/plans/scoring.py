@@ -66,6 +66,15 @@ def prediction_table(root: str) -> VersionedTable:
                           "as_of_date")
 
 
+def on_days_of(table: DataFrame, features: DataFrame) -> DataFrame:
+    """Rows of a day-partitioned table in the span of the features' clock, as a pruned scan."""
+    span = features.agg(F.min("as_of_ts").alias("lo"), F.max("as_of_ts").alias("hi")).first()
+    if span.lo is None:
+        return table.limit(0)
+    lo, hi = (F.lit(t).cast("timestamp_ntz").cast("date") for t in (span.lo, span.hi))
+    return table.where((F.col("as_of_date") >= lo) & (F.col("as_of_date") <= hi))
+
+
 def score_new(
     spark: SparkSession,
     features: DataFrame,
@@ -77,12 +86,14 @@ def score_new(
 ) -> DataFrame:
     """Score rows that have no prediction yet, append them, return their records.
 
-    Running it again with the same features adds nothing.
+    Only days of the target that the features fall on are opened. Running it again with
+    the same features adds nothing.
     """
     rows = predictions.score(features, model, version, spec).withColumn(
         "created_at", created_at
     )
-    new = materialize(predictions.only_new(rows, target.read(spark)), "predictions")
+    known = on_days_of(target.read(spark), features)
+    new = materialize(predictions.only_new(rows, known), "predictions")
     target.append(new)
     return topics.keyed(new.drop("features", "created_at"), "predictions")
 
