@@ -293,7 +293,13 @@ class _Open:
         least = self.facts.filter("large").groupBy(F.col("component").alias("_whole"))
         least = least.agg(F.min("n_shingles").alias("_least"))
         other = F.col("component") != F.col("_whole")
-        asked = self.first.join(whole, "shingle").filter(other).select("rep", "_whole").distinct()
+        # What a link with the component's smallest set, or any larger one, has in common.
+        n, p = F.col("n_shingles"), self.percent
+        need = F.greatest(
+            F.floor((p * n + 99) / 100), F.floor((p * (n + F.col("_least")) + 99 + p) / (100 + p))
+        )
+        met = self.first.join(whole, "shingle").filter(other).join(least, "_whole")
+        asked = met.filter(F.col("place") <= n - need + 1).select("rep", "_whole").distinct()
         asked = materialize(asked, "asked")
         shared = self.tokens.join(asked, "rep").join(whole, ["shingle", "_whole"])
         shared = shared.groupBy("rep", "_whole").agg(

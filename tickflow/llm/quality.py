@@ -161,7 +161,8 @@ def _judged(rows: DataFrame, spec: QualitySpec) -> DataFrame:
     lost = materialize(lost.select("_doc", "removed_words", "removed_lines"), "lost")
     # Only rows that may lose lines meet them; the others stay where they are read.
     hit = with_hit(rows, ["_doc"], bitmap(lost, ["_doc"]), "_hit")
-    losing = join_dealt(base_measures(hit.filter("_hit").drop("_hit")), lost, "_doc", "left")
+    # The facts grow with the rows, so they are joined alike at every size.
+    losing = join_dealt(base_measures(hit.filter("_hit").drop("_hit")), lost.hint("merge"), "_doc", "left")
     whole = base_measures(hit.filter("NOT _hit").drop("_hit"))
     whole = whole.select("*", *[F.lit(None).cast(t).alias(c) for c, t in lost.dtypes if c != "_doc"])
     pct = F.lit(100).cast("long")
