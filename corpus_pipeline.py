@@ -78,7 +78,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     odd = materialize(odd.filter("_uses <> 1"), "odd")
     hit = with_hit(rows, ["_key"], bitmap(odd, ["_key"]), "_hit")
     once = hit.filter("NOT _hit").select("_row")
-    met = join_dealt(hit.filter("_hit"), odd, "_key", "left")
+    # The facts grow with the rows, so they are joined alike at every size.
+    met = join_dealt(hit.filter("_hit"), odd.hint("merge"), "_key", "left")
     met = met.withColumn("_uses", F.coalesce("_uses", F.lit(1))).filter("_uses > 0")
     met = met.select("_row", F.explode(F.sequence(F.lit(1), F.col("_uses")))).select("_row")
     return once.union(met).select("_row.*")
