@@ -110,6 +110,28 @@ def test_shared_folder_comes_from_the_session(spark):
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
 
 
+def test_scratch_tables_go_with_their_work(spark):
+    import os
+
+    from tickflow.session import Scratch, materialize
+
+    gone = lambda df: not os.path.exists(df.inputFiles()[0].removeprefix("file://"))
+    with Scratch(spark) as outer:
+        first = materialize(spark.range(5), "t-first")
+        with Scratch(spark) as inner:
+            second = materialize(first, "t-second")
+            kept = inner.keep(second.selectExpr("id * 2 AS id"), "t-kept")
+            assert not gone(second)
+        assert gone(second) and not gone(first) and kept.count() == 5
+        last = outer.keep(kept, "t-last")
+    assert gone(first) and gone(kept) and last.count() == 5
+    free = materialize(spark.range(1), "t-free")
+    with pytest.raises(ValueError), Scratch(spark):
+        lost = materialize(free, "t-lost")
+        raise ValueError
+    assert gone(lost) and not gone(free) and not Scratch._open
+
+
 def test_records_are_keyed_and_limited(spark, bars):
     spec = FeedSpec(max_message_bytes=120, truncated_bytes=32)
     wide = bars.limit(4).withColumn("pad", F.when(F.col("trade_count") == 1, F.repeat(F.lit("x"), 500)))

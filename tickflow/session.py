@@ -55,8 +55,39 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def write_scratch(df: DataFrame, name: str, partition_by: str | None = None) -> str:
-    """Write ``df`` as a scratch table in the shared folder; returns its path."""
+class Scratch:
+    """Scratch tables of one piece of work, which go when it is done.
+
+    Within ``with Scratch(spark) as scratch`` all tables that ``materialize`` writes are
+    deleted at the end, but for those that ``scratch.keep`` writes. Nothing that is still
+    to be read may depend on the others.
+    """
+
+    _open: list[Scratch] = []
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        Scratch._open.append(self)
+        return self
+
+    def __exit__(self, *error) -> None:
+        Scratch._open.remove(self)
+        for path in self.paths:
+            target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """A written table that stays until the driver ends, or for the work around this."""
+        path = _write(df, name, None)
+        outer = Scratch._open[: Scratch._open.index(self)]
+        if outer:
+            outer[-1].paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
+def _write(df: DataFrame, name: str, partition_by: str | None) -> str:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     writer = df.write.mode("errorifexists")
@@ -67,6 +98,14 @@ def write_scratch(df: DataFrame, name: str, partition_by: str | None = None) ->
     return path
 
 
+def write_scratch(df: DataFrame, name: str, partition_by: str | None = None) -> str:
+    """Write ``df`` as a scratch table in the shared folder; returns its path."""
+    path = _write(df, name, partition_by)
+    if Scratch._open:
+        Scratch._open[-1].paths.append(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write once, read many: cuts lineage behind an expensive step.
 
