@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_registered():
-    assert {"pipeline", *(f"op{n}" for n in range(1, 11))} <= {
+    assert {"pipeline", *(f"op{n}" for n in range(1, 14))} <= {
         name.split("_")[0] for name in __spark_entry__.queries()
     }
     assert [name for name, _ in corpus_pipeline.STAGES] == [

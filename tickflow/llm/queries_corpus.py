@@ -75,12 +75,14 @@ WITH pieces AS (
   SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(a) AS most
   FROM c, range(2, 4) sizes(m), range(1, 4) places(i)
   WHERE m < len AND i + m - 1 <= len GROUP BY ALL
+), parts AS MATERIALIZED (
+  SELECT lang, phrase, a, k, array_to_string(ws[:k], ' ') AS head, array_to_string(ws[k + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, len)) AS k FROM c)
 ), cuts AS (
-  SELECT c.lang, c.phrase, c.a, k, l.f AS l, r.f AS r,
-         ((2000000::HUGEINT * c.a) // (l.f::HUGEINT + r.f))::BIGINT AS score
-  FROM c, range(1, 4) cut(k), f l, f r
-  WHERE k < c.len AND l.lang = c.lang AND r.lang = c.lang
-    AND l.phrase = array_to_string(ws[:k], ' ') AND r.phrase = array_to_string(ws[k + 1:], ' ')
+  SELECT p.lang, p.phrase, p.a, k, l.f AS l, r.f AS r,
+         ((2000000::HUGEINT * p.a) // (l.f::HUGEINT + r.f))::BIGINT AS score
+  FROM parts p JOIN f l ON l.lang = p.lang AND l.phrase = p.head
+  JOIN f r ON r.lang = p.lang AND r.phrase = p.rest
 ), lowest AS (
   SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
 ), ranked AS (
