@@ -9,8 +9,9 @@ from checks.queries import _BB, _GOLD, _TB, now, register, shape
 from checks.sql import table
 from checks.views import BARS, FEED
 from tickflow import schemas
+from tickflow.operators import book, router
 from tickflow.plans import refresh
-from tickflow.session import scratch_path, write_scratch
+from tickflow.session import materialize, scratch_path, write_scratch
 from tickflow.sources.topics import FileTopic
 from tickflow.streaming import bars as stream_bars
 from tickflow.streaming import online
@@ -74,6 +75,28 @@ def _(spark, d):
     return shape(drain(closed, "book-bars", schemas.BOOK_BAR), *_BB)
 
 
+_TAKEN = (
+    "product_id arrival_seq segment conn_epoch",
+    "best_bid best_bid_qty best_ask best_ask_qty bid_depth5 ask_depth5 mid spread ofi_delta",
+)
+
+
+@register("stream_takeover", table("tops", *_TAKEN, "tops"))
+def _(spark, d):
+    # A batch up to the middle of the feed; a stream goes on from the books it left.
+    stream_bars.use_state_store(spark)
+    rows = V.feed(spark, d)
+    half = F.col("arrival_seq") < F.lit(rows.agg(F.max("arrival_seq")).first()[0] // 2)
+    first = materialize(router.book_messages(router.route(rows.where(half))), "first-half")
+    done = materialize(book.book_tops(first, FEED), "first-tops")
+    opening = materialize(book.closing_books(first, done, FEED), "closing-books")
+    raw = FileTopic(write_scratch(rows.where(~half), "feed")).stream(spark)
+    live = stream_bars.book_tops(raw, FEED, opening)
+    rest = drain(live, "rest-tops", live.schema)
+    columns = [c for part in _TAKEN for c in part.split()]
+    return shape(done.select(columns).unionByName(rest.select(columns)), *_TAKEN)
+
+
 # Gold over the bars that the live job has closed.
 _LIVE_BARS = {
     "trade_bars": (
