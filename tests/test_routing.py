@@ -213,3 +213,14 @@ def test_unreadable_levels_are_dead_letters(spark):
         (2, "unreadable levels in snapshot: 1"),
     ]
     assert json.loads(letters[0].raw) == feed[0]
+
+
+def test_a_message_is_parsed_once_whatever_is_asked_of_it(spark):
+    """Filters on what routing found do not bring copies of the parser with them."""
+    routed = router.route(raw(spark, match(1), heartbeat(2), "{bad"))
+    asked = [router.trades(routed), router.book_messages(routed), router.heartbeats(routed),
+             router.dead_letters(routed), router.oversize_letters(routed),
+             router.unreadable_levels(routed), router.counters(routed)]
+    for rows in asked:
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(StructField(type,") == 1
