@@ -9,11 +9,25 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from tickflow.operators.book import Replay, Side, flow_delta
-
+from tickflow.operators.book import Replay, Side, flat, flow_delta
+from tickflow.streaming.sorted_runs import in_order
+
+# What a book needs of a message; Arrow holds a message in about a hundred bytes.
+_MESSAGE = pa.schema(
+    [
+        ("arrival_seq", pa.int64()),
+        ("event_ts", pa.timestamp("us")),
+        ("conn_epoch", pa.int64()),
+        ("is_snapshot", pa.bool_()),
+        ("is_bid", pa.list_(pa.bool_())),
+        ("price", pa.list_(pa.float64())),
+        ("size", pa.list_(pa.float64())),
+    ]
+)
 _LEVEL_KEY = T.StructType([T.StructField("rank", T.DoubleType())])
 _LEVEL = T.StructType([T.StructField("size", T.DoubleType())])
 _META = T.StructType(
@@ -73,7 +87,6 @@ class BookState(StatefulProcessor):
         self.meta.update((epoch, *before, int(row.segment), int(row.last_seq), 0, 0))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        frame = pd.concat(list(rows)).sort_values("arrival_seq")
         book = Replay(self.depth)
         self._load(book.bids, self.bids)
         self._load(book.asks, self.asks)
@@ -83,39 +96,50 @@ class BookState(StatefulProcessor):
             epoch, segment, last_seq = stored[0], stored[5], stored[6]
             disorder, dropped = stored[7], stored[8]
             before = tuple(stored[1:5]) if stored[1] is not None else None
-        fresh, touched, out = False, set(), []
-        for row in frame.itertuples(index=False):
-            seq = int(row.arrival_seq)
-            if last_seq is not None and seq < last_seq:
-                disorder += 1
-            last_seq = seq if last_seq is None else max(last_seq, seq)
-            own = None if pd.isna(row.conn_epoch) else int(row.conn_epoch)
-            if row.is_snapshot:
-                epoch, before, fresh = own, None, True
-                segment += 1
-                touched.clear()
-            elif own != epoch:
-                dropped += 1
-                continue
-            prices = [float("nan") if p is None else p for p in row.price]
-            sizes = [float("nan") if q is None else q for q in row.size]
-            book.apply(row.is_snapshot, row.is_bid, prices, sizes)
-            touched.update(zip(map(bool, row.is_bid), prices))
-            top = book.top()
-            if top is None:
-                continue
-            flow = 0.0 if before is None else flow_delta(before, top[:4])
-            before = top[:4]
-            shown = -1 if epoch is None else epoch
-            out.append(
-                (key[0], seq, segment, row.event_ts, *top, flow, shown, disorder, dropped)
-            )
+        fresh, touched = False, set()
+        messages = (
+            pa.Table.from_pandas(frame[_MESSAGE.names], _MESSAGE, preserve_index=False)
+            for frame in rows
+        )
+        for block in in_order(messages, "arrival_seq"):
+            columns = {n: block[n].combine_chunks() for n in block.column_names}
+            clock = columns["event_ts"].to_numpy(zero_copy_only=False)
+            at, prices = flat(columns["price"])
+            at_size, sizes = flat(columns["size"])
+            at_side, sides = flat(columns["is_bid"])
+            out, shown_at = [], []
+            heads = [columns[n].to_pylist() for n in ("arrival_seq", "conn_epoch", "is_snapshot")]
+            for i, (seq, own, snap) in enumerate(zip(*heads)):
+                if last_seq is not None and seq < last_seq:
+                    disorder += 1
+                last_seq = seq if last_seq is None else max(last_seq, seq)
+                if snap:
+                    epoch, before, fresh = own, None, True
+                    segment += 1
+                    touched.clear()
+                elif own != epoch:
+                    dropped += 1
+                    continue
+                price = prices[at[i] : at[i + 1]]
+                side = sides[at_side[i] : at_side[i + 1]]
+                book.apply(snap, side, price, sizes[at_size[i] : at_size[i + 1]])
+                touched.update(level for level in zip(side, price) if level[1] == level[1])
+                top = book.top()
+                if top is None:
+                    continue
+                flow = 0.0 if before is None else flow_delta(before, top[:4])
+                before = top[:4]
+                shown = -1 if epoch is None else epoch
+                shown_at.append(i)
+                out.append((key[0], seq, segment, None, *top, flow, shown, disorder, dropped))
+            if out:
+                tops = pd.DataFrame(out, columns=self.output.names)
+                yield tops.assign(event_ts=clock[shown_at])
         self._store(book.bids, self.bids, fresh, [p for bid, p in touched if bid])
         self._store(book.asks, self.asks, fresh, [p for bid, p in touched if not bid])
         self.meta.update(
             (epoch, *(before or (None,) * 4), segment, last_seq, disorder, dropped)
         )
-        yield pd.DataFrame(out, columns=self.output.names)
 
     def close(self) -> None:
         pass
