@@ -16,7 +16,7 @@ from tickflow.session import materialize, scratch_path
 from tickflow.sources.topics import FileTopic, json_bars
 from tickflow.spec import BarSpec, FeedSpec
 from tickflow.streaming import bars as stream_bars
-from tickflow.streaming import online
+from tickflow.streaming import book_state, online
 
 T0 = datetime(2024, 3, 5, 9, 0, 0)
 
@@ -159,6 +159,42 @@ def test_a_stream_takes_over_a_batch_in_mid_segment(spark):
         assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
+class Kept(dict):
+    """Map and value state in memory."""
+
+    def updateValue(self, key, value):
+        self[key] = value
+
+    def update(self, value):
+        self["all"] = value
+
+
+def test_books_to_take_over_travel_without_lists(spark):
+    """What rides along with a batch's messages is flat, and nothing of a book is lost in it."""
+    before = [0.1, 1e-300, 1e22, 2.0]
+    books = spark.createDataFrame(
+        [
+            ("A", 3, 2**62 + 1, 7, before, [True, False], [0.1, float("inf")], [1e-7, 0.3]),
+            ("B", 0, None, 9, [None] * 4, None, None, None),
+        ],
+        "product_id string, segment long, epoch long, last_seq long, before array<double>,"
+        " is_bid array<boolean>, price array<double>, size array<double>",
+    )
+    packed = book_state.packed(books)
+    assert packed.dtypes == [("product_id", "string"), ("book", "string")]
+    rows = packed.orderBy("product_id").toPandas()
+    found = []
+    for i in range(2):
+        state = book_state.BookState(5)
+        state.bids, state.asks, state.meta = Kept(), Kept(), Kept()
+        state.handleInitialState((rows["product_id"][i],), rows[i : i + 1], None)
+        found.append((dict(state.bids), dict(state.asks), state.meta["all"]))
+    assert found == [
+        ({(-0.1,): (1e-7,)}, {(math.inf,): (0.3,)}, (2**62 + 1, *before, 3, 7, 0, 0)),
+        ({}, {}, (None, None, None, None, None, 0, 9, 0, 0)),
+    ]
+
+
 def test_tops_report_drops_and_disorder(spark):
     feed = Feed(spark, "t-tops")
     out, log = scratch_path(spark, "t-tops-out"), scratch_path(spark, "t-tops-log")

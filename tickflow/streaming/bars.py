@@ -14,7 +14,7 @@ from tickflow.operators import bars, book, router
 from tickflow.sinks import topics
 from tickflow.sinks.tables import BatchTable
 from tickflow.spec import BarSpec, FeedSpec
-from tickflow.streaming.book_state import BookState
+from tickflow.streaming.book_state import BookState, packed
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -46,12 +46,12 @@ def book_tops(
     timed = messages.withColumn(
         "event_ts", F.timestamp_millis(book.iso_millis("time"))
     ).withWatermark("event_ts", feed.watermark)
-    tops = timed.groupBy("product_id").transformWithStateInPandas(
+    tops = timed.drop("time").groupBy("product_id").transformWithStateInPandas(
         BookState(feed.depth_levels),
         outputStructType=BookState.output,
         outputMode="Append",
         timeMode="EventTime",
-        initialState=None if opening is None else opening.groupBy("product_id"),
+        initialState=None if opening is None else packed(opening).groupBy("product_id"),
         eventTimeColumnName="event_ts",
     )
     bid, ask = F.col("best_bid"), F.col("best_ask")

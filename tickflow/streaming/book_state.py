@@ -6,10 +6,13 @@ messages one batch holds, and backfills use ``operators.book`` instead.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -38,6 +41,16 @@ _META = T.StructType(
 )
 
 
+def packed(books: DataFrame) -> DataFrame:
+    """Rows of ``operators.book.closing_books`` as initial state: a product and a JSON text.
+
+    A batch's messages carry the columns of the initial state along, as NULLs. List columns
+    of NULLs are gone through from the batch's start at every message, flat ones are not.
+    """
+    rest = [c for c in books.columns if c != "product_id"]
+    return books.select("product_id", F.to_json(F.struct(*rest)).alias("book"))
+
+
 class BookState(StatefulProcessor):
     """Applies messages in arrival order and writes only changed levels back."""
 
@@ -75,16 +88,14 @@ class BookState(StatefulProcessor):
         self.meta = handle.getValueState("meta", _META)
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        """Take over a book that a batch has built (a row of ``operators.book.closing_books``)."""
-        row = next(initialState.itertuples(index=False))
-        levels = zip(row.is_bid, row.price, row.size) if row.price is not None else ()
+        """Take over a book that a batch has built (a row of ``packed``)."""
+        row = json.loads(initialState["book"].iloc[0])
+        levels = zip(*(row.get(n) or () for n in ("is_bid", "price", "size")))
         for is_bid, price, size in levels:
             state, sign = (self.bids, -1) if is_bid else (self.asks, 1)
             state.updateValue((sign * float(price),), (float(size),))
-        own = [None if pd.isna(x) else x for x in (row.epoch, *row.before)]
-        epoch = None if own[0] is None else int(own[0])
-        before = [None if x is None else float(x) for x in own[1:]]
-        self.meta.update((epoch, *before, int(row.segment), int(row.last_seq), 0, 0))
+        before = [None if x is None else float(x) for x in row["before"]]
+        self.meta.update((row.get("epoch"), *before, row["segment"], row["last_seq"], 0, 0))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
         book = Replay(self.depth)
