@@ -43,6 +43,17 @@ def test_nothing_may_follow_an_object(spark, whole):
     assert found == [("trades", None)] + [("dlq", "invalid json: malformed")] * len(REST)
 
 
+def test_blanks_before_an_object(spark):
+    """Blanks of JSON alone are passed over, and no text is gone through for its start."""
+    whole = '{"type": "match", "product_id": "A", "more": {"a": 1}}'
+    assert routes(spark, *(b + whole for b in (" ", "\t", "\r\n", "\n \t "))) == [("trades", None)] * 4
+    odd = routes(spark, *(b + whole for b in ("\x0b", "\u00a0", "\x00", "\n\x0b")))
+    assert odd == [("dlq", "invalid json: malformed")] * 4
+    assert routes(spark, "\t[1]", "\r\n7") == [("dlq", "invalid json: not a JSON object")] * 2
+    plan = router.route(raw(spark, whole))._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(" not in plan
+
+
 def test_ids_that_stand_for_nothing(spark):
     empty = [0, 0.0, -0.0, False, "", None, [], {}]
     found = routes(spark, *(match(1, product=p) for p in empty))
